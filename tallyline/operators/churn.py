@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -160,34 +161,43 @@ class Selection:
         return spark.createDataFrame(rows, "model string, cv_roc_auc double, selected boolean")
 
 
-def train_select(train: DataFrame, candidates: dict | None = None, folds: int = 5, rounds: int = 300,
-                 parallelism: int = 2) -> Selection:
-    """Cross-validate each candidate by ROC-AUC on the `fold` column, and refit the best.
+def _prepare(train: DataFrame) -> tuple[DataFrame, PipelineModel, int]:
+    """Weighted training rows with their feature vector, the fitted preparation, the count.
 
-    Features are prepared once per candidate fold inside the pipeline, so no fold sees
-    statistics of its validation rows. Rows missing a numeric input are left out of the fit.
+    Rows missing a numeric input are left out. The preparation looks at inputs only, never
+    at labels, and runs once: all folds and candidates read the same stored vectors.
     """
-    prepared = cut_lineage(balance_weights(train.dropna(subset=list(NUMERIC_FEATURES))))
-    n = prepared.count()
+    rows = cut_lineage(balance_weights(train.dropna(subset=list(NUMERIC_FEATURES))))
+    preparation = Pipeline(stages=preprocessing(rows)).fit(rows)
+    keep = [c for c in (LABEL, "weight", "fold") if c in rows.columns]
+    vectors = cut_lineage(preparation.transform(rows).select(*keep, "features"))
+    return vectors, preparation, vectors.count()
+
+
+def train_select(train: DataFrame, candidates: dict | None = None, folds: int = 5, rounds: int = 300,
+                 parallelism: int = 2) -> Selection:
+    """Cross-validate each candidate by ROC-AUC on the `fold` column; the best is refit on
+    all rows. Up to `parallelism` candidates train at the same time."""
+    vectors, preparation, n = _prepare(train)
     candidates = candidates or default_candidates(n, rounds)
     evaluator = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction",
                                               metricName="areaUnderROC")
-    stages = preprocessing(prepared)
-    board, fitted = {}, {}
-    for name, estimator in candidates.items():
-        pipeline = Pipeline(stages=[*stages, estimator])
-        search = CrossValidator(estimator=pipeline, evaluator=evaluator, numFolds=folds, foldCol="fold",
-                                estimatorParamMaps=ParamGridBuilder().build(), parallelism=parallelism)
-        result = search.fit(prepared)
-        board[name], fitted[name] = result.avgMetrics[0], result.bestModel
+
+    def search(estimator):
+        return CrossValidator(estimator=estimator, evaluator=evaluator, numFolds=folds, foldCol="fold",
+                              estimatorParamMaps=ParamGridBuilder().build()).fit(vectors)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        results = dict(zip(candidates, pool.map(search, candidates.values())))
+    board = {name: float(r.avgMetrics[0]) for name, r in results.items()}
     best = max(board, key=board.get)
-    return Selection(best, fitted[best], board)
+    return Selection(best, PipelineModel([*preparation.stages, results[best].bestModel]), board)
 
 
 def fit_one(train: DataFrame, estimator=None) -> PipelineModel:
     """Fit a single candidate (default: logistic regression) without a search."""
-    prepared = cut_lineage(balance_weights(train.dropna(subset=list(NUMERIC_FEATURES))))
-    return Pipeline(stages=[*preprocessing(prepared), estimator or logistic(prepared.count())]).fit(prepared)
+    vectors, preparation, n = _prepare(train)
+    return PipelineModel([*preparation.stages, (estimator or logistic(n)).fit(vectors)])
 
 
 def with_probability(model: PipelineModel, df: DataFrame, name: str = "p") -> DataFrame:
@@ -294,27 +304,22 @@ def permutation_importance(model: PipelineModel, df: DataFrame, columns: Sequenc
     partner's value, in a single pass, and the AUC of all variants comes from one scan.
     """
     columns = list(columns)
-    rows = cut_lineage(df.select(id, label, *columns))
-    at = prefix_scan(rows, id, id, rows_per_bucket=rows_per_bucket).withColumnRenamed("row_number", "_pos")
-    at = cut_lineage(at.drop("running_count"))
-    original = at.select(id, label, *columns, F.lit(0).alias("repeat"), F.lit("").alias("feature"))
-    variants = [original]
-    for r in range(1, repeats + 1):
-        dice = rows.withColumn("_dice", F.xxhash64(F.col(id), F.lit(seed), F.lit(r)))
-        shuffled = prefix_scan(dice, "_dice", id, rows_per_bucket=rows_per_bucket)
-        partner = shuffled.select(F.col("row_number").alias("_pos"),
-                                  F.struct(*columns).alias("_partner"))
-        paired = at.join(partner, "_pos")
-        swapped = F.array(*[
-            F.struct(F.lit(c).alias("feature"),
-                     *[(F.col(f"_partner.{k}") if k == c else F.col(k)).alias(k) for k in columns])
-            for c in columns])
-        variants.append(paired.select(id, label, F.explode(swapped).alias("v"), F.lit(r).alias("repeat"))
-                        .select(id, label, *[F.col(f"v.{k}").alias(k) for k in columns], "repeat",
-                                F.col("v.feature").alias("feature")))
-    stacked = variants[0]
-    for v in variants[1:]:
-        stacked = stacked.unionByName(v)
+    rows = df.select(id, label, *columns)
+    at = (prefix_scan(rows, id, id, rows_per_bucket=rows_per_bucket)
+          .withColumnRenamed("row_number", "_pos").drop("running_count"))
+    at = cut_lineage(at)
+    dice = (at.select(id, *columns).withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+            .withColumn("_dice", F.xxhash64(F.col(id), F.lit(seed), "repeat")))
+    shuffled = prefix_scan(dice, "_dice", id, by=["repeat"], rows_per_bucket=rows_per_bucket)
+    partner = shuffled.select(F.col("row_number").alias("_pos"), "repeat", F.struct(*columns).alias("_partner"))
+    swapped = F.array(*[
+        F.struct(F.lit(c).alias("feature"),
+                 *[(F.col(f"_partner.{k}") if k == c else F.col(k)).alias(k) for k in columns])
+        for c in columns])
+    variants = (at.join(partner, "_pos").select(label, "repeat", F.explode(swapped).alias("v"))
+                .select(label, "repeat", "v.*"))
+    original = at.select(label, F.lit(0).alias("repeat"), F.lit("").alias("feature"), *columns)
+    stacked = variants.unionByName(original)
     scored = with_probability(model, stacked).select("repeat", "feature", label, "p")
     scan = threshold_scan(scored, label, "p", by=["repeat", "feature"], rows_per_bucket=rows_per_bucket)
     auc = cut_lineage(ranking_quality(scan, by=["repeat", "feature"]))

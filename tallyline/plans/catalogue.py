@@ -19,7 +19,7 @@ from tallyline.session import cut_lineage, shared_dir
 from tallyline.sources import readers, sinks
 from tallyline.sources.bindings import ONLINE_PRIORITY, Binding
 from tallyline.sources.readers import Tables
-from tallyline.sources.schemas import schema_of
+from tallyline.sources.schemas import FOREIGN_KEYS, schema_of
 from tallyline.streaming import daily, upsert, validate
 
 # Fixed values of the registered queries.
@@ -358,20 +358,24 @@ def customer_clv_lookup(b):
 
 # --- quality gate -------------------------------------------------------------------
 
-def _gate(b) -> Tables:
-    return Tables({"dim_customers": b.customers_signed_up, "dim_products": b.products,
-                   "dim_stores": b.stores, "fact_orders": b.orders_in_store, "fact_order_items": b.lines,
-                   "fact_returns": b.returns, "fact_reviews": b.reviews})
+def _gate(b) -> DataFrame:
+    """All checks. The given data names the store on the line, so that key is checked there."""
+    tables = Tables({"dim_customers": b.customers_signed_up, "dim_products": b.products,
+                     "dim_stores": b.stores, "fact_orders": b.orders, "fact_order_items": b.lines,
+                     "fact_returns": b.returns, "fact_reviews": b.reviews})
+    keys = [("fact_order_items" if fk == "store_id" else child, fk, parent, pk)
+            for child, fk, parent, pk in FOREIGN_KEYS]
+    return quality.quality_report(tables, fks=keys)
 
 
 @query
 def quality_report(b):
-    return quality.quality_report(_gate(b)).drop("detail")
+    return _gate(b).drop("detail")
 
 
 @query
 def quality_score(b):
-    return quality.quality_score(quality.quality_report(_gate(b)))
+    return quality.quality_score(_gate(b))
 
 
 # --- features and metric blocks -----------------------------------------------------

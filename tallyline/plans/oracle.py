@@ -113,9 +113,9 @@ FRAMES = {
                ROW_NUMBER() OVER (ORDER BY frequency, customer_id) AS rf,
                ROW_NUMBER() OVER (ORDER BY monetary, customer_id) AS rm FROM base WHERE frequency > 0""",
     "scored": """
-        SELECT b.*, COALESCE(6 - greatest(1, (5 * (rr - 1) + n - 2) // (n - 1)), 0) AS R,
-               COALESCE(greatest(1, (5 * (rf - 1) + n - 2) // (n - 1)), 0) AS F,
-               COALESCE(greatest(1, (5 * (rm - 1) + n - 2) // (n - 1)), 0) AS M
+        SELECT b.*, CASE WHEN n IS NULL THEN 0 ELSE 6 - greatest(1, (5 * (rr - 1) + n - 2) // (n - 1)) END AS R,
+               CASE WHEN n IS NULL THEN 0 ELSE greatest(1, (5 * (rf - 1) + n - 2) // (n - 1)) END AS F,
+               CASE WHEN n IS NULL THEN 0 ELSE greatest(1, (5 * (rm - 1) + n - 2) // (n - 1)) END AS M
         FROM base b LEFT JOIN placed p USING (customer_id)""",
     "features": """
         SELECT *, R + F + M AS rfm_score,
@@ -198,29 +198,29 @@ def _count_check(check: str, family: str, scanned: str, failed: str, source: str
 def _gate() -> str:
     critical = {"dim_customers": ("signed", ["customer_id", "country", "signup_date"]),
                 "dim_products": ("products", ["product_id", "category", "unit_price", "unit_cost"]),
-                "fact_orders": ("stocked", ["order_id", "customer_id", "order_date", "total_amount"]),
+                "fact_orders": ("ords", ["order_id", "customer_id", "order_date", "total_amount"]),
                 "fact_order_items": ("lines", ["order_id", "product_id", "quantity", "line_revenue"])}
     parts = [_count_check(f"{t}.{c} not null", "completeness", "COUNT(*)", f"COUNT(*) - COUNT({c})", src)
              for t, (src, cols) in critical.items() for c in cols]
     for table, src, key in [("dim_customers", "signed", "customer_id"), ("dim_products", "products", "product_id"),
-                            ("dim_stores", "supplier", "s_suppkey"), ("fact_orders", "stocked", "order_id"),
+                            ("dim_stores", "supplier", "s_suppkey"), ("fact_orders", "ords", "order_id"),
                             ("fact_order_items", "lines", "order_item_id")]:
         name = "store_id" if table == "dim_stores" else key
         parts.append(_count_check(f"{table}.{name} unique", "uniqueness", "COUNT(*)",
                                   f"COUNT(*) - COUNT(DISTINCT {key})", src))
     for child, src, fk, parent, psrc, pk, shown in [
-            ("fact_orders", "stocked", "customer_id", "dim_customers", "signed", "customer_id", "customer_id"),
-            ("fact_orders", "stocked", "store_id", "dim_stores", "supplier", "s_suppkey", "store_id"),
-            ("fact_order_items", "lines", "order_id", "fact_orders", "stocked", "order_id", "order_id"),
+            ("fact_orders", "ords", "customer_id", "dim_customers", "signed", "customer_id", "customer_id"),
+            ("fact_order_items", "lines", "store_id", "dim_stores", "supplier", "s_suppkey", "store_id"),
+            ("fact_order_items", "lines", "order_id", "fact_orders", "ords", "order_id", "order_id"),
             ("fact_order_items", "lines", "product_id", "dim_products", "products", "product_id", "product_id"),
-            ("fact_returns", "returned", "order_id", "fact_orders", "stocked", "order_id", "order_id"),
+            ("fact_returns", "returned", "order_id", "fact_orders", "ords", "order_id", "order_id"),
             ("fact_reviews", "reviews", "product_id", "dim_products", "products", "product_id", "product_id")]:
         parts.append(
             f"SELECT '{child}.{fk} -> {parent}.{shown}' AS \"check\", 'referential_integrity' AS family, "
             f"COUNT(*) AS s, COUNT(*) FILTER (CAST(x.{fk} AS VARCHAR) NOT IN "
             f"(SELECT CAST(y.{pk} AS VARCHAR) FROM {psrc} y)) AS f FROM {src} x WHERE x.{fk} IS NOT NULL "
             f"AND UPPER(CAST(x.{fk} AS VARCHAR)) NOT IN ('ONLINE', 'N/A', 'NONE', 'UNKNOWN', '')")
-    for check, src, bad in [("fact_orders.total_amount >= 0", "stocked", "total_amount < 0"),
+    for check, src, bad in [("fact_orders.total_amount >= 0", "ords", "total_amount < 0"),
                             ("fact_order_items.quantity > 0", "lines", "quantity <= 0"),
                             ("dim_products price > cost", "products", "unit_price <= unit_cost"),
                             ("dim_customers.age in [18,100]", "signed", "age < 18 OR age > 100"),
@@ -228,7 +228,7 @@ def _gate() -> str:
         parts.append(_count_check(check, "validity", "COUNT(*)", f"COUNT(*) FILTER ({bad})", src))
     parts.append("SELECT 'every order has >=1 line item' AS \"check\", 'consistency' AS family, "
                  "COUNT(DISTINCT order_id) AS s, COUNT(DISTINCT order_id) FILTER "
-                 "(order_id NOT IN (SELECT l_orderkey FROM lineitem)) AS f FROM stocked")
+                 "(order_id NOT IN (SELECT l_orderkey FROM lineitem)) AS f FROM ords")
     return (f"SELECT \"check\", family, {_int('s')} AS records_scanned, {_int('f')} AS records_failed, "
             f"COALESCE({_ratio('f', 's', 100, 4)}, 0) AS failure_rate_pct, f = 0 AS passed FROM ("
             + " UNION ALL ".join(parts) + ") q")
