@@ -19,6 +19,19 @@ def money(c: ColumnLike) -> Column:
     return col(c).cast(MONEY)
 
 
+def cents(c: str) -> str:
+    """SQL text: whole cents of a double that holds at most two decimal places.
+
+    Much cheaper than casting a double to a decimal, which goes through its text form.
+    """
+    return f"CAST(RINT({c} * 100) AS BIGINT)"
+
+
+def from_cents(c: str) -> str:
+    """SQL text: exact two-digit amount from whole cents."""
+    return f"CAST(CAST({c} AS DECIMAL(14,0)) * 0.01BD AS {MONEY})"
+
+
 def total(c: ColumnLike) -> Column:
     """Sum that counts an empty group as zero."""
     return F.coalesce(F.sum(col(c)), F.lit(0))

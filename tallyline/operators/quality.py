@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyline.functions.columns import ratio
 from tallyline.operators.filters import NA_SENTINELS
@@ -63,10 +63,15 @@ def referential_integrity(child: DataFrame, fk: str, parent: DataFrame, pk: str,
     The child is counted per key value first: a key that fills a third of the table is
     one row when it meets the parent.
     """
-    text = F.upper(F.col(fk).cast("string"))
-    per_key = (child.where(F.col(fk).isNotNull() & ~text.isin(*sentinels))
-               .groupBy(F.col(fk).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n")))
-    known = parent.select(F.col(pk).cast("string").alias("k")).distinct().withColumn("found", F.lit(True))
+    kind, parent_kind = child.schema[fk].dataType, parent.schema[pk].dataType
+    populated = F.col(fk).isNotNull()
+    if isinstance(kind, T.StringType):  # a number is never a marker text
+        populated = populated & ~F.upper(fk).isin(*sentinels)
+    same = kind == parent_kind
+    child_key = F.col(fk) if same else F.col(fk).cast("string")
+    parent_key = F.col(pk) if same else F.col(pk).cast("string")
+    per_key = child.where(populated).groupBy(child_key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    known = parent.select(parent_key.alias("k")).distinct().withColumn("found", F.lit(True))
     return per_key.join(known, "k", "left").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("scanned"),
         F.coalesce(F.sum(F.when(F.col("found").isNull(), F.col("n"))), F.lit(0)).alias("failed"))

@@ -9,25 +9,37 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.functions.columns import MONEY, money
+from tallyline.functions.columns import cents, from_cents
 from tallyline.sources.readers import Tables
 
-# Order status codes, review proxy per return flag, and literals of the
-# inventory and shipping proxies.
-STATUS_NAMES = {"F": "Completed", "O": "Shipped", "P": "Cancelled"}
-FLAG_RATING = {"N": 5, "A": 3, "R": 1}
+# Layouts of the given tables.
+LAYOUTS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": """p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,
+        p_retailprice DOUBLE""",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
+        l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ""",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+        value DOUBLE, props STRING""",
+}
+
+# The online channel, and literals of the inventory and shipping proxies.
+ONLINE_PRIORITY = "1-URGENT"
 REORDER_POINT = 40
 PROMISED_DAYS = 30
-ONLINE_PRIORITY = "1-URGENT"
 
-
-def _lookup(code: Column, table: dict) -> Column:
-    out = None
-    for key, value in table.items():
-        out = F.when(code == key, value) if out is None else out.when(code == key, value)
-    return out
+# Line revenue in whole cents: price times (1 - discount), rounded half up.
+_REVENUE = f"FLOOR(({cents('l_extendedprice')} * (100 - {cents('l_discount')}) + 50) / 100)"
+_LINE_ID = "CONCAT_WS('-', l_orderkey, l_linenumber)"
+_UNIT_PRICE = from_cents(f"FLOOR({cents('l_extendedprice')} / l_quantity + 0.5)")
 
 
 class Binding:
@@ -37,131 +49,122 @@ class Binding:
         self.spark, self.directory = spark, directory.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        """A given table under its declared layout, so that no job reads file footers."""
+        return self.spark.read.schema(LAYOUTS[name]).parquet(f"{self.directory}/{name}.parquet")
 
     @cached_property
     def _countries(self) -> DataFrame:
         """25 nations with their region."""
-        region = self.raw("region").select("r_regionkey", "r_name")
         return (self.raw("nation")
-                .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-                .select("n_nationkey", F.col("n_name").alias("country"),
-                        F.col("r_name").alias("acquisition_channel")))
+                .join(F.broadcast(self.raw("region")), F.expr("n_regionkey = r_regionkey"), "left")
+                .selectExpr("n_nationkey", "n_name AS country", "r_name AS acquisition_channel"))
 
     @cached_property
     def customers(self) -> DataFrame:
-        c = self.raw("customer")
-        balance = F.col("c_acctbal")
-        return (c.join(F.broadcast(self._countries), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-                .select(F.col("c_custkey").alias("customer_id"),
-                        F.substring_index("c_name", "#", 1).alias("first_name"),
-                        F.substring_index("c_name", "#", -1).alias("last_name"),
-                        "country", "acquisition_channel",
-                        F.col("c_mktsegment").alias("customer_segment"),
-                        F.floor(balance / 100).cast("int").alias("age"),
-                        (balance > 5000).alias("is_loyalty_member")))
+        return (self.raw("customer")
+                .join(F.broadcast(self._countries), F.expr("c_nationkey = n_nationkey"), "left")
+                .selectExpr("c_custkey AS customer_id", "SUBSTRING_INDEX(c_name, '#', 1) AS first_name",
+                            "SUBSTRING_INDEX(c_name, '#', -1) AS last_name", "country",
+                            "acquisition_channel", "c_mktsegment AS customer_segment",
+                            "CAST(FLOOR(c_acctbal / 100) AS INT) AS age",
+                            "c_acctbal > 5000 AS is_loyalty_member"))
 
     @cached_property
     def customers_signed_up(self) -> DataFrame:
         """Customers with `signup_date`: the date of their first order of any status."""
         first = (self.raw("orders").groupBy(F.col("o_custkey").alias("customer_id"))
-                 .agg(F.min("o_orderdate").cast("date").alias("signup_date")))
+                 .agg(F.expr("CAST(MIN(o_orderdate) AS DATE) AS signup_date")))
         return self.customers.join(first, "customer_id", "left")
 
     @cached_property
     def products(self) -> DataFrame:
-        p = self.raw("part")
-        return p.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
-                        F.col("p_type").alias("category"), F.col("p_size").alias("subcategory"),
-                        F.col("p_brand").alias("brand"),
-                        (money("p_retailprice") + F.col("p_size")).cast(MONEY).alias("unit_price"),
-                        money("p_retailprice").alias("unit_cost"))
+        unit = cents("p_retailprice")
+        return self.raw("part").selectExpr(
+            "p_partkey AS product_id", "p_name AS product_name", "p_type AS category",
+            "p_size AS subcategory", "p_brand AS brand",
+            f"{from_cents(f'({unit} + p_size * 100)')} AS unit_price", f"{from_cents(unit)} AS unit_cost")
 
     @cached_property
     def stores(self) -> DataFrame:
         return (self.raw("supplier")
-                .join(F.broadcast(self._countries), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-                .select(F.col("s_suppkey").alias("store_id"), F.col("s_name").alias("store_name"),
-                        F.col("country"), F.col("acquisition_channel").alias("city")))
+                .join(F.broadcast(self._countries), F.expr("s_nationkey = n_nationkey"), "left")
+                .selectExpr("s_suppkey AS store_id", "s_name AS store_name", "country",
+                            "acquisition_channel AS city"))
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.col("o_orderpriority").alias("channel"),
-            _lookup(F.col("o_orderstatus"), STATUS_NAMES).alias("order_status"),
-            money("o_totalprice").alias("total_amount"))
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS order_date",
+            "o_orderpriority AS channel",
+            "CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Shipped' "
+            "WHEN 'P' THEN 'Cancelled' END AS order_status",
+            f"{from_cents(cents('o_totalprice'))} AS total_amount")
 
     @cached_property
     def orders_in_store(self) -> DataFrame:
         """Orders with `store_id`: the lowest supplier of the lines, "ONLINE" if no line."""
         store = (self.raw("lineitem").groupBy(F.col("l_orderkey").alias("order_id"))
-                 .agg(F.min("l_suppkey").cast("string").alias("store_id")))
+                 .agg(F.expr("CAST(MIN(l_suppkey) AS STRING) AS store_id")))
         return (self.orders.join(store, "order_id", "left")
-                .withColumn("store_id", F.coalesce(F.col("store_id"), F.lit("ONLINE"))))
+                .withColumn("store_id", F.expr("COALESCE(store_id, 'ONLINE')")))
 
     @cached_property
     def lines(self) -> DataFrame:
         """Lines with revenue only: no join, for what needs neither cost nor date."""
-        li = self.raw("lineitem")
-        discount = F.col("l_discount").cast("decimal(5,4)")
-        revenue = F.round(money("l_extendedprice") * (F.lit(1).cast("decimal(1,0)") - discount), 2)
-        return li.select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_item_id"),
-            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("store_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.round(money("l_extendedprice") / F.col("l_quantity").cast("int"), 2).cast(MONEY).alias("unit_price"),
-            F.col("l_discount").cast("decimal(5,4)").alias("discount_pct"),
-            revenue.cast(MONEY).alias("line_revenue"),
-            F.col("l_shipdate").cast("date").alias("ship_date"),
-            F.col("l_returnflag").alias("return_flag"), F.col("l_linestatus").alias("line_status"))
+        return self.raw("lineitem").selectExpr(
+            f"{_LINE_ID} AS order_item_id", "l_orderkey AS order_id", "l_partkey AS product_id",
+            "l_suppkey AS store_id", "CAST(l_quantity AS INT) AS quantity", f"{_UNIT_PRICE} AS unit_price",
+            "CAST(l_discount AS DECIMAL(5,4)) AS discount_pct", f"{from_cents(_REVENUE)} AS line_revenue",
+            "CAST(l_shipdate AS DATE) AS ship_date", "l_returnflag AS return_flag",
+            "l_linestatus AS line_status")
 
     @cached_property
     def items(self) -> DataFrame:
         """Lines with cost and profit; the unit cost is the part's retail price."""
-        cost = self.products.select("product_id", "unit_cost")
-        return (self.lines.join(cost, "product_id", "left")
-                .withColumn("line_cost", (F.col("unit_cost") * F.col("quantity")).cast(MONEY))
-                .withColumn("line_profit", (F.col("line_revenue") - F.col("line_cost")).cast(MONEY)))
+        cost = f"({cents('p_retailprice')} * CAST(l_quantity AS BIGINT))"
+        return (self.raw("lineitem")
+                .join(self.raw("part"), F.expr("l_partkey = p_partkey"), "left")
+                .selectExpr(f"{_LINE_ID} AS order_item_id", "l_orderkey AS order_id",
+                            "l_partkey AS product_id", "l_suppkey AS store_id",
+                            "CAST(l_quantity AS INT) AS quantity", f"{from_cents(_REVENUE)} AS line_revenue",
+                            f"{from_cents(cost)} AS line_cost",
+                            f"{from_cents(f'({_REVENUE} - {cost})')} AS line_profit"))
 
     def dated(self, items: DataFrame) -> DataFrame:
         """Lines with the date of their order. The lines are the left side, so an order
         with very many lines can be split between tasks."""
-        return items.join(self.orders.select("order_id", "order_date"), "order_id", "inner")
+        dates = self.raw("orders").selectExpr("o_orderkey AS order_id", "CAST(o_orderdate AS DATE) AS order_date")
+        return items.join(dates, "order_id")
 
     @cached_property
     def returns(self) -> DataFrame:
-        category = self.products.select("product_id", F.col("category").alias("return_reason"))
-        r = self.lines.where(F.col("return_flag") == "R").join(category, "product_id", "left")
-        return r.select(F.col("order_item_id").alias("return_id"), "order_id", "order_item_id",
-                        F.col("ship_date").alias("return_date"), "return_reason",
-                        F.col("line_revenue").alias("refund_amount"),
-                        (F.col("line_status") == "F").alias("restocked"))
+        return (self.raw("lineitem").where("l_returnflag = 'R'")
+                .join(self.raw("part"), F.expr("l_partkey = p_partkey"), "left")
+                .selectExpr(f"{_LINE_ID} AS return_id", "l_orderkey AS order_id",
+                            f"{_LINE_ID} AS order_item_id", "CAST(l_shipdate AS DATE) AS return_date",
+                            "p_type AS return_reason", f"{from_cents(_REVENUE)} AS refund_amount",
+                            "l_linestatus = 'F' AS restocked"))
 
     @cached_property
     def inventory(self) -> DataFrame:
         return (self.raw("lineitem")
                 .groupBy(F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("product_id"))
-                .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("stock_on_hand"))
+                .agg(F.expr("SUM(CAST(l_quantity AS BIGINT)) AS stock_on_hand"))
                 .withColumn("reorder_point", F.lit(REORDER_POINT)))
 
     @cached_property
     def reviews(self) -> DataFrame:
-        return self.raw("lineitem").select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("review_id"),
-            F.col("l_partkey").alias("product_id"), F.col("l_orderkey").alias("order_id"),
-            _lookup(F.col("l_returnflag"), FLAG_RATING).alias("rating"))
+        return self.raw("lineitem").selectExpr(
+            f"{_LINE_ID} AS review_id", "l_partkey AS product_id", "l_orderkey AS order_id",
+            "CASE l_returnflag WHEN 'N' THEN 5 WHEN 'A' THEN 3 WHEN 'R' THEN 1 END AS rating")
 
     @cached_property
     def shipping(self) -> DataFrame:
         """One shipment per line; transit days are ship date minus order date."""
-        o = self.orders.select("order_id", "order_date", "channel")
-        return (self.lines.select("order_id", "ship_date").join(o, "order_id", "inner")
-                .select("order_id", F.col("channel").alias("carrier"),
-                        F.datediff("ship_date", "order_date").alias("actual_transit_days"),
-                        F.lit(PROMISED_DAYS).alias("promised_delivery_days")))
+        return (self.raw("lineitem").join(self.raw("orders"), F.expr("l_orderkey = o_orderkey"))
+                .selectExpr("l_orderkey AS order_id", "o_orderpriority AS carrier",
+                            "DATEDIFF(l_shipdate, o_orderdate) AS actual_transit_days",
+                            f"{PROMISED_DAYS} AS promised_delivery_days"))
 
     @cached_property
     def events(self) -> DataFrame:
@@ -170,32 +173,29 @@ class Binding:
     @cached_property
     def campaigns(self) -> DataFrame:
         """One campaign per event key `k`: spend from clicks, revenue from purchases."""
-        kind = F.col("event_type")
-        value = F.col("value").cast(MONEY)
-        key = F.get_json_object("props", "$.k").cast("int")
-        return (self.events.groupBy(key.alias("campaign_id"))
-                .agg(F.min("ts").cast("date").alias("start_date"),
-                     F.coalesce(F.sum(F.when(kind == "click", value)), F.lit(0)).cast("decimal(22,2)").alias("budget_usd"),
-                     F.coalesce(F.sum(F.when(kind == "purchase", value)), F.lit(0)).cast("decimal(22,2)").alias("revenue_generated_usd"),
-                     F.count_if(kind == "view").alias("impressions"),
-                     F.count_if(kind == "click").alias("clicks"),
-                     F.count_if(kind == "purchase").alias("conversions"))
-                .withColumn("channel", F.concat(F.lit("channel-"), (F.col("campaign_id") % 8).cast("string"))))
+        value = from_cents(cents("value"))
+        return (self.events.groupBy(F.expr("CAST(GET_JSON_OBJECT(props, '$.k') AS INT) AS campaign_id"))
+                .agg(F.expr("CAST(MIN(ts) AS DATE) AS start_date"),
+                     F.expr(f"COALESCE(SUM(IF(event_type = 'click', {value}, NULL)), 0) AS budget_usd"),
+                     F.expr(f"COALESCE(SUM(IF(event_type = 'purchase', {value}, NULL)), 0) AS revenue_generated_usd"),
+                     F.expr("COUNT_IF(event_type = 'view') AS impressions"),
+                     F.expr("COUNT_IF(event_type = 'click') AS clicks"),
+                     F.expr("COUNT_IF(event_type = 'purchase') AS conversions"))
+                .withColumn("channel", F.expr("CONCAT('channel-', campaign_id % 8)")))
 
     @cached_property
     def traffic(self) -> DataFrame:
         """Visitors (distinct users) and sessions (events) per day."""
-        return (self.events.groupBy(F.col("ts").cast("date").alias("traffic_date"))
-                .agg(F.count_distinct("user_id").alias("visitors"),
-                     F.count(F.lit(1)).alias("sessions")))
+        return (self.events.groupBy(F.expr("CAST(ts AS DATE) AS traffic_date"))
+                .agg(F.expr("COUNT(DISTINCT user_id) AS visitors"), F.expr("COUNT(*) AS sessions")))
 
     @cached_property
     def daily_purchases(self) -> DataFrame:
         """Event revenue and spend per day, the series that shares its dates with traffic."""
-        kind, value = F.col("event_type"), F.col("value").cast(MONEY)
-        return (self.events.groupBy(F.col("ts").cast("date").alias("day"))
-                .agg(F.sum(F.when(kind == "purchase", value)).alias("revenue"),
-                     F.sum(F.when(kind == "click", value)).alias("spend")))
+        value = from_cents(cents("value"))
+        return (self.events.groupBy(F.expr("CAST(ts AS DATE) AS day"))
+                .agg(F.expr(f"SUM(IF(event_type = 'purchase', {value}, NULL)) AS revenue"),
+                     F.expr(f"SUM(IF(event_type = 'click', {value}, NULL)) AS spend")))
 
     def tables(self) -> Tables:
         """The canonical table set for the quality gate and the full report."""
