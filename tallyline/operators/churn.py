@@ -13,7 +13,7 @@ from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StringIndexer, Ve
                                 VectorSlicer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions.columns import ratio
 from tallyline.functions.derive import REVENUE_STATUSES
@@ -91,11 +91,10 @@ def stratified_split(df: DataFrame, label: str, id: str, test_share: float = 0.2
     Rows are ordered by a seeded hash of the id, so the split does not depend on how the
     data is partitioned; the first share of every class is the test set.
     """
-    # the label joins the id inside the order tuple, so any size of class is spread out
     mixed = df.withColumn("_dice", F.xxhash64(F.col(id), F.lit(seed)))
     placed = prefix_scan(mixed, "_dice", id, by=[label], rows_per_bucket=rows_per_bucket)
     sizes = df.groupBy(label).agg(F.round(F.count(F.lit(1)) * test_share).cast("bigint").alias("_quota"))
-    return (placed.join(F.broadcast(sizes), label)  # one row per class
+    return (placed.join(sizes, label)
             .withColumns({"is_test": F.col("row_number") <= F.col("_quota"),
                           "fold": (F.col("row_number") % folds).cast("int")})
             .drop("_dice", "_quota", "row_number", "running_count"))
@@ -114,20 +113,19 @@ def preprocessing(df: DataFrame, numeric: Sequence[str] = tuple(NUMERIC_FEATURES
 
     An unseen category encodes as all zeros. A category with two values keeps one column.
     """
-    levels = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+    indexed = [f"_{c}_ix" for c in categorical]
+    indexer = StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep",
+                            stringOrderType="alphabetAsc").fit(df)
     stages = [VectorAssembler(inputCols=list(numeric), outputCol="_num", handleInvalid="keep"),
-              StandardScaler(inputCol="_num", outputCol="_num_std", withMean=True, withStd=True)]
+              StandardScaler(inputCol="_num", outputCol="_num_std", withMean=True, withStd=True),
+              indexer,
+              # the last index is the "unseen" slot: dropping it leaves zeros for unseen values
+              OneHotEncoder(inputCols=indexed, outputCols=[f"_{c}_oh" for c in categorical], dropLast=True)]
     parts = ["_num_std"]
-    for c in categorical:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"_{c}_ix", handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
-        # the last index is the "unseen" slot: dropping it leaves zeros for unseen values
-        stages.append(OneHotEncoder(inputCol=f"_{c}_ix", outputCol=f"_{c}_oh", dropLast=True))
-        out = f"_{c}_oh"
-        if levels[c] == 2:
-            stages.append(VectorSlicer(inputCol=out, outputCol=f"_{c}_one", indices=[1]))
-            out = f"_{c}_one"
-        parts.append(out)
+    for c, labels in zip(categorical, indexer.labelsArray):
+        if len(labels) == 2:
+            stages.append(VectorSlicer(inputCol=f"_{c}_oh", outputCol=f"_{c}_one", indices=[1]))
+        parts.append(f"_{c}_one" if len(labels) == 2 else f"_{c}_oh")
     stages.append(VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep"))
     return stages
 

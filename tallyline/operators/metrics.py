@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyline.functions.columns import month_of, ratio
@@ -15,6 +14,7 @@ from tallyline.operators.forecast import driver_correlations, monthly_driver, re
 from tallyline.operators.ordering import ROWS_PER_BUCKET, cumulative_share, share_of_total, top_k
 from tallyline.operators.quality import quality_report, quality_score
 from tallyline.operators.windows import pct_change
+from tallyline.session import cut_lineage
 from tallyline.sources.readers import run_meta
 
 
@@ -47,10 +47,15 @@ def items_enriched(items: DataFrame, orders: DataFrame, products: DataFrame,
             .join(products.select("product_id", "category", "brand"), "product_id", "left"))
 
 
-def _product_totals(enriched: DataFrame) -> DataFrame:
+def combined_per_product(enriched: DataFrame) -> DataFrame:
+    """Lines summed per product and category, under the line column names.
+
+    The blocks below only add lines up, so they accept this frame in place of the lines:
+    one pass over the facts serves them all.
+    """
     return enriched.groupBy("product_id", "category").agg(
-        F.sum("line_revenue").alias("revenue"), F.sum("line_profit").alias("profit"),
-        F.sum("quantity").alias("units"))
+        F.sum("line_revenue").alias("line_revenue"), F.sum("line_profit").alias("line_profit"),
+        F.sum("quantity").alias("quantity"))
 
 
 def executive_kpis(orders: DataFrame, enriched: DataFrame, returns: DataFrame | None = None,
@@ -169,25 +174,23 @@ def returns_analysis(returns: DataFrame) -> dict[str, DataFrame]:
 def compute_all(tables: Mapping[str, DataFrame], max_periods: int = 12) -> dict[str, DataFrame]:
     """Every block of the report as a lazy DataFrame, with the quality gate and run data.
 
-    The enriched lines and the customer features feed several blocks and are kept in
-    memory or on local disk; a lost copy is computed again. Release them afterwards with
-    `release(blocks)`.
+    Product-level blocks share one stored per-product sum of the enriched lines, and the
+    customer blocks share the feature table's stored base.
     """
     orders, customers = tables["fact_orders"], tables["dim_customers"]
-    enriched = items_enriched(tables["fact_order_items"], orders, tables["dim_products"]).select(
-        "product_id", "category", "quantity", "line_revenue", "line_profit")
-    enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
-    features = customer_features(customers, orders).persist(StorageLevel.MEMORY_AND_DISK)
+    enriched = items_enriched(tables["fact_order_items"], orders, tables["dim_products"])
+    per_product = cut_lineage(combined_per_product(enriched))
+    features = customer_features(customers, orders)
     monthly = monthly_revenue(orders)
     report = quality_report(tables)
-    abc = product_abc(enriched, tables["dim_products"])
+    abc = product_abc(per_product, tables["dim_products"])
     blocks = {
-        "executive_kpis": executive_kpis(orders, enriched, tables.get("fact_returns")),
+        "executive_kpis": executive_kpis(orders, per_product, tables.get("fact_returns")),
         "monthly_trend": monthly_trend(monthly),
         "rfm_segments": rfm_summary(features),
         "cohort_retention": cohort_retention(customers, orders, max_periods),
         "geographic": geographic_performance(orders, customers),
-        "category_performance": category_performance(enriched),
+        "category_performance": category_performance(per_product),
         "abc_summary": abc["summary"], "top_products": abc["top"], "products_sold": abc["sold"],
         "channel_mix": channel_mix(orders),
         "forecast": revenue_forecast(monthly),
@@ -215,8 +218,3 @@ def compute_all(tables: Mapping[str, DataFrame], max_periods: int = 12) -> dict[
         blocks["returns_by_reason"] = returned["by_reason"]
     return blocks
 
-
-def release(blocks: Mapping[str, DataFrame]) -> None:
-    """Drop the kept frames of `compute_all`."""
-    for name in ("customer_features", "items_enriched"):
-        blocks[name].unpersist()

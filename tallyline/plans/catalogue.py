@@ -26,7 +26,7 @@ from tallyline.streaming import daily, upsert, validate
 AS_OF = "2001-08-02"
 OBS = "2001-01-29"
 FUTURE_FROM = "2001-06-30"
-SCD_DAY = "1998-07-01"
+SCD_DAY = "1996-01-01"
 BOOST_ROUNDS = 5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,9 +120,11 @@ def surrogate_keys(b):
 
 
 def _versions(b) -> DataFrame:
-    """Segment history: customers with a negative balance move to DELINQUENT."""
+    """Segment history: customers with a negative balance move to DELINQUENT, customers
+    who signed up on the day of the change or later are new."""
     base = b.customers.select("customer_id", "customer_segment", "country")
-    dim = dimensions.scd2_open(base.where(F.col("customer_id") % 10 != 0), "1995-01-01")
+    known = b.customers_signed_up.where(F.col("signup_date") < F.to_date(F.lit(SCD_DAY)))
+    dim = dimensions.scd2_open(known.select(*base.columns), "1995-01-01")
     moved = b.raw("customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_acctbal").alias("balance"))
     segment = F.when(F.col("balance") < 0, "DELINQUENT").otherwise(F.col("customer_segment"))
     updates = base.join(moved, "customer_id").select("customer_id", segment.alias("customer_segment"), "country")
@@ -263,12 +265,12 @@ def top_products_ranked(b):
 
 @query
 def monthly_revenue_mom(b):
-    return sales.monthly_revenue_mom(b.dated(b.lines))
+    return sales.monthly_revenue_mom(b.dated_totals(b.lines, "line_revenue"))
 
 
 @query
 def quarterly_revenue_yoy(b):
-    return sales.quarterly_revenue_yoy(b.dated(b.lines))
+    return sales.quarterly_revenue_yoy(b.dated_totals(b.lines, "line_revenue"))
 
 
 @query
@@ -308,7 +310,7 @@ def product_pareto(b):
 
 @query
 def rolling_3mo_revenue(b):
-    return sales.rolling_revenue(b.dated(b.lines), 3)
+    return sales.rolling_revenue(b.dated_totals(b.lines, "line_revenue"), 3)
 
 
 @query
@@ -329,7 +331,7 @@ def store_performance(b):
 
 @query
 def daily_sales_summary(b):
-    return sales.daily_sales_summary(b.dated(b.items))
+    return sales.daily_sales_summary(b.dated_totals(b.items, "quantity", "line_revenue", "line_profit"))
 
 
 @query
@@ -490,8 +492,9 @@ def revenue_forecast(b):
 @query
 def revenue_forecast_by_category(b):
     """One series per product category, from line revenue."""
-    named = b.dated(b.lines).join(b.products.select("product_id", "category"), "product_id")
-    series = (named.groupBy("category", month_of("order_date").alias("month"))
+    named = b.lines.join(b.products.select("product_id", "category"), "product_id")
+    series = (b.dated_totals(named, "line_revenue", by=("category",))
+              .groupBy("category", month_of("order_date").alias("month"))
               .agg(F.sum("line_revenue").alias("revenue")))
     return forecast.revenue_forecast(series, keys=["category"])
 

@@ -336,11 +336,11 @@ def _build() -> dict[str, str]:
     versions = f"""(
         SELECT customer_id, customer_segment, country, DATE '1995-01-01' AS effective_date,
                CASE WHEN balance < 0 THEN DATE '{SCD_DAY}' END AS expiry_date, NOT (balance < 0) AS is_current
-        FROM customers WHERE customer_id % 10 <> 0
+        FROM signed WHERE signup_date < DATE '{SCD_DAY}'
         UNION ALL
         SELECT customer_id, CASE WHEN balance < 0 THEN 'DELINQUENT' ELSE customer_segment END, country,
                DATE '{SCD_DAY}', NULL, TRUE
-        FROM customers WHERE balance < 0 OR customer_id % 10 = 0)"""
+        FROM signed WHERE balance < 0 OR signup_date >= DATE '{SCD_DAY}' OR signup_date IS NULL)"""
     q["scd2_apply"] = f"""
         SELECT customer_id, customer_segment, country, {_txt('effective_date')} AS effective_date,
                {_txt('expiry_date')} AS expiry_date, is_current FROM {versions} v"""

@@ -136,6 +136,15 @@ class Binding:
         dates = self.raw("orders").selectExpr("o_orderkey AS order_id", "CAST(o_orderdate AS DATE) AS order_date")
         return items.join(dates, "order_id")
 
+    def dated_totals(self, items: DataFrame, *measures: str, by: tuple[str, ...] = ()) -> DataFrame:
+        """Lines summed per order (and `by`) before they meet the order dates.
+
+        For results that only add lines up: an order with very many lines is a single row
+        in the join, and every task combines its lines before the shuffle.
+        """
+        combined = items.groupBy("order_id", *by).agg(*[F.sum(m).alias(m) for m in measures])
+        return self.dated(combined)
+
     @cached_property
     def returns(self) -> DataFrame:
         return (self.raw("lineitem").where("l_returnflag = 'R'")

@@ -121,4 +121,3 @@ def test_compute_all_blocks_are_consistent(spark, shop, tmp_path):
     write_report(report, str(tmp_path))
     lines = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/monthly_trend").collect()]
     assert {x["month"]: x["revenue_mom_pct"] for x in lines} == {"2023-03": None, "2023-04": -33.33}
-    metrics.release(blocks)
