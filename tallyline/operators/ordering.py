@@ -25,38 +25,62 @@ ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
 SAMPLES_PER_BUCKET = 32
 
-_KEY, _AT, _SPLITS, _BUCKET = "_key", "_at", "_splits", "_bucket"
+_KEY, _AT, _BUCKET = "_key", "_at", "_bucket"
 _COUNT, _RUN, _CARRY = "_n", "_run", "_carry"
 
 
-def _with_buckets(df: DataFrame, by: list[str], id: str, n: int, buckets: int) -> DataFrame:
-    """Add `_at` (the order tuple), `_splits` (the sorted split tuples) and `_bucket`."""
-    df = df.withColumn(_AT, F.struct(*by, F.col(_KEY), F.col(id)))
-    # Uniform in [0, 1) and a function of the row alone: every evaluation agrees.
-    dice = F.pmod(F.xxhash64(F.col(id), *by), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    keep = min(1.0, SAMPLES_PER_BUCKET * buckets / n)
-    picked = (df.where(dice < keep)
-              .agg(F.sort_array(F.collect_list(_AT)).alias("s")))
+def _split_points(df: DataFrame, fields: list[str], id: str, n: int, buckets: int) -> Column:
+    """Sorted split tuples as a constant array: at most about one per bucket.
+
+    The sample is about SAMPLES_PER_BUCKET rows per bucket, whatever the size of the data,
+    picked by a hash of the row, so that it does not depend on the partitioning.
+    """
+    dice = F.pmod(F.xxhash64(id, *[f for f in fields if f not in (_KEY, id)]), F.lit(1 << 30)) / float(1 << 30)
+    sample = df.where(dice < min(1.0, SAMPLES_PER_BUCKET * buckets / n))
+    ordered = sample.agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("s"))
     step = F.greatest(F.lit(1), F.ceil(F.size("s") / F.lit(buckets)).cast("int"))
-    splits = picked.select(
-        F.filter("s", lambda s, i: (i + 1) % step == 0).alias("s"))
-    df = df.withColumn(_SPLITS, splits.scalar())
+    picked = (ordered.select(F.filter("s", lambda s, i: (i + 1) % step == 0).alias("s"))
+              .select(F.posexplode("s").alias("at", "e"))
+              .select("at", *[F.col(f"e.`{f}`").cast("string").alias(f) for f in fields]))
+    kinds = {f: df.schema[f].dataType.simpleString() for f in fields}
+    tuples = [f"NAMED_STRUCT({', '.join(f'{_quoted(f)}, CAST({_quoted(r[f])} AS {kinds[f]})' for f in fields)})"
+              for r in sorted(picked.collect(), key=lambda r: r["at"])]
+    layout = ", ".join(f"`{f}`: {kinds[f]}" for f in fields)
+    return F.expr(f"CAST(ARRAY({', '.join(tuples)}) AS ARRAY<STRUCT<{layout}>>)")
+
+
+def _quoted(text: str | None) -> str:
+    if text is None:
+        return "NULL"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _with_buckets(df: DataFrame, by: list[str], id: str, n: int, buckets: int,
+                  edges: bool = False) -> DataFrame:
+    """Add `_bucket`. With `edges` also whether the row has the group and order value of
+    its bucket's lower or upper split, and those two values."""
+    fields = list(dict.fromkeys([*by, _KEY, id]))
+    splits = _split_points(df, fields, id, n, buckets)
     # Binary search: the number of split tuples that are <= the row's tuple.
-    strides = [1 << b for b in reversed(range(buckets.bit_length()))]
+    strides = F.array(*[F.lit(1 << b) for b in reversed(range(buckets.bit_length()))])
     found = F.aggregate(
-        F.array(*[F.lit(s) for s in strides]), F.lit(0),
-        lambda at, s: F.when(F.get(_SPLITS, at + s - 1) <= F.col(_AT), at + s).otherwise(at))
-    return df.withColumn(_BUCKET, found)
+        strides, F.lit(0),
+        lambda at, s: F.when(F.get(splits, at + s - 1) <= F.col(_AT), at + s).otherwise(at))
+    df = df.withColumn(_AT, F.struct(*fields)).withColumn(_BUCKET, found)
+    if edges:
+        sides = {"_low": F.get(splits, F.col(_BUCKET) - 1), "_high": F.get(splits, F.col(_BUCKET))}
+        for side, split in sides.items():
+            same = split.isNotNull()
+            for c in [*by, _KEY]:
+                same = same & split[c].eqNullSafe(F.col(c))
+            df = df.withColumns({f"{side}_peer": same, f"{side}_value": split[_KEY]})
+    return df.drop(_AT)
 
 
 def _bucket_count(n: int, rows_per_bucket: int) -> int:
     return max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
 
 
-def _split_peer(bucket: Column) -> Column:
-    return F.get(_SPLITS, bucket)
-
-
 def prefix_scan(df: DataFrame, order: str, id: str, sums: Sequence[str] = (),
                 by: Sequence[str] = (), frame: str = "rows", descending: bool = False,
                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -91,16 +115,14 @@ def _scan(staged: DataFrame, n: int, order: str, id: str, sums: list[str], by: l
                 .withColumns({names[c]: F.sum(c).over(peers) for c in measures})
                 .drop(_KEY, _COUNT))
 
-    keyed = _with_buckets(keyed, by, id, n, buckets)
+    keyed = _with_buckets(keyed, by, id, n, buckets, edges=frame == "range")
     offsets = _offsets(keyed, by, measures, frame)
     local = [_BUCKET, *by]
     scanned = (keyed
                .withColumn("row_number",
                            F.row_number().over(Window.partitionBy(*local).orderBy(_KEY, id)).cast("bigint"))
                .withColumns({_RUN + c: F.sum(c).over(_frame(Window.partitionBy(*local), id, frame))
-                             for c in measures})
-               .withColumn("_upper", _peer_of(F.col(_BUCKET), by))
-               .drop(_AT, _SPLITS))
+                             for c in measures}))
     on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in local]
     # Without groups the offsets are one row per bucket, at most MAX_BUCKETS.
     side = offsets if by else F.broadcast(offsets)
@@ -110,7 +132,7 @@ def _scan(staged: DataFrame, n: int, order: str, id: str, sums: list[str], by: l
     for c in measures:
         running = F.col(f"l.{_RUN}{c}") + F.col(f"r.before_{c}")
         if frame == "range":
-            running = running + F.when(F.col("l._upper"), F.col(f"r.{_CARRY}{c}")).otherwise(F.lit(0))
+            running = running + F.when(F.col("l._high_peer"), F.col(f"r.{_CARRY}{c}")).otherwise(F.lit(0))
         out.append(running.alias(names[c]))
     return joined.select(*out)
 
@@ -121,24 +143,13 @@ def _frame(window, id: str, frame: str):
     return window.orderBy(_KEY).rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _peer_of(bucket: Column, by: list[str]) -> Column:
-    """True when the row has the group and order value of the split at `bucket`."""
-    split = _split_peer(bucket)
-    same = split.isNotNull()
-    for c in [*by, _KEY]:
-        same = same & split[c].eqNullSafe(F.col(c))
-    return same
-
-
 def _offsets(keyed: DataFrame, by: list[str], measures: list[str], frame: str) -> DataFrame:
     """Per bucket (and group): totals of the earlier buckets, and for the range frame the
     totals of the rows in later buckets that equal this bucket's upper split value."""
-    at_lower = _peer_of(F.col(_BUCKET) - 1, by)
     aggs = [F.sum(c).alias(c) for c in measures]
     if frame == "range":
-        aggs += [F.sum(F.when(at_lower, F.col(c))).alias("low" + c) for c in measures]
-        aggs += [F.first(_split_peer(F.col(_BUCKET) - 1)[_KEY]).alias("_lower"),
-                 F.first(_split_peer(F.col(_BUCKET))[_KEY]).alias("_upper_value")]
+        aggs += [F.sum(F.when(F.col("_low_peer"), F.col(c))).alias("low" + c) for c in measures]
+        aggs += [F.first("_low_value").alias("_lower"), F.first("_high_value").alias("_upper")]
     totals = keyed.groupBy(_BUCKET, *by).agg(*aggs)
     earlier = (Window.partitionBy(*by).orderBy(_BUCKET)
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -149,7 +160,7 @@ def _offsets(keyed: DataFrame, by: list[str], measures: list[str], frame: str) -
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         following = Window.partitionBy(*by).orderBy(_BUCKET)
         totals = totals.withColumns({"tail" + c: F.sum("low" + c).over(tail) for c in measures})
-        meets = F.lead("_lower").over(following).eqNullSafe(F.col("_upper_value"))
+        meets = F.lead("_lower").over(following).eqNullSafe(F.col("_upper"))
         totals = totals.withColumns({
             _CARRY + c: F.coalesce(F.when(meets, F.lead("tail" + c).over(following)), F.lit(0))
             for c in measures})

@@ -131,6 +131,23 @@ def test_share_of_total(spark, group_rows):
     assert [(r.id, float(r.pct)) for r in got.orderBy("id").collect()] == [("a", 25.0), ("b", 75.0)]
 
 
+def test_split_points_quote_odd_ids(spark):
+    odd = ["it's", "back\\slash", "tab\t", "", "quote\"", "ünï", "a,b", "{x}"] * 20
+    df = spark.createDataFrame([(f"{t}{i}", i % 3) for i, t in enumerate(odd)], "id string, v long")
+    want = df.select("id", F.row_number().over(Window.orderBy("v", "id")).cast("bigint"))
+    assert rows(prefix_scan(df, "v", "id", rows_per_bucket=10), "id", "row_number") == rows(want)
+
+
+@pytest.mark.parametrize("kind", ["double", "date", "timestamp", "int"])
+def test_order_column_types(spark, kind):
+    base = spark.range(300).withColumn("n", (F.col("id") * 37 % 101) - 50)
+    made = {"double": F.col("n") / 7, "int": F.col("n").cast("int"), "date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("n").cast("int")),
+            "timestamp": F.timestamp_micros(F.col("n") * 1_234_567)}[kind]
+    df = base.select("id", made.alias("v"))
+    want = df.select("id", F.row_number().over(Window.orderBy("v", "id")).cast("bigint"))
+    assert rows(prefix_scan(df, "v", "id", rows_per_bucket=20), "id", "row_number") == rows(want)
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "id string, v long")
     assert prefix_scan(df, "v", "id", ["v"]).count() == 0
