@@ -9,6 +9,25 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tallyline.functions.columns import month_of
 
 
+def linear_trend(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Least-squares `slope` and `intercept` per key, with the number of points `n`.
+
+    A series of one point has slope 0 and its value as intercept.
+    """
+    return df.groupBy(*keys).agg(
+        F.coalesce(F.regr_slope(y, x), F.lit(0.0)).alias("slope"),
+        F.coalesce(F.regr_intercept(y, x), F.avg(y)).alias("intercept"),
+        F.count(F.lit(1)).alias("n"))
+
+
+def correlate(df: DataFrame, x: str, y: str, keys: Sequence[str] = (), digits: int = 3) -> DataFrame:
+    """Pearson `correlation` of two columns per key over the rows that have both, and the
+    number of such rows as `periods`."""
+    return (df.dropna(subset=[x, y]).groupBy(*keys)
+            .agg(F.round(F.corr(F.col(x).cast("double"), F.col(y).cast("double")), digits).alias("correlation"),
+                 F.count(F.lit(1)).alias("periods")))
+
+
 def revenue_forecast(series: DataFrame, keys: Sequence[str] = (), horizon: int = 6,
                      month: str = "month", value: str = "revenue") -> DataFrame:
     """Linear trend times mean seasonal ratio per calendar month, never below zero.
@@ -21,13 +40,11 @@ def revenue_forecast(series: DataFrame, keys: Sequence[str] = (), horizon: int =
               .select(*keys, F.col(month).alias("month"), F.col(value).cast("double").alias("y"))
               .withColumn("x", (F.row_number().over(Window.partitionBy(*keys).orderBy("month")) - 1)
                           .cast("double")))
-    fit = points.groupBy(*keys).agg(
-        F.coalesce(F.regr_slope("y", "x"), F.lit(0.0)).alias("slope"),
-        F.coalesce(F.regr_intercept("y", "x"), F.avg("y")).alias("intercept"),
-        F.count(F.lit(1)).alias("n"), F.max("month").alias("last_month"))
-    every = [*keys, "_s"]
+    # a constant key lets a single series join its one-row fit like any other
     points = points.withColumn("_s", F.lit(0))
-    fit = fit.withColumn("_s", F.lit(0))
+    every = [*keys, "_s"]
+    last = points.groupBy(*every).agg(F.max("month").alias("last_month"))
+    fit = linear_trend(points, "y", "x", every).join(last, every)
     trend = F.col("intercept") + F.col("slope") * F.col("x")
     seasonal = (points.join(fit, every)
                 .withColumn("share", F.col("y") / F.when(trend == 0, 1.0).otherwise(trend))
@@ -56,8 +73,6 @@ def driver_correlations(revenue: DataFrame, drivers: DataFrame, min_periods: int
     `revenue` is (keys..., period, revenue), `drivers` (keys..., period, driver, value), at
     any period grain. Drivers with fewer than `min_periods` common periods are left out.
     """
-    joined = revenue.join(drivers, [*keys, "period"]).dropna(subset=["revenue", "value"])
-    x, y = F.col("revenue").cast("double"), F.col("value").cast("double")
-    return (joined.groupBy(*keys, "driver")
-            .agg(F.round(F.corr(x, y), 3).alias("correlation"), F.count(F.lit(1)).alias("periods"))
+    joined = revenue.join(drivers, [*keys, "period"])
+    return (correlate(joined, "revenue", "value", [*keys, "driver"])
             .where(F.col("periods") >= min_periods))
