@@ -91,9 +91,9 @@ def stratified_split(df: DataFrame, label: str, id: str, test_share: float = 0.2
     Rows are ordered by a seeded hash of the id, so the split does not depend on how the
     data is partitioned; the first share of every class is the test set.
     """
-    mixed = df.withColumn("_dice", F.xxhash64(F.col(id), F.lit(seed)))
-    placed = prefix_scan(mixed, "_dice", id, by=[label], rows_per_bucket=rows_per_bucket)
-    sizes = df.groupBy(label).agg(F.round(F.count(F.lit(1)) * test_share).cast("bigint").alias("_quota"))
+    mixed = cut_lineage(df.withColumn("_dice", F.xxhash64(F.col(id), F.lit(seed))))
+    placed = prefix_scan(mixed, "_dice", id, by=[label], rows_per_bucket=rows_per_bucket, stored=True)
+    sizes = mixed.groupBy(label).agg(F.round(F.count(F.lit(1)) * test_share).cast("bigint").alias("_quota"))
     return (placed.join(sizes, label)
             .withColumns({"is_test": F.col("row_number") <= F.col("_quota"),
                           "fold": (F.col("row_number") % folds).cast("int")})
@@ -238,18 +238,23 @@ def ranking_quality(scan: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.sum(precision_part).alias("pr_auc"))
 
 
-def confusion(scored: DataFrame, label: str, p: str, threshold: float = 0.5) -> DataFrame:
-    actual, flagged = F.col(label) == 1, F.col(p) >= threshold
-    return scored.agg(F.count_if(~actual & ~flagged).alias("tn"), F.count_if(~actual & flagged).alias("fp"),
-                      F.count_if(actual & ~flagged).alias("fn"), F.count_if(actual & flagged).alias("tp"))
+def confusion(scan: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Confusion counts at the threshold, from the per-score counts of a threshold scan."""
+    flagged = F.col("score") >= threshold
+
+    def counted(condition, c):
+        return F.coalesce(F.sum(F.when(condition, F.col(c))), F.lit(0))
+    return scan.agg(counted(~flagged, "neg").alias("tn"), counted(flagged, "neg").alias("fp"),
+                    counted(~flagged, "pos").alias("fn"), counted(flagged, "pos").alias("tp"))
 
 
 def evaluate(scored: DataFrame, label: str, p: str, threshold: float = 0.5,
              rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """One row: exact ROC-AUC, average precision, precision, recall, F1, base rate and the
-    confusion matrix at the threshold."""
-    quality = ranking_quality(threshold_scan(scored, label, p, rows_per_bucket=rows_per_bucket))
-    out = confusion(scored, label, p, threshold).withColumn(
+    confusion matrix at the threshold. The scored rows are read once."""
+    scan = threshold_scan(scored, label, p, rows_per_bucket=rows_per_bucket)
+    quality = ranking_quality(scan)
+    out = confusion(scan, threshold).withColumn(
         "_q", quality.select(F.struct("roc_auc", "pr_auc")).scalar())
 
     def rounded(c):
@@ -303,9 +308,8 @@ def permutation_importance(model: PipelineModel, df: DataFrame, columns: Sequenc
     """
     columns = list(columns)
     rows = df.select(id, label, *columns)
-    at = (prefix_scan(rows, id, id, rows_per_bucket=rows_per_bucket)
-          .withColumnRenamed("row_number", "_pos").drop("running_count"))
-    at = cut_lineage(at)
+    at = cut_lineage(prefix_scan(rows, id, id, rows_per_bucket=rows_per_bucket)
+                     .withColumnRenamed("row_number", "_pos").drop("running_count"))
     dice = (at.select(id, *columns).withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
             .withColumn("_dice", F.xxhash64(F.col(id), F.lit(seed), "repeat")))
     shuffled = prefix_scan(dice, "_dice", id, by=["repeat"], rows_per_bucket=rows_per_bucket)

@@ -174,15 +174,15 @@ def returns_analysis(returns: DataFrame) -> dict[str, DataFrame]:
 def compute_all(tables: Mapping[str, DataFrame], max_periods: int = 12) -> dict[str, DataFrame]:
     """Every block of the report as a lazy DataFrame, with the quality gate and run data.
 
-    Product-level blocks share one stored per-product sum of the enriched lines, and the
-    customer blocks share the feature table's stored base.
+    What several blocks read is stored once: the per-product sums of the enriched lines, the
+    base of the customer features, the monthly series and the quality checks.
     """
     orders, customers = tables["fact_orders"], tables["dim_customers"]
     enriched = items_enriched(tables["fact_order_items"], orders, tables["dim_products"])
     per_product = cut_lineage(combined_per_product(enriched))
     features = customer_features(customers, orders)
-    monthly = monthly_revenue(orders)
-    report = quality_report(tables)
+    monthly = cut_lineage(monthly_revenue(orders))
+    report = cut_lineage(quality_report(tables))
     abc = product_abc(per_product, tables["dim_products"])
     blocks = {
         "executive_kpis": executive_kpis(orders, per_product, tables.get("fact_returns")),

@@ -83,18 +83,18 @@ def _bucket_count(n: int, rows_per_bucket: int) -> int:
 
 def prefix_scan(df: DataFrame, order: str, id: str, sums: Sequence[str] = (),
                 by: Sequence[str] = (), frame: str = "rows", descending: bool = False,
-                rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                rows_per_bucket: int = ROWS_PER_BUCKET, stored: bool = False) -> DataFrame:
     """Add `row_number`, `running_<c>` per column of `sums`, and `running_count`.
 
     Rows are ordered by `order` and then by the unique `id`, within each group `by`.
     `frame="rows"` sums up to the row itself; `frame="range"` also takes every row with
     the same order value, and `running_count` counts the same rows. `order` must be a
     number when `descending`. Sum exact types (integers, decimals) for results that do
-    not depend on the bucket layout.
+    not depend on the bucket layout. `stored` says the frame is materialised already.
     """
     if frame not in ("rows", "range"):
         raise ValueError(f"unknown frame: {frame}")
-    staged = cut_lineage(df)
+    staged = df if stored else cut_lineage(df)
     return _scan(staged, staged.count(), order, id, list(sums), list(by), frame, descending,
                  rows_per_bucket)
 

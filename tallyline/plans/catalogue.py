@@ -15,6 +15,7 @@ from tallyline.functions import derive
 from tallyline.functions.columns import month_of, ratio, report_edge
 from tallyline.operators import (churn, customers as cust, dimensions, filters, forecast, metrics,
                                  ordering, quality, sales)
+from tallyline.plans.views import register_views
 from tallyline.session import cut_lineage, shared_dir
 from tallyline.sources import readers, sinks
 from tallyline.sources.bindings import ONLINE_PRIORITY, Binding
@@ -511,6 +512,31 @@ def driver_correlations(b):
     return forecast.driver_correlations(revenue, spend.unionByName(visitors))
 
 
+@query
+def linear_trend(b):
+    """Monthly revenue trend per channel."""
+    monthly = (b.orders.groupBy("channel", month_of("order_date").alias("month"))
+               .agg(F.sum("total_amount").cast("double").alias("revenue"))
+               .withColumn("x", (F.year("month") * 12 + F.month("month")).cast("double")))
+    fit = forecast.linear_trend(monthly, "revenue", "x", ["channel"])
+    return fit.select("channel", F.round("slope", 2).alias("slope"), F.round("intercept", 0).alias("intercept"), "n")
+
+
+@query
+def correlate(b):
+    """Quantity against revenue of the lines, per return flag."""
+    lines = b.lines.select("return_flag", F.col("quantity").alias("x"), F.col("line_revenue").alias("y"))
+    return forecast.correlate(lines, "x", "y", ["return_flag"])
+
+
+@query
+def customer_clv_sql(b):
+    """The value of one customer through the SQL table function."""
+    register_views(b.spark, {"dim_customers": b.customers, "fact_orders": b.orders,
+                             "fact_order_items": b.dated(b.items)}, AS_OF)
+    return b.spark.sql("SELECT * FROM customer_clv_lookup(7)")
+
+
 @query
 def run_meta(b):
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]

@@ -606,6 +606,12 @@ def _build() -> dict[str, str]:
         JOIN (SELECT CAST(ts AS DATE) AS day, 'Marketing spend' AS driver, {_dbl("SUM(CAST(value AS DECIMAL(12,2))) FILTER (event_type = 'click')")} AS value FROM events GROUP BY 1
               UNION ALL SELECT CAST(ts AS DATE), 'Website visitors', {_dbl('COUNT(DISTINCT user_id)')} FROM events GROUP BY 1) d USING (day)
         WHERE revenue IS NOT NULL AND value IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 3"""
+    q["linear_trend"] = f"""
+        SELECT channel, ROUND(regr_slope(y, x), 2) AS slope, ROUND(regr_intercept(y, x), 0) AS intercept, COUNT(*) AS n FROM (
+        SELECT channel, year(order_date) * 12 + month(order_date) AS x, {_dbl('SUM(total_amount)')} AS y FROM ords GROUP BY 1, 2) q GROUP BY 1"""
+    q["correlate"] = f"""
+        SELECT return_flag, ROUND(corr(quantity, {_dbl('line_revenue')}), 3) AS correlation, COUNT(*) AS periods FROM lines GROUP BY 1"""
+    q["customer_clv_sql"] = q["customer_clv_lookup"]
     q["run_meta"] = """
         SELECT 8::BIGINT AS tables_loaded, CAST((SELECT COUNT(*) FROM region) + (SELECT COUNT(*) FROM nation) + (SELECT COUNT(*) FROM customer)
                + (SELECT COUNT(*) FROM supplier) + (SELECT COUNT(*) FROM part) + (SELECT COUNT(*) FROM orders)
