@@ -37,6 +37,16 @@ _PAIR = 20  # bits of a token id in a pair key
 _MEMO_CHARS = 64
 
 
+def read_ranks(path: str) -> list[bytes]:
+    """The tokens of a `.tiktoken` file by id. Ids must be 0..n-1."""
+    with open(path, "rb") as lines:
+        pairs = [line.split() for line in lines if line.strip()]
+    tokens = [b""] * len(pairs)
+    for token, rank in pairs:
+        tokens[int(rank)] = base64.b64decode(token)
+    return tokens
+
+
 class MergeTransducer:
     """Encodes byte strings by the ranks of `tokens` (index = id = merge priority)."""
 
