@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import bpe, packing, pii
+from tallyline.llm import bpe, langid, packing, pii, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,15 +25,31 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "bucket")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
+    model = langid.fit(docs.where(~F.col("held_out")))
+    return langid.predict(docs.select("doc_id", "text", "held_out"), model).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     return pii.detect(_table(spark, sf_dir, "documents"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors.where(F.col("vec_id") % 20 == 0), vectors)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_packing": op2_packing,
+    "op4_language": op4_language,
     "op7_pii": op7_pii,
+    "op10_top_k": op10_top_k,
 }
 
 ORACLE: dict[str, str] = {}
