@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import bpe, langid, packing, pii, topk
+from tallyline.llm import bpe, fingerprint, langid, packing, pii, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(_table(spark, sf_dir, "documents"))
 
 
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match prints of every document, its edited text and its successor."""
+    return fingerprint.compare_edited(_table(spark, sf_dir, "documents"))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth one."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -49,6 +54,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_language": op4_language,
     "op7_pii": op7_pii,
+    "op8_fingerprint": op8_fingerprint,
     "op10_top_k": op10_top_k,
 }
 
