@@ -48,7 +48,7 @@ def fingerprints(texts: DataFrame, band: DataFrame, keys: list[str], subsets: in
     its characters, so equal texts always have equal prints.
     """
     rows = texts.select(*keys, F.xxhash64(text).alias("_whole"), terms(F.col(text)).alias("_terms"))
-    all_terms = F.xxhash64(F.array_sort("_terms"))
+    all_terms = F.xxhash64(F.sort_array("_terms"))
     rows = rows.select(
         *keys, F.when(F.size("_terms") > 0, all_terms).otherwise(F.col("_whole")).alias("_spare"),
         F.explode(F.concat(F.array(F.lit(_ALWAYS).cast("bigint")), F.col("_terms"))).alias("term"))
@@ -59,10 +59,10 @@ def fingerprints(texts: DataFrame, band: DataFrame, keys: list[str], subsets: in
         F.pmod(F.xxhash64("term", F.lit("subset")), F.lit(subsets))).cast("bigint")
     hashed = (rows.join(known, "term", "left_semi").withColumn("_subset", subset)
               .groupBy(*keys, "_subset")
-              .agg(F.xxhash64(F.array_sort(F.collect_list("term"))).alias("_hash"), F.first("_spare").alias("_spare")))
+              .agg(F.xxhash64(F.sort_array(F.collect_list("term"))).alias("_hash"), F.first("_spare").alias("_spare")))
     value = F.when(F.col("_subset") == _NO_TERM, F.col("_spare")).otherwise(F.col("_hash"))
     entry = value.bitwiseAND(F.lit(~_SUBSET_BITS)).bitwiseOR(F.col("_subset"))
-    printed = hashed.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_all"))
+    printed = hashed.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_all"))
     within = F.filter("_all", lambda e: _subset_of(e) != _NO_TERM)
     return printed.select(*keys, F.when(F.size(within) > 0, within).otherwise(F.col("_all")).alias("print"))
 
