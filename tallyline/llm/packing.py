@@ -11,6 +11,7 @@ nothing is shuffled, however long a document or frequent a length is.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,40 +19,74 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 _MEMO_CHARS = 64
+_AFTER_LATIN = "\u0250"     # letters before it are composed, and lower-cased one by one
 
 
 class WordIds:
     """Ids of a `tokenizers` file, remembered per word.
 
     The tokenizer drops white space and never looks across it, so a text is cut at spaces
-    and line ends and each distinct word is tokenized once. The memo is emptied at
-    `max_memo` words, so memory does not depend on the input.
+    and line ends and each distinct word is tokenized once. It also never joins full stops
+    and commas to a letter or digit before them, so those are cut off first. What is left
+    is often one run of Latin letters in either case: lower-cased, it is one unit to the
+    tokenizer, which then needs to normalise and split nothing. The memos are emptied at
+    `max_memo` entries, so memory does not depend on the input.
     """
 
-    def __init__(self, path: str, max_memo: int = 500_000):
+    def __init__(self, path: str, max_memo: int = 900_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._units = Tokenizer.from_file(path)
+        self._units.normalizer = None
+        self._units.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.max_memo = max_memo
         self._words: dict[str, bytes] = {"": b""}
+        self._parts: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         words = text.replace("\n", " ").split(" ")
         ids = list(map(self._words.get, words))
-        for i, known in enumerate(ids):
-            if known is None:
-                word = words[i]
-                ids[i] = known = self._words.get(word)
-                if known is None:
-                    numbers = self._tokenizer.encode(word, add_special_tokens=False).ids
-                    ids[i] = known = b"".join(n.to_bytes(4, "little") for n in numbers)
-                    if len(word) <= _MEMO_CHARS:
-                        if len(self._words) >= self.max_memo:
-                            self._words = {"": b""}
-                        self._words[word] = known
+        if None in ids:
+            new = dict.fromkeys(w for w, known in zip(words, ids) if known is None)
+            self._learn(new)
+            ids = [new[w] if known is None else known for w, known in zip(words, ids)]
         return b"".join(ids)
 
+    def _learn(self, new: dict[str, bytes | None]) -> None:
+        cuts, other, letters, known = {}, {}, {}, self._parts
+        for word in new:
+            core = word.rstrip(".,")
+            lower = core.lower()
+            if not core or not lower[-1].isalnum():       # a capital dotted I ends in a mark
+                core = lower = word
+            if lower.isalpha() and (lower.isascii() or max(lower) < _AFTER_LATIN):
+                core_key = lower
+                if lower not in known:
+                    letters[lower] = None
+            else:
+                core_key = core
+                if core not in known:
+                    other[core] = None
+            tail = word[len(core):]
+            if tail and tail not in known:
+                other[tail] = None
+            cuts[word] = core_key, tail
+        for tokenizer, unknown in ((self._units, letters), (self._tokenizer, other)):
+            if unknown:
+                for part, found in zip(unknown, tokenizer.encode_batch_fast(list(unknown), add_special_tokens=False)):
+                    unknown[part] = struct.pack(f"<{len(found)}I", *found.ids)
+        found = {**other, **letters}
+        for word, parts in cuts.items():
+            new[word] = b"".join([found[p] if p in found else known[p] for p in parts if p])
+        for memo, more in ((self._words, new), (self._parts, found)):
+            if len(memo) >= self.max_memo:
+                memo.clear()
+                self._words[""] = b""
+            memo.update((w, i) for w, i in more.items() if len(w) <= _MEMO_CHARS)
+
 
 @lru_cache(maxsize=2)
 def _shared(path: str) -> WordIds:
