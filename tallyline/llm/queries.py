@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import bpe, fingerprint, langid, packing, pii, topk
+from tallyline.llm import bpe, fingerprint, langid, ngram_join, packing, pii, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "bucket")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
@@ -52,6 +57,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_packing": op2_packing,
+    "op3_ngram_join": op3_ngram_join,
     "op4_language": op4_language,
     "op7_pii": op7_pii,
     "op8_fingerprint": op8_fingerprint,
