@@ -29,37 +29,19 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallyline.llm.packed import (
+    U, WordHashes, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted)
 from tallyline.session import cut_lineage
 
 _MASK = np.uint64(0xFFFFFFFFFFFF)             # signatures are 48 bits
 _ENTRIES_PER_CHUNK = 2_000_000
-_ENTRIES_PER_BUCKET = 1_000_000
-_U = np.uint64
+_ENTRIES_PER_BUCKET = 2_000_000
+_CLASS_BYTES = 12
 
 
-class _WordHashes(dict):
-    """64-bit hashes by word; emptied when it holds a million."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-
-_WORDS = _WordHashes()
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective mixing of unsigned 64-bit integers (splitmix64 finaliser)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+_WORDS = WordHashes()
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -76,7 +58,7 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     n = len(hashes) - width + 1
     out = np.zeros(n, np.uint64)
     for i in range(width):
-        out = mix(out + hashes[i:i + n] + _U(0x9E3779B97F4A7C15))
+        out = mix(out + hashes[i:i + n] + U(0x9E3779B97F4A7C15))
     return np.unique(out)
 
 
@@ -116,37 +98,26 @@ def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
         seed = mix(np.array([instance + 1], np.uint64))[0]
         dealt = mix(elements ^ seed)
         value = mix(dealt + seed)
-        slot = ((dealt % _U(parts)) * _U(3) + (dealt >> _U(40)) % _U(3)).astype(np.int64)
-        low = np.bincount(slot, value & _U(0xFFFFFFFF), 3 * parts).astype(np.uint64)
-        high = np.bincount(slot, value >> _U(32), 3 * parts).astype(np.uint64)
-        sums = (low + (high << _U(32))).reshape(parts, 3)
+        slot = ((dealt % U(parts)) * U(3) + (dealt >> U(40)) % U(3)).astype(np.int64)
+        low = np.bincount(slot, value & U(0xFFFFFFFF), 3 * parts).astype(np.uint64)
+        high = np.bincount(slot, value >> U(32), 3 * parts).astype(np.uint64)
+        sums = (low + (high << U(32))).reshape(parts, 3)
         counts = np.bincount(slot, minlength=3 * parts).reshape(parts, 3)
         rest, others = sums.sum(axis=1, keepdims=True) - sums, counts.sum(axis=1, keepdims=True) - counts
         place = np.arange(3 * parts, dtype=np.uint64).reshape(parts, 3)
         signed = mix(mix(rest ^ seed) + place)
         out.append(signed[others > 0])
         if (others == 0).any(axis=1).sum() > spare:
-            out.append(mix(mix(elements + seed) ^ _U(0xABCDEF)))
+            out.append(mix(mix(elements + seed) ^ U(0xABCDEF)))
     return np.unique(np.concatenate(out) & _MASK) if out else np.zeros(0, np.uint64)
 
 
 def _class(elements: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(elements.tobytes())
-
-
-def _squeeze(values: np.ndarray) -> bytes:
-    """Bytes of equal weight side by side, compressed."""
-    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), 1)
-
-
-def _expand(data: bytes, kind: type) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).ravel()
+    return xxhash.xxh3_128_digest(elements.tobytes())[:_CLASS_BYTES]
 
 
 def describe(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """`id`, `n_shingles`, `class` (128-bit hash of the set) per row."""
+    """`id`, `n_shingles`, `class` (96-bit hash of the set) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = (shingles(t.as_py(), words) for t in batch.column(1))
@@ -166,23 +137,13 @@ def packed_signatures(df: DataFrame, text: str, words: int, bands: Bands, bucket
 
     def pack(sets: dict[bytes, np.ndarray]) -> Iterator[pa.RecordBatch]:
         names = list(sets)
-        signed = np.concatenate(list(sets.values()))
         owner = np.repeat(np.arange(len(names), dtype=np.uint32), [len(s) for s in sets.values()])
-        bucket = signed % _U(buckets)
-        order = np.lexsort((signed, bucket))
-        signed, owner, bucket = signed[order], owner[order], bucket[order].astype(np.int64)
-        ends = np.searchsorted(bucket, np.arange(buckets + 1))
         rows = []
-        for b in range(buckets):
-            piece = slice(ends[b], ends[b + 1])
-            if ends[b] == ends[b + 1]:
-                continue
-            used, local = np.unique(owner[piece], return_inverse=True)
-            rows.append((b, _squeeze(np.diff(signed[piece], prepend=_U(0))), _squeeze(local.astype(np.uint32)),
+        for bucket, at, signed in by_bucket(np.concatenate(list(sets.values())), buckets):
+            used, local = np.unique(owner[at], return_inverse=True)
+            rows.append((bucket, squeeze_sorted(signed), squeeze(local.astype(np.uint32)),
                          b"".join(names[i] for i in used)))
-        for at in range(0, len(rows), 64):
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(schema.names, row)) for row in rows[at:at + 64]], schema)
+        yield from in_batches(rows, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, held = {}, 0
@@ -207,9 +168,9 @@ def _shared(table: pa.Table) -> pa.Table:
     signed, member, names = [], [], {}
     for row in table.to_pylist():
         listed = row["classes"]
-        numbers = np.array([names.setdefault(listed[i:i + 16], len(names)) for i in range(0, len(listed), 16)], np.int64)
-        signed.append(np.cumsum(_expand(row["signatures"], np.uint64), dtype=np.uint64))
-        member.append(numbers[_expand(row["owners"], np.uint32)])
+        numbers = np.array([names.setdefault(listed[i:i + _CLASS_BYTES], len(names)) for i in range(0, len(listed), _CLASS_BYTES)], np.int64)
+        signed.append(expand_sorted(row["signatures"], np.uint64))
+        member.append(numbers[expand(row["owners"], np.uint32)])
     signed, member = np.concatenate(signed), np.concatenate(member)
     order = np.lexsort((member, signed))
     signed, member = signed[order], member[order]
@@ -237,7 +198,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, words: int) ->
             sets = [shingles(t.as_py(), words) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_class(s) for s in sets], pa.binary()),
-                 pa.array([_squeeze(np.diff(s, prepend=_U(0))) for s in sets], pa.binary())], ["class", "elements"])
+                 pa.array([squeeze_sorted(s) for s in sets], pa.binary())], ["class", "elements"])
 
     texts = docs.select(id, text).join(chosen, id).select("class", text)
     return texts.mapInArrow(run, "class binary, elements binary").dropDuplicates(["class"])
@@ -253,8 +214,8 @@ def _links(edges: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame
             kept = []
             for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if left != known[0]:
-                    known = left, np.cumsum(_expand(left, np.uint64), dtype=np.uint64)
-                other = np.cumsum(_expand(right, np.uint64), dtype=np.uint64)
+                    known = left, expand_sorted(left, np.uint64)
+                other = expand_sorted(right, np.uint64)
                 both = len(np.intersect1d(known[1], other, assume_unique=True))
                 kept.append(den * both >= num * (len(known[1]) + len(other) - both))
             yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import bpe, fingerprint, langid, ngram_join, packing, pii, topk
+from tallyline.llm import bpe, fingerprint, langid, line_dedup, lm_score, ngram_join, packing, pii, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,16 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document that repeat an earlier line, up to one changed word."""
+    docs = _table(spark, sf_dir, "documents")
+    counted = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"))
+    gone = line_dedup.repeated_lines(docs)
+    return counted.join(gone, "doc_id", "left").select(
+        "doc_id", F.greatest("n_lines", F.lit(0)).cast("bigint").alias("n_lines"),
+        F.greatest(F.size("repeated"), F.lit(0)).cast("bigint").alias("n_repeated"), "repeated")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     return pii.detect(_table(spark, sf_dir, "documents"))
@@ -48,6 +58,11 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(_table(spark, sf_dir, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leave-one-out trigram scores of every document."""
+    return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth one."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -59,8 +74,10 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_ngram_join": op3_ngram_join,
     "op4_language": op4_language,
+    "op5_line_dedup": op5_line_dedup,
     "op7_pii": op7_pii,
     "op8_fingerprint": op8_fingerprint,
+    "op9_lm_score": op9_lm_score,
     "op10_top_k": op10_top_k,
 }
 
