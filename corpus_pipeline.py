@@ -6,14 +6,37 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import packing, pii
+from tallyline.llm import langid, line_dedup, ngram_join, packing, pii
 from tallyline.session import shared_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or far from every language learned from the labelled ones, go."""
+    model = langid.fit(docs.where(~langid.held_out()))
+    found = langid.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), model)
+    return found.where(~F.col("rejected")).select("row.*")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier line, up to one changed word, leave the texts."""
+    return line_dedup.drop_repeated(docs)
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays.
+
+    Documents that lost all their lines have no words and link with nothing, so they stay;
+    so do documents without an id.
+    """
+    groups = ngram_join.near_duplicates(docs).where(F.col("doc_id") != F.col("component_id"))
+    gone = groups.select(F.col("doc_id").alias("_near_duplicate")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_near_duplicate"], "left_anti")
+
+
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; every document stays."""
     return pii.redact(docs)
@@ -25,11 +48,15 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language", keep_known_languages),
+    ("line_dedup", drop_repeated_lines),
+    ("near_duplicates", keep_one_of_near_duplicates),
     ("personal_data", hide_personal_data),
     ("packing", pack_sequences),
 ]
 
-# Language models of tokens, fitted centroids and edit distances have no SQL form.
+# Fitted centroids, edit distances over hashed neighbourhoods, connected components and a
+# tokenizer file have no SQL form; tests/llm compares each stage with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import bpe, fingerprint, langid, line_dedup, lm_score, ngram_join, packing, pii, topk
+from tallyline.llm import (
+    bpe, fingerprint, html_extract, langid, line_dedup, lm_score, ngram_join, packing, pii, topk)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.greatest(F.size("repeated"), F.lit(0)).cast("bigint").alias("n_repeated"), "repeated")
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     return pii.detect(_table(spark, sf_dir, "documents"))
@@ -75,6 +82,7 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_language": op4_language,
     "op5_line_dedup": op5_line_dedup,
+    "op6_html": op6_html,
     "op7_pii": op7_pii,
     "op8_fingerprint": op8_fingerprint,
     "op9_lm_score": op9_lm_score,
