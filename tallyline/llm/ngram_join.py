@@ -179,7 +179,7 @@ def _shared(table: pa.Table) -> pa.Table:
     signed, member = signed[fresh], member[fresh]
     starts = np.flatnonzero(np.concatenate([[True], signed[1:] != signed[:-1]]))
     sizes = np.diff(np.append(starts, len(signed)))
-    keys = np.array([np.frombuffer(n, np.uint64)[0] for n in names], np.uint64)
+    keys = np.array([np.frombuffer(n, np.uint64, 1)[0] for n in names], np.uint64)
     prints = np.add.reduceat(mix(keys[member]), starts)
     several = np.flatnonzero(sizes > 1)
     several = several[np.unique(prints[several], return_index=True)[1]]
@@ -195,13 +195,17 @@ def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, words: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t.as_py(), words) for t in batch.column(1)]
+            rows = []
+            for name, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                elements = shingles(t.as_py(), words)
+                if _class(elements) == name:           # not another text that shares the id
+                    rows.append((name, squeeze_sorted(elements)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_class(s) for s in sets], pa.binary()),
-                 pa.array([squeeze_sorted(s) for s in sets], pa.binary())], ["class", "elements"])
+                [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())],
+                ["class", "elements"])
 
     texts = docs.select(id, text).join(chosen, id).select("class", text)
-    return texts.mapInArrow(run, "class binary, elements binary").dropDuplicates(["class"])
+    return texts.mapInArrow(run, "class binary, elements binary")
 
 
 def _links(edges: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
