@@ -92,12 +92,11 @@ def stratified_split(df: DataFrame, label: str, id: str, test_share: float = 0.2
     data is partitioned; the first share of every class is the test set.
     """
     mixed = cut_lineage(df.withColumn("_dice", F.xxhash64(F.col(id), F.lit(seed))))
-    placed = prefix_scan(mixed, "_dice", id, by=[label], rows_per_bucket=rows_per_bucket, stored=True)
-    sizes = mixed.groupBy(label).agg(F.round(F.count(F.lit(1)) * test_share).cast("bigint").alias("_quota"))
-    return (placed.join(sizes, label)
-            .withColumns({"is_test": F.col("row_number") <= F.col("_quota"),
-                          "fold": (F.col("row_number") % folds).cast("int")})
-            .drop("_dice", "_quota", "row_number", "running_count"))
+    placed = prefix_scan(mixed, "_dice", id, by=[label], rows_per_bucket=rows_per_bucket, stored=True, size="_size")
+    quota = F.round(F.col("_size") * test_share).cast("bigint")
+    return (placed.withColumns({"is_test": F.col("row_number") <= quota,
+                                "fold": (F.col("row_number") % folds).cast("int")})
+            .drop("_dice", "_size", "row_number", "running_count"))
 
 
 def balance_weights(df: DataFrame, label: str = LABEL, name: str = "weight") -> DataFrame:

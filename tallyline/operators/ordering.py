@@ -7,8 +7,9 @@ are added. Split points are (order value, id) tuples, so any number of equal ord
 values still spreads over many buckets.
 
 The input is materialised once (see `cut_lineage`), because its rows are read for the
-count, the sample, the bucket totals and the window. A frame whose counted size fits
-one bucket takes the plain window.
+count, the sample, the bucket totals and the window. There is one path for all sizes: a
+small frame has as many buckets as the session has cores, a large one as many as its rows
+need.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from tallyline.functions.columns import ratio
 from tallyline.session import cut_lineage
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
 SAMPLES_PER_BUCKET = 32
 
 _KEY, _AT, _BUCKET = "_key", "_at", "_bucket"
@@ -33,10 +33,12 @@ def _split_points(df: DataFrame, fields: list[str], id: str, n: int, buckets: in
     """Sorted split tuples as a constant array: at most about one per bucket.
 
     The sample is about SAMPLES_PER_BUCKET rows per bucket, whatever the size of the data,
-    picked by a hash of the row, so that it does not depend on the partitioning.
+    picked by a hash of the row, so that it does not depend on the partitioning. Binary
+    search needs a lambda, in which Spark allows no subquery, so the tuples are collected:
+    one per `rows_per_bucket` rows. Raise that for tables of trillions of rows.
     """
     dice = F.pmod(F.xxhash64(id, *[f for f in fields if f not in (_KEY, id)]), F.lit(1 << 30)) / float(1 << 30)
-    sample = df.where(dice < min(1.0, SAMPLES_PER_BUCKET * buckets / n))
+    sample = df.where(dice < min(1.0, SAMPLES_PER_BUCKET * buckets / max(n, 1)))
     ordered = sample.agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("s"))
     step = F.greatest(F.lit(1), F.ceil(F.size("s") / F.lit(buckets)).cast("int"))
     picked = (ordered.select(F.filter("s", lambda s, i: (i + 1) % step == 0).alias("s"))
@@ -77,44 +79,39 @@ def _with_buckets(df: DataFrame, by: list[str], id: str, n: int, buckets: int,
     return df.drop(_AT)
 
 
-def _bucket_count(n: int, rows_per_bucket: int) -> int:
-    return max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
+def _bucket_count(df: DataFrame, n: int, rows_per_bucket: int) -> int:
+    return max(2, df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / rows_per_bucket))
 
 
 def prefix_scan(df: DataFrame, order: str, id: str, sums: Sequence[str] = (),
                 by: Sequence[str] = (), frame: str = "rows", descending: bool = False,
-                rows_per_bucket: int = ROWS_PER_BUCKET, stored: bool = False) -> DataFrame:
+                rows_per_bucket: int = ROWS_PER_BUCKET, stored: bool = False,
+                size: str | None = None) -> DataFrame:
     """Add `row_number`, `running_<c>` per column of `sums`, and `running_count`.
 
     Rows are ordered by `order` and then by the unique `id`, within each group `by`.
     `frame="rows"` sums up to the row itself; `frame="range"` also takes every row with
     the same order value, and `running_count` counts the same rows. `order` must be a
     number when `descending`. Sum exact types (integers, decimals) for results that do
-    not depend on the bucket layout. `stored` says the frame is materialised already.
+    not depend on the bucket layout. `stored` says the frame is materialised already;
+    `size` names a column for the number of rows of the group.
     """
     if frame not in ("rows", "range"):
         raise ValueError(f"unknown frame: {frame}")
     staged = df if stored else cut_lineage(df)
     return _scan(staged, staged.count(), order, id, list(sums), list(by), frame, descending,
-                 rows_per_bucket)
+                 rows_per_bucket, size)
 
 
 def _scan(staged: DataFrame, n: int, order: str, id: str, sums: list[str], by: list[str],
-          frame: str, descending: bool, rows_per_bucket: int) -> DataFrame:
-    buckets = _bucket_count(n, rows_per_bucket)
+          frame: str, descending: bool, rows_per_bucket: int, size: str | None = None) -> DataFrame:
+    """`size` names a column for the number of rows of the whole group."""
+    buckets = _bucket_count(staged, n, rows_per_bucket)
     keyed = staged.withColumn(_KEY, -F.col(order) if descending else F.col(order))
     keyed = keyed.withColumn(_COUNT, F.lit(1).cast("bigint"))
     measures = [_COUNT, *sums]
     names = {_COUNT: "running_count", **{c: f"running_{c}" for c in sums}}
 
-    if buckets == 1:
-        exact = Window.partitionBy(*by).orderBy(_KEY, id)
-        peers = _frame(Window.partitionBy(*by), id, frame)
-        return (keyed
-                .withColumn("row_number", F.row_number().over(exact).cast("bigint"))
-                .withColumns({names[c]: F.sum(c).over(peers) for c in measures})
-                .drop(_KEY, _COUNT))
-
     keyed = _with_buckets(keyed, by, id, n, buckets, edges=frame == "range")
     offsets = _offsets(keyed, by, measures, frame)
     local = [_BUCKET, *by]
@@ -124,7 +121,7 @@ def _scan(staged: DataFrame, n: int, order: str, id: str, sums: list[str], by: l
                .withColumns({_RUN + c: F.sum(c).over(_frame(Window.partitionBy(*local), id, frame))
                              for c in measures}))
     on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in local]
-    # Without groups the offsets are one row per bucket, at most MAX_BUCKETS.
+    # Without groups the offsets are one row per bucket.
     side = offsets if by else F.broadcast(offsets)
     joined = scanned.alias("l").join(side.alias("r"), on, "inner")
     out = [F.col(f"l.{c}") for c in staged.columns]
@@ -134,6 +131,8 @@ def _scan(staged: DataFrame, n: int, order: str, id: str, sums: list[str], by: l
         if frame == "range":
             running = running + F.when(F.col("l._high_peer"), F.col(f"r.{_CARRY}{c}")).otherwise(F.lit(0))
         out.append(running.alias(names[c]))
+    if size:
+        out.append(F.col("r._whole").alias(size))
     return joined.select(*out)
 
 
@@ -164,7 +163,8 @@ def _offsets(keyed: DataFrame, by: list[str], measures: list[str], frame: str) -
         totals = totals.withColumns({
             _CARRY + c: F.coalesce(F.when(meets, F.lead("tail" + c).over(following)), F.lit(0))
             for c in measures})
-    keep = [_BUCKET, *by, *[f"before_{c}" for c in measures]]
+    totals = totals.withColumn("_whole", F.sum(_COUNT).over(Window.partitionBy(*by)))
+    keep = [_BUCKET, *by, "_whole", *[f"before_{c}" for c in measures]]
     if frame == "range":
         keep += [_CARRY + c for c in measures]
     return totals.select(*keep)
@@ -172,23 +172,17 @@ def _offsets(keyed: DataFrame, by: list[str], measures: list[str], frame: str) -
 
 def rank_within(df: DataFrame, by: Sequence[str], order: str, id: str, name: str = "rank",
                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """SQL RANK() by descending `order` within each group, however large a group is."""
-    by = list(by)
+    """SQL RANK() by descending `order` within each group, however large a group is.
+
+    A group's size travels with the offsets, keyed by bucket and group, so the rows are
+    never gathered by group alone.
+    """
     staged = cut_lineage(df)
-    scanned = _scan(staged, staged.count(), order, id, [], by, "range", False, rows_per_bucket)
-    sizes = staged.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-    ranked = _join_same(scanned, sizes, by)
-    return (ranked
-            .withColumn(name, F.col("_size") - F.col("running_count") + 1)
+    scanned = _scan(staged, staged.count(), order, id, [], list(by), "range", False, rows_per_bucket, size="_size")
+    return (scanned.withColumn(name, F.col("_size") - F.col("running_count") + 1)
             .drop("_size", "running_count", "row_number"))
 
 
-def _join_same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    added = [F.col(f"r.{c}") for c in right.columns if c not in keys]
-    return left.alias("l").join(right.alias("r"), on, "inner").select("l.*", *added)
-
-
 def rows_at_ranks(staged: DataFrame, order: str, id: str, ranks: Sequence[int], n: int,
                   descending: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """The (row_number, `_key`, id) rows at the given global positions.
@@ -198,11 +192,7 @@ def rows_at_ranks(staged: DataFrame, order: str, id: str, ranks: Sequence[int],
     """
     rows = staged.select((-F.col(order) if descending else F.col(order)).alias(_KEY), F.col(id))
     wanted = F.col("row_number").isin(*[int(r) for r in ranks])
-    buckets = _bucket_count(n, rows_per_bucket)
-    if buckets == 1:
-        numbered = rows.withColumn(
-            "row_number", F.row_number().over(Window.orderBy(_KEY, id)).cast("bigint"))
-        return numbered.where(wanted)
+    buckets = _bucket_count(staged, n, rows_per_bucket)
     rows = _with_buckets(rows.withColumn(_COUNT, F.lit(1).cast("bigint")), [], id, n, buckets)
     totals = rows.groupBy(_BUCKET).agg(F.sum(_COUNT).alias("held"))
     before = F.coalesce(
@@ -233,8 +223,8 @@ def band_by_rank(staged: DataFrame, order: str, id: str, starts: Sequence[int],
     key = -F.col(order) if descending else F.col(order)
     for position, start in enumerate(reachable):
         edge = F.get(edges, F.lit(position))
-        value, tie = edge[_KEY], edge[id]
-        reached = (key > value) | ((key == value) & (F.col(id) >= tie))
+        # structs compare with nulls first, as the window orders them
+        reached = F.struct(key.alias(_KEY), F.col(id).alias(id)) >= F.struct(edge[_KEY].alias(_KEY), edge[id].alias(id))
         width = sum(1 for s in starts if s == start)
         band = band + F.when(reached, F.lit(width)).otherwise(F.lit(0))
     return band
