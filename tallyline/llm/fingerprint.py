@@ -3,7 +3,7 @@
 Document frequencies of all terms are counted over all documents. The lexicon is the terms
 within a band of inverse document frequency: very rare terms are noise, very frequent ones
 say nothing. It is split into several random subsets, and a document's fingerprint is, for
-each subset, a hash of its sorted distinct terms there. Two texts are alike in the share of
+each subset, a hash of the set of its terms there. Two texts are alike in the share of
 subsets, among those that either has terms of, whose hashes are equal.
 
 The band's lower end bounds the lexicon: a term in `least_share` of the documents or more
@@ -39,32 +39,35 @@ def lexicon(docs: DataFrame, least_share: float, most_share: float, text: str =
     return counted.where(F.col("n").between(low, high)).select("term")
 
 
-def fingerprints(texts: DataFrame, band: DataFrame, keys: list[str], subsets: int = 128,
-                 max_broadcast: int = 4_000_000, text: str = "text") -> DataFrame:
-    """`keys` and `print` per distinct `keys` of `texts`: an array of 64-bit entries, of which
-    the low 12 bits are the subset and the others the hash of its terms.
+def fingerprints(texts: DataFrame, band: DataFrame, keys: list[str], carried: list[str] | None = None,
+                 subsets: int = 64, max_broadcast: int = 4_000_000, text: str = "text") -> DataFrame:
+    """`keys`, `carried` and `print` per distinct `keys` of `texts`, where `carried` depends on
+    the keys. A print is an array of 64-bit entries, of which the low 12 bits are the subset
+    and the others the hash of its terms.
 
-    A text without a term of the band is printed by all its terms, one without any term by
-    its characters, so equal texts always have equal prints.
+    The hash of a subset combines its distinct terms by exclusive or, which is what sorting
+    them first is for: it does not depend on their order. A text without a term of the band
+    is printed by its characters, so equal texts always have equal prints.
     """
-    rows = texts.select(*keys, F.xxhash64(text).alias("_whole"), terms(F.col(text)).alias("_terms"))
-    all_terms = F.xxhash64(F.sort_array("_terms"))
-    rows = rows.select(
-        *keys, F.when(F.size("_terms") > 0, all_terms).otherwise(F.col("_whole")).alias("_spare"),
-        F.explode(F.concat(F.array(F.lit(_ALWAYS).cast("bigint")), F.col("_terms"))).alias("term"))
+    carried = carried or []
+    rows = texts.select(*keys, *carried, F.xxhash64(text).alias("_whole"), F.explode(
+        F.concat(F.array(F.lit(_ALWAYS).cast("bigint")), terms(F.col(text)))).alias("term"))
     known = band.unionByName(band.sparkSession.sql(f"SELECT CAST({_ALWAYS} AS BIGINT) AS term"))
     if band.count() <= max_broadcast:
         known = F.broadcast(known)
-    subset = F.when(F.col("term") == _ALWAYS, F.lit(_NO_TERM)).otherwise(
-        F.pmod(F.xxhash64("term", F.lit("subset")), F.lit(subsets))).cast("bigint")
+    itself = F.col("term") == _ALWAYS
+    subset = F.when(~itself, F.pmod(F.xxhash64("term", F.lit("subset")), F.lit(subsets)))
+    once = [F.max(F.when(itself, F.col(c))).alias(c) for c in ["_whole", *carried]]
+    hashes = [F.bit_xor(F.when(F.col("_subset") == j, F.col("term"))).alias(f"_{j}") for j in range(subsets)]
     hashed = (rows.join(known, "term", "left_semi").withColumn("_subset", subset)
-              .groupBy(*keys, "_subset")
-              .agg(F.xxhash64(F.sort_array(F.collect_list("term"))).alias("_hash"), F.first("_spare").alias("_spare")))
-    value = F.when(F.col("_subset") == _NO_TERM, F.col("_spare")).otherwise(F.col("_hash"))
-    entry = value.bitwiseAND(F.lit(~_SUBSET_BITS)).bitwiseOR(F.col("_subset"))
-    printed = hashed.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_all"))
-    within = F.filter("_all", lambda e: _subset_of(e) != _NO_TERM)
-    return printed.select(*keys, F.when(F.size(within) > 0, within).otherwise(F.col("_all")).alias("print"))
+              .groupBy(*keys).agg(*once, *hashes))
+    entries = F.array_compact(F.array(*[_entry(F.xxhash64(f"_{j}"), j, F.col(f"_{j}").isNotNull()) for j in range(subsets)]))
+    own = F.when(F.size(entries) > 0, entries).otherwise(F.array(_entry(F.col("_whole"), _NO_TERM, F.lit(True))))
+    return hashed.select(*keys, *carried, own.alias("print"))
+
+
+def _entry(value: Column, subset: int, present: Column) -> Column:
+    return F.when(present, value.bitwiseAND(F.lit(~_SUBSET_BITS)).bitwiseOR(F.lit(subset).cast("bigint")))
 
 
 def _subset_of(entry: Column) -> Column:
@@ -122,7 +125,7 @@ def edited_pairs(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
 
 
 def compare_edited(docs: DataFrame, id: str = "doc_id", text: str = "text", least_share: float = 0.01,
-                   most_share: float = 0.2, subsets: int = 128) -> DataFrame:
+                   most_share: float = 0.2, subsets: int = 64) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness.
 
     Columns: `id`, `n_chars`, `edited_sha256`, `fingerprint`, `edited_fingerprint`,
@@ -130,18 +133,19 @@ def compare_edited(docs: DataFrame, id: str = "doc_id", text: str = "text", leas
     several documents share an id, `near_next` compares with the least key of the next id.
     """
     band = cut_lineage(lexicon(docs, least_share, most_share, text))
-    keys = ["id", "prev_id", "key", "n_chars", "edited_sha256"]
+    carried = ["prev_id", "n_chars", "edited_sha256"]
     both = edited_pairs(docs, id, text).select(
         "id", "prev_id", F.xxhash64("text").alias("key"), F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         F.explode(F.array(F.struct(F.lit(False).alias("is_edited"), F.col("text")),
                           F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text")))).alias("side"))
-    prints = fingerprints(both.select(*keys, "side.is_edited", "side.text"), band, [*keys, "is_edited"], subsets)
+    prints = fingerprints(both.select("id", "key", *carried, "side.is_edited", "side.text"), band,
+                          ["id", "key", "is_edited"], carried, subsets)
 
     def side(edited: bool) -> Column:
         return F.first(F.when(F.col("is_edited") == edited, F.col("print")), ignorenulls=True)
 
-    each = cut_lineage(prints.groupBy(*keys).agg(side(False).alias("own"), side(True).alias("other")))
+    each = cut_lineage(prints.groupBy("id", "key", *carried).agg(side(False).alias("own"), side(True).alias("other")))
     following = (each.groupBy("prev_id").agg(F.min_by("own", F.struct("id", "key")).alias("next"))
                  .withColumnRenamed("prev_id", "id"))
     return (each.join(following, "id", "left")
