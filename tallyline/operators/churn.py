@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
+from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
                                 VectorSlicer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -110,12 +110,15 @@ def preprocessing(df: DataFrame, numeric: Sequence[str] = tuple(NUMERIC_FEATURES
                   categorical: Sequence[str] = tuple(CATEGORICAL_FEATURES)) -> list:
     """Stages: standardised numbers and one-hot categories in one `features` vector.
 
-    An unseen category encodes as all zeros. A category with two values keeps one column.
+    A missing number becomes the median of the rows the stages are fitted on, so every row
+    has a score. An unseen category encodes as all zeros. A category with two values keeps one column.
     """
     indexed = [f"_{c}_ix" for c in categorical]
     indexer = StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep",
                             stringOrderType="alphabetAsc").fit(df)
-    stages = [VectorAssembler(inputCols=list(numeric), outputCol="_num", handleInvalid="keep"),
+    filled = [f"_{c}_filled" for c in numeric]
+    stages = [Imputer(inputCols=list(numeric), outputCols=filled, strategy="median"),
+              VectorAssembler(inputCols=filled, outputCol="_num"),
               StandardScaler(inputCol="_num", outputCol="_num_std", withMean=True, withStd=True),
               indexer,
               # the last index is the "unseen" slot: dropping it leaves zeros for unseen values
@@ -125,7 +128,7 @@ def preprocessing(df: DataFrame, numeric: Sequence[str] = tuple(NUMERIC_FEATURES
         if len(labels) == 2:
             stages.append(VectorSlicer(inputCol=f"_{c}_oh", outputCol=f"_{c}_one", indices=[1]))
         parts.append(f"_{c}_one" if len(labels) == 2 else f"_{c}_oh")
-    stages.append(VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     return stages
 
 
@@ -158,43 +161,38 @@ class Selection:
         return spark.createDataFrame(rows, "model string, cv_roc_auc double, selected boolean")
 
 
-def _prepare(train: DataFrame) -> tuple[DataFrame, PipelineModel, int]:
-    """Weighted training rows with their feature vector, the fitted preparation, the count.
-
-    Rows missing a numeric input are left out. The preparation looks at inputs only, never
-    at labels, and runs once: all folds and candidates read the same stored vectors.
-    """
-    rows = cut_lineage(balance_weights(train.dropna(subset=list(NUMERIC_FEATURES))))
-    preparation = Pipeline(stages=preprocessing(rows)).fit(rows)
-    keep = [c for c in (LABEL, "weight", "fold") if c in rows.columns]
-    vectors = cut_lineage(preparation.transform(rows).select(*keep, "features"))
-    return vectors, preparation, vectors.count()
+def _prepare(train: DataFrame) -> tuple[DataFrame, list, int]:
+    """Weighted training rows, the stages that make their vector, the count. All rows stay;
+    only the category names are read off them here."""
+    rows = cut_lineage(balance_weights(train))
+    return rows, preprocessing(rows), rows.count()
 
 
 def train_select(train: DataFrame, candidates: dict | None = None, folds: int = 5, rounds: int = 300,
                  parallelism: int = 2) -> Selection:
     """Cross-validate each candidate by ROC-AUC on the `fold` column; the best is refit on
-    all rows. Up to `parallelism` candidates train at the same time."""
-    vectors, preparation, n = _prepare(train)
+    all rows. Medians and scales are fitted inside every fold, so a validation row never
+    reaches its own preparation. Up to `parallelism` candidates train at a time."""
+    rows, stages, n = _prepare(train)
     candidates = candidates or default_candidates(n, rounds)
     evaluator = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction",
                                               metricName="areaUnderROC")
 
     def search(estimator):
-        return CrossValidator(estimator=estimator, evaluator=evaluator, numFolds=folds, foldCol="fold",
-                              estimatorParamMaps=ParamGridBuilder().build()).fit(vectors)
+        return CrossValidator(estimator=Pipeline(stages=[*stages, estimator]), evaluator=evaluator, numFolds=folds,
+                              foldCol="fold", estimatorParamMaps=ParamGridBuilder().build()).fit(rows)
 
     with ThreadPoolExecutor(parallelism) as pool:
         results = dict(zip(candidates, pool.map(search, candidates.values())))
     board = {name: float(r.avgMetrics[0]) for name, r in results.items()}
     best = max(board, key=board.get)
-    return Selection(best, PipelineModel([*preparation.stages, results[best].bestModel]), board)
+    return Selection(best, results[best].bestModel, board)
 
 
 def fit_one(train: DataFrame, estimator=None) -> PipelineModel:
     """Fit a single candidate (default: logistic regression) without a search."""
-    vectors, preparation, n = _prepare(train)
-    return PipelineModel([*preparation.stages, (estimator or logistic(n)).fit(vectors)])
+    rows, stages, n = _prepare(train)
+    return Pipeline(stages=[*stages, estimator or logistic(n)]).fit(rows)
 
 
 def with_probability(model: PipelineModel, df: DataFrame, name: str = "p") -> DataFrame:
@@ -352,11 +350,18 @@ def worklist(scores: DataFrame, k: int, id: str = "customer_id") -> DataFrame:
 
 
 def risk_tier_summary(scores: DataFrame) -> DataFrame:
-    """Customers and revenue per tier; revenue is at risk in High and Critical."""
-    return scores.groupBy("risk_tier").agg(
-        F.count(F.lit(1)).alias("customers"), F.sum("monetary").alias("monetary"),
-        F.coalesce(F.sum(F.when(F.col("risk_tier").isin("High", "Critical"), F.col("monetary"))),
-                   F.lit(0)).alias("revenue_at_risk"))
+    """Customers and revenue per tier, and in all; revenue is at risk in High and Critical.
+    All four tiers are listed, with 0 where nobody is in one."""
+    money = F.col("monetary")
+    at_risk = F.when(F.col("risk_tier").isin("High", "Critical"), money)
+    sums = [F.count(F.lit(1)).alias("customers"), F.coalesce(F.sum(money), F.lit(0)).alias("monetary"),
+            F.coalesce(F.sum(at_risk), F.lit(0)).alias("revenue_at_risk")]
+    found = scores.groupBy("risk_tier").agg(*sums)
+    tiers = scores.sparkSession.createDataFrame([(name,) for name, _ in RISK_TIERS], "risk_tier string")
+    listed = tiers.join(found, "risk_tier", "left").select(
+        "risk_tier", *[F.coalesce(c, F.lit(0)).cast(found.schema[c].dataType).alias(c)
+                       for c in ("customers", "monetary", "revenue_at_risk")])
+    return listed.unionByName(scores.agg(*sums).withColumn("risk_tier", F.lit("Total")))
 
 
 def churn_report(tables: Mapping[str, DataFrame], obs: str, horizon: int = 183, active_days: int = 365,

@@ -612,18 +612,23 @@ def _build() -> dict[str, str]:
     q["correlate"] = f"""
         SELECT return_flag, ROUND(corr(quantity, {_dbl('line_revenue')}), 3) AS correlation, COUNT(*) AS periods FROM lines GROUP BY 1"""
     q["customer_clv_sql"] = q["customer_clv_lookup"]
-    q["run_meta"] = """
-        SELECT 8::BIGINT AS tables_loaded, CAST((SELECT COUNT(*) FROM region) + (SELECT COUNT(*) FROM nation) + (SELECT COUNT(*) FROM customer)
-               + (SELECT COUNT(*) FROM supplier) + (SELECT COUNT(*) FROM part) + (SELECT COUNT(*) FROM orders)
-               + (SELECT COUNT(*) FROM lineitem) + (SELECT COUNT(*) FROM events) AS BIGINT) AS rows_scanned"""
+    given = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+             "embeddings", "pages", "benchmark", "labels", "conversations")
+    counts = " + ".join(f"(SELECT COUNT(*) FROM {t})" for t in given)
+    q["run_meta"] = f"SELECT {len(given)}::BIGINT AS tables_loaded, CAST({counts} AS BIGINT) AS rows_scanned"
 
     # sources and sinks
     q["csv_round_trip"] = f"""
         SELECT {_txt('order_id')} AS order_id, {_txt('customer_id')} AS customer_id, {_txt('order_date')} AS order_date, order_status,
                {_dbl('total_amount')} AS total_amount FROM ords"""
-    q["land_tables"] = """
-        SELECT 'dim_customers' AS table_name, COUNT(*) AS n_rows FROM customer UNION ALL SELECT 'dim_products', COUNT(*) FROM part
-        UNION ALL SELECT 'fact_orders', COUNT(*) FROM orders UNION ALL SELECT 'fact_order_items', COUNT(*) FROM lineitem"""
+    landed = {"dim_customers": "customer", "dim_products": "part", "dim_stores": "supplier", "fact_orders": "orders",
+              "fact_order_items": "lineitem JOIN orders ON l_orderkey = o_orderkey",
+              "fact_returns": "lineitem WHERE l_returnflag = 'R'", "fact_reviews": "lineitem",
+              "fact_inventory": "(SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) x",
+              "fact_marketing_campaigns": "(SELECT DISTINCT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) x",
+              "fact_website_traffic": "(SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) x"}
+    q["land_tables"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows FROM {source}" for name, source in landed.items())
     q["year_partitions"] = f"""
         SELECT CASE WHEN year(order_date) BETWEEN 1996 AND 2000 THEN CAST(year(order_date) AS VARCHAR) ELSE 'default' END AS order_year,
                COUNT(*) AS n_orders, {_dbl('SUM(total_amount)')} AS revenue FROM ords GROUP BY 1"""
@@ -656,17 +661,24 @@ def _build() -> dict[str, str]:
             SELECT *, ROW_NUMBER() OVER (ORDER BY p DESC, customer_id) AS rn, COUNT(*) OVER () AS n FROM risk) a GROUP BY 1) b ON b.decile = g.d
         CROSS JOIN (SELECT AVG({_dbl('churned')}) AS base FROM risk) z"""
     q["risk_tier_summary"] = f"""
-        SELECT risk_tier, COUNT(*) AS customers, {_dbl('SUM(monetary)')} AS monetary,
-               CASE WHEN risk_tier IN ('High', 'Critical') THEN {_dbl('SUM(monetary)')} ELSE 0 END AS revenue_at_risk
-        FROM (SELECT *, CASE WHEN p <= 0.3 THEN 'Low' WHEN p <= 0.6 THEN 'Medium' WHEN p <= 0.8 THEN 'High' ELSE 'Critical' END AS risk_tier FROM risk) x
-        GROUP BY 1"""
+        SELECT risk_tier, COUNT(customer_id) AS customers, COALESCE({_dbl('SUM(monetary)')}, 0) AS monetary,
+               COALESCE({_dbl("SUM(monetary) FILTER (tier IN ('High', 'Critical'))")}, 0) AS revenue_at_risk
+        FROM (SELECT unnest(['Low', 'Medium', 'High', 'Critical', 'Total']) AS risk_tier) w LEFT JOIN (
+          SELECT *, CASE WHEN p <= 0.3 THEN 'Low' WHEN p <= 0.6 THEN 'Medium' WHEN p <= 0.8 THEN 'High' ELSE 'Critical' END AS tier FROM risk) t
+          ON risk_tier = tier OR risk_tier = 'Total' GROUP BY 1"""
+    q["score_checks"] = """
+        SELECT COUNT(*) AS n_scored, COUNT(*) AS n_customers, COUNT(*) AS n_probabilities, COUNT(*) AS n_in_a_tier FROM risk"""
+    q["null_order_bands"] = f"""
+        SELECT {_int('band')} AS band, COUNT(*) AS n_orders, COUNT(amount) AS n_amounts FROM (
+          SELECT amount, greatest(1, (5 * (rn - 1) + n - 2) // (n - 1)) AS band FROM (
+            SELECT amount, ROW_NUMBER() OVER (ORDER BY amount NULLS FIRST, o_orderkey) AS rn, COUNT(*) OVER () AS n FROM (
+              SELECT o_orderkey, CASE WHEN o_orderkey % 10 != 0 THEN o_totalprice END AS amount FROM orders) a) b) c GROUP BY 1"""
 
     # streaming
     q["stream_daily_sales"] = f"""
         SELECT {_txt('day')} AS order_date, COUNT(DISTINCT user_id) AS order_count, COUNT(*) AS units_sold, {_dbl('SUM(v)')} AS revenue
-        FROM (SELECT CAST(ts AS DATE) AS day, user_id, CAST(value AS DECIMAL(12,2)) AS v, ts, MAX(ts) OVER () AS latest
-              FROM events WHERE event_type = 'purchase') x
-        WHERE day + INTERVAL 1 DAY <= latest - INTERVAL 2 DAY GROUP BY day"""
+        FROM (SELECT CAST(ts AS DATE) AS day, user_id, CAST(value AS DECIMAL(12,2)) AS v
+              FROM events WHERE event_type = 'purchase') x GROUP BY day"""
     q["stream_validate"] = f"""
         SELECT CASE WHEN l_extendedprice < 0 THEN 'negative revenue' WHEN l_quantity <= 0 THEN 'non-positive quantity'
                     WHEN l_discount > 0.09 THEN 'discount too high' ELSE 'accepted' END AS outcome, COUNT(*) AS n_rows,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on. All but the time zone are Spark defaults; they are
@@ -15,6 +13,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where that costs one more exchange afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Checkpoint files go when the frame that they hold is no longer used.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # No call-site lookup on every column call: plans build several times faster.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -32,23 +32,15 @@ def build_session(app_name: str = "tallyline", master: str | None = None,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by `spark.checkpoint.dir`.
-
-    A machine-local folder is created only in local mode with the setting absent.
-    """
+    """The folder every executor can reach: the one `spark.checkpoint.dir` names, else a
+    folder in the warehouse, under any master."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
-        return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
+    if not named and (current := spark.sparkContext.getCheckpointDir()):
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="tallyline-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    named = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

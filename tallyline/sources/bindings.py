@@ -1,8 +1,7 @@
 """The order-management test tables seen as canonical retail tables.
 
 Columns without a counterpart are proxies derived from the given data; each is listed in
-the README. Small frames (nation, region) have a fixed size; larger dimensions are left
-to the optimizer's size check.
+the README. Which side of a join is broadcast is left to the optimizer's size check.
 """
 
 from __future__ import annotations
@@ -52,17 +51,21 @@ class Binding:
         """A given table under its declared layout, so that no job reads file footers."""
         return self.spark.read.schema(LAYOUTS[name]).parquet(f"{self.directory}/{name}.parquet")
 
+    def given(self, name: str) -> DataFrame:
+        """Any given table under the layout its files declare."""
+        return self.raw(name) if name in LAYOUTS else self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+
     @cached_property
     def _countries(self) -> DataFrame:
         """25 nations with their region."""
         return (self.raw("nation")
-                .join(F.broadcast(self.raw("region")), F.expr("n_regionkey = r_regionkey"), "left")
+                .join(self.raw("region"), F.expr("n_regionkey = r_regionkey"), "left")
                 .selectExpr("n_nationkey", "n_name AS country", "r_name AS acquisition_channel"))
 
     @cached_property
     def customers(self) -> DataFrame:
         return (self.raw("customer")
-                .join(F.broadcast(self._countries), F.expr("c_nationkey = n_nationkey"), "left")
+                .join(self._countries, F.expr("c_nationkey = n_nationkey"), "left")
                 .selectExpr("c_custkey AS customer_id", "SUBSTRING_INDEX(c_name, '#', 1) AS first_name",
                             "SUBSTRING_INDEX(c_name, '#', -1) AS last_name", "country",
                             "acquisition_channel", "c_mktsegment AS customer_segment",
@@ -87,7 +90,7 @@ class Binding:
     @cached_property
     def stores(self) -> DataFrame:
         return (self.raw("supplier")
-                .join(F.broadcast(self._countries), F.expr("s_nationkey = n_nationkey"), "left")
+                .join(self._countries, F.expr("s_nationkey = n_nationkey"), "left")
                 .selectExpr("s_suppkey AS store_id", "s_name AS store_name", "country",
                             "acquisition_channel AS city"))
 
@@ -130,6 +133,18 @@ class Binding:
                             f"{from_cents(cost)} AS line_cost",
                             f"{from_cents(f'({_REVENUE} - {cost})')} AS line_profit"))
 
+    @cached_property
+    def items_per_product(self) -> DataFrame:
+        """`items` summed per product before the one join with part, for results that only
+        add lines up per product: a product with very many lines is a single row."""
+        sold = (self.raw("lineitem").groupBy("l_partkey")
+                .agg(F.expr(f"SUM({_REVENUE})").cast("bigint").alias("_revenue"),
+                     F.expr("SUM(CAST(CAST(l_quantity AS INT) AS BIGINT))").alias("quantity")))
+        cost = f"({cents('p_retailprice')} * quantity)"
+        return (sold.join(self.raw("part"), F.expr("l_partkey = p_partkey"), "left")
+                .selectExpr("l_partkey AS product_id", "quantity", f"{from_cents('_revenue')} AS line_revenue",
+                            f"{from_cents(cost)} AS line_cost", f"{from_cents(f'(_revenue - {cost})')} AS line_profit"))
+
     def dated(self, items: DataFrame) -> DataFrame:
         """Lines with the date of their order. The lines are the left side, so an order
         with very many lines can be split between tasks."""

@@ -73,7 +73,7 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def run_meta(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row: number of tables, rows scanned, data profile."""
+    """One row: number of tables, rows scanned, data profile, and when it was asked for."""
     return row_counts(tables).agg(
         F.count(F.lit(1)).alias("tables_loaded"), F.sum("n_rows").alias("rows_scanned"),
-    ).withColumn("profile", F.lit(getattr(tables, "profile", "full")))
+    ).withColumns({"profile": F.lit(getattr(tables, "profile", "full")), "generated_at": F.current_timestamp()})

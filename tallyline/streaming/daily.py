@@ -2,36 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DecimalType
 
+PARTIAL = "order_date date, order_key string, units bigint, revenue decimal(32,2)"
 
-def daily_sales(stream: DataFrame, ts: str, order_key: str, amount: str, quantity: str | None = None,
-                watermark: str = "2 days") -> DataFrame:
-    """Per day: distinct orders, units and revenue, for a stream or a batch.
 
-    A stream cannot count distinct values in one aggregation; two chained windowed
-    aggregations, first (day, order) and then day, give the exact count.
-    """
-    timed = stream.withColumn("_ts", F.col(ts).cast("timestamp"))
-    if stream.isStreaming:
-        timed = timed.withWatermark("_ts", watermark)
+def _per_order(rows: DataFrame, ts: str, order_key: str, amount: str, quantity: str | None) -> DataFrame:
     units = F.lit(1) if quantity is None else F.col(quantity)
-    per_order = timed.groupBy(F.window("_ts", "1 day").alias("day"), F.col(order_key)).agg(
-        F.sum(units.cast("bigint")).alias("units"), F.sum(amount).alias("revenue"))
-    per_day = per_order.groupBy(F.window("day", "1 day").alias("day")).agg(
+    return rows.groupBy(F.col(ts).cast("date").alias("order_date"), F.col(order_key).cast("string").alias("order_key")).agg(
+        F.sum(units.cast("bigint")).alias("units"), F.sum(amount).cast(DecimalType(32, 2)).alias("revenue"))
+
+
+def _per_day(per_order: DataFrame) -> DataFrame:
+    """Two combinable steps give the exact count of distinct orders: (day, order), then day."""
+    once = per_order.groupBy("order_date", "order_key").agg(F.sum("units").alias("units"), F.sum("revenue").alias("revenue"))
+    return once.groupBy("order_date").agg(
         F.count(F.lit(1)).alias("order_count"), F.sum("units").alias("units_sold"),
-        F.sum("revenue").alias("revenue"))
-    return per_day.select(F.col("day.start").cast("date").alias("order_date"), "order_count",
-                          "units_sold", "revenue")
+        F.sum("revenue").cast(DecimalType(32, 2)).alias("revenue"))
+
+
+def daily_sales(rows: DataFrame, ts: str, order_key: str, amount: str, quantity: str | None = None) -> DataFrame:
+    """Per day: distinct orders, units and revenue of a batch of rows."""
+    return _per_day(_per_order(rows, ts, order_key, amount, quantity))
 
 
 def stream_daily_sales(stream: DataFrame, out: str, checkpoint: str, ts: str, order_key: str,
-                       amount: str, quantity: str | None = None,
-                       watermark: str = "2 days") -> StreamingQuery:
-    """Append each day to Parquet once the watermark has passed its end; rows later than
-    the watermark are dropped. Runs over what is available and stops."""
-    return (daily_sales(stream, ts, order_key, amount, quantity, watermark)
-            .writeStream.outputMode("append").format("parquet")
-            .option("path", out).option("checkpointLocation", checkpoint)
+                       amount: str, quantity: str | None = None) -> StreamingQuery:
+    """Store the sums per day and order of each micro-batch in a folder of its own.
+
+    A replayed batch overwrites its folder, and rows of any day, however late, count: the
+    days are added up on reading (`read_daily_sales`), so nothing waits for a watermark and
+    no state is kept. Runs over what is available and stops.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        _per_order(batch, ts, order_key, amount, quantity).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def read_daily_sales(spark: SparkSession, out: str) -> DataFrame:
+    """Every day of the stream so far."""
+    return _per_day(spark.read.schema(PARTIAL).parquet(out))
