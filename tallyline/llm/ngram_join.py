@@ -3,21 +3,27 @@
 Two sets with Jaccard similarity of at least g differ in at most (1-g)/(1+g) of the sum of
 their sizes. Sizes are cut into bands of ratio 1/g, so similar sets lie in one band or in
 neighbouring ones, and each pair of neighbouring bands is one instance with a bound k on
-the difference. An instance divides the domain of shingles at random into parts, more than
-k/2, so of some parts at most one element differs. Each part has three subparts, and of
-those two agree. The signatures of a set are the hashes of its elements in two of the three
-subparts, for each part: similar sets share one.
+the difference. An instance divides the domain of shingles into more than k parts, so at
+least one part has no difference: with the hash of each of its parts (here one subset is
+enumerated per part) as signatures, similar sets share one.
 
-A signature of no elements says nothing and is left out. The parts are a few more than
-needed, so a set may have some such parts; two sets that both have too many (most are very
-small) could miss each other, so these emit each single element as a signature as well.
+How the domain is divided is free. Shingles that a sample of the documents shows to be
+frequent (of passages that many documents share) make a part of their own that is not
+signed; the others are dealt at random. So a signature holds a shingle that is not frequent,
+and few sets share it by chance. The sample only decides where a shingle lies; no result
+depends on it.
+
+A part without elements has no signature either. There are more parts than needed, and two
+sets miss each other only if both have too many empty parts; such sets are signed again with
+all their shingles dealt out, and if that is still too little, by each single shingle.
 
 Signatures travel packed by hash bucket, sorted and compressed, because most occur once.
 Sets that share one are candidates. Equal sets are one class throughout, and candidate
-groups are never expanded into all pairs: each round compares the members of a group with
-its first members, merges what is linked, and drops groups that are one component; members
-that were compared with the whole group leave it. It ends when no group has two components
-left, so no link is lost.
+groups are not expanded into all pairs: each round compares the members of a group with its
+first members, merges what is linked, and drops groups that are one component; members that
+were compared with the whole group leave it. It ends when no group has two components left,
+so no link is lost. Before two sets are compared in full, counts of their shingles in a few
+hash cells bound their difference from below, which settles nearly all unlike pairs.
 """
 
 from __future__ import annotations
@@ -79,36 +85,45 @@ class Bands:
         return int((1 - self.similarity) / (1 + self.similarity) * 2 * (self.starts[instance + 1] - 1))
 
     def parts(self, instance: int) -> tuple[int, int]:
-        """(number of parts, how many of them a set may have without a signature)."""
-        least = self.difference(instance) // 2 + 1
-        spare = least // 12 + 1
+        """(number of parts, how many of them a set may have empty)."""
+        least = self.difference(instance) + 1
+        spare = -(-3 * least // 4) + 1
         return least + spare, spare
 
 
-def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
-    """The 48-bit signatures of a set of shingle hashes."""
-    out = []
-    size = len(elements)
-    if not size:
+def _part_hashes(elements: np.ndarray, parts: int, seed: np.uint64) -> np.ndarray:
+    """A hash of the elements of each part that has any."""
+    dealt = mix(elements ^ seed)
+    value = mix(dealt + seed)
+    part = (dealt % U(parts)).astype(np.int64)
+    low = np.bincount(part, value & U(0xFFFFFFFF), parts).astype(np.uint64)
+    high = np.bincount(part, value >> U(32), parts).astype(np.uint64)
+    filled = np.flatnonzero(np.bincount(part, minlength=parts))
+    return mix(mix((low + (high << U(32)))[filled] ^ seed) + filled.astype(np.uint64))
+
+
+def signatures(elements: np.ndarray, bands: Bands, frequent: np.ndarray) -> np.ndarray:
+    """The 48-bit signatures of a set of shingle hashes; `frequent` is sorted."""
+    if not len(elements):
         return np.zeros(0, np.uint64)
-    for instance in (bands.band(size), bands.band(size) + 1):
+    out = []
+    rare = elements
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, elements), len(frequent) - 1)
+        rare = elements[frequent[at] != elements]
+    for instance in (bands.band(len(elements)), bands.band(len(elements)) + 1):
         if bands.difference(instance) == 0:   # only equal sets are similar
             continue
         parts, spare = bands.parts(instance)
-        seed = mix(np.array([instance + 1], np.uint64))[0]
-        dealt = mix(elements ^ seed)
-        value = mix(dealt + seed)
-        slot = ((dealt % U(parts)) * U(3) + (dealt >> U(40)) % U(3)).astype(np.int64)
-        low = np.bincount(slot, value & U(0xFFFFFFFF), 3 * parts).astype(np.uint64)
-        high = np.bincount(slot, value >> U(32), 3 * parts).astype(np.uint64)
-        sums = (low + (high << U(32))).reshape(parts, 3)
-        counts = np.bincount(slot, minlength=3 * parts).reshape(parts, 3)
-        rest, others = sums.sum(axis=1, keepdims=True) - sums, counts.sum(axis=1, keepdims=True) - counts
-        place = np.arange(3 * parts, dtype=np.uint64).reshape(parts, 3)
-        signed = mix(mix(rest ^ seed) + place)
-        out.append(signed[others > 0])
-        if (others == 0).any(axis=1).sum() > spare:
-            out.append(mix(mix(elements + seed) ^ U(0xABCDEF)))
+        for tier, dealt in enumerate((rare, elements, None)):
+            seed = mix(np.array([3 * instance + tier + 1], np.uint64))[0]
+            if dealt is None:
+                out.append(mix(mix(elements + seed) ^ seed))
+                break
+            signed = _part_hashes(dealt, parts, seed)
+            out.append(signed)
+            if parts - len(signed) <= spare:
+                break
     return np.unique(np.concatenate(out) & _MASK) if out else np.zeros(0, np.uint64)
 
 
@@ -116,21 +131,59 @@ def _class(elements: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(elements.tobytes())[:_CLASS_BYTES]
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """Counts (up to 255) of the elements by their top bits, in a power of two of cells."""
+    cells = max(6, (len(elements) // 8).bit_length())
+    counts = np.bincount((elements >> U(64 - cells)).astype(np.int64), minlength=1 << cells)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _least_difference(a: bytes, b: bytes) -> int:
+    """No more than the number of elements that only one of two sets has."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    if len(x) != len(y):                       # a full cell has lost its count
+        if max(x.max(), y.max()) == 255:
+            return 0
+        n = min(len(x), len(y))
+        x, y = x.reshape(n, -1).sum(axis=1), y.reshape(n, -1).sum(axis=1)
+    return int(np.abs(x - y).sum())
+
+
 def describe(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """`id`, `n_shingles`, `class` (96-bit hash of the set) per row."""
+    """`id`, `n_shingles`, `class` (96-bit hash of the set), `sketch` per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = (shingles(t.as_py(), words) for t in batch.column(1))
-            found = [(len(s), _class(s)) for s in sets]
+            found = [(len(s), _class(s), sketch(s)) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([n for n, _ in found], pa.int64()),
-                 pa.array([c for _, c in found], pa.binary())], [id, "n_shingles", "class"])
+                [batch.column(0), pa.array([n for n, _, _ in found], pa.int64()),
+                 pa.array([c for _, c, _ in found], pa.binary()), pa.array([k for _, _, k in found], pa.binary())],
+                [id, "n_shingles", "class", "sketch"])
 
     return df.select(id, text).mapInArrow(
-        run, f"`{id}` {df.schema[id].dataType.simpleString()}, n_shingles bigint, class binary")
+        run, f"`{id}` {df.schema[id].dataType.simpleString()}, n_shingles bigint, class binary, sketch binary")
+
+
+def frequent_shingles(df: DataFrame, text: str, words: int, total: int, sample_shingles: int = 4_000_000,
+                      least: int = 3, most: int = 1_000_000) -> np.ndarray:
+    """Sorted hashes of the shingles that `least` documents or more of a sample hold: about
+    `sample_shingles` of all `total`, so the result has a bound; of more than `most`, those
+    of the most documents."""
+    every = max(1, -(-total // sample_shingles))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(t.as_py(), words).view(np.int64))], ["h"])
+
+    sample = df.where(F.pmod(F.xxhash64(text), F.lit(every)) == 0).select(text).distinct()
+    counted = sample.mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    found = counted.orderBy(F.desc("n"), "h").limit(most).select("h").toPandas()["h"].to_numpy(np.int64)
+    return np.sort(found.view(np.uint64))
 
 
-def packed_signatures(df: DataFrame, text: str, words: int, bands: Bands, buckets: int) -> DataFrame:
+def packed_signatures(df: DataFrame, text: str, words: int, bands: Bands, buckets: int,
+                      frequent: np.ndarray) -> DataFrame:
     """`bucket`, and the signatures of a chunk of texts that fall into it, with their classes."""
     schema = pa.schema([("bucket", pa.int32()), ("signatures", pa.binary()), ("owners", pa.binary()),
                         ("classes", pa.binary())])
@@ -145,13 +198,15 @@ def packed_signatures(df: DataFrame, text: str, words: int, bands: Bands, bucket
                          b"".join(names[i] for i in used)))
         yield from in_batches(rows, schema)
 
+    known = df.sparkSession.sparkContext.broadcast(frequent)      # bounded, see frequent_shingles
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, held = {}, 0
         for batch in batches:
             for t in batch.column(0):
                 elements = shingles(t.as_py(), words)
                 name = _class(elements)
-                if name not in sets and len(signed := signatures(elements, bands)):
+                if name not in sets and len(signed := signatures(elements, bands, known.value)):
                     sets[name] = signed
                     held += len(signed)
                 if held >= _ENTRIES_PER_CHUNK:
@@ -208,18 +263,38 @@ def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, words: int) ->
     return texts.mapInArrow(run, "class binary, elements binary")
 
 
+def _near_enough(edges: DataFrame, classes: DataFrame, similarity: Fraction) -> DataFrame:
+    """The edges (`a`, `b`) whose sizes and sketches do not rule out that they are similar."""
+    num, den = similarity.numerator, similarity.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for m, n, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+                kept.append(den * min(m, n) >= num * max(m, n)
+                            and (den + num) * _least_difference(x, y) <= (den - num) * (m + n))
+            yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b"])
+
+    def side(name: str, n: str, x: str) -> DataFrame:
+        return classes.select(F.col("class").alias(name), F.col("n_shingles").alias(n), F.col("sketch").alias(x))
+
+    return (edges.join(side("b", "n", "y"), "b").join(side("a", "m", "x"), "a").select("a", "b", "m", "n", "x", "y")
+            .mapInArrow(run, "a binary, b binary"))
+
+
 def _links(edges: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
-    """The edges (`a`, `b`) whose sets are similar enough."""
+    """The edges (`a`, `b`) whose sets are similar."""
     num, den = similarity.numerator, similarity.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: tuple[bytes, np.ndarray] = (b"", np.zeros(0, np.uint64))
         for batch in batches:
             kept = []
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for left, right in zip(batch.column(2), batch.column(3)):
+                left = left.as_py()
                 if left != known[0]:
                     known = left, expand_sorted(left, np.uint64)
-                other = expand_sorted(right, np.uint64)
+                other = expand_sorted(right.as_py(), np.uint64)
                 both = len(np.intersect1d(known[1], other, assume_unique=True))
                 kept.append(den * both >= num * (len(known[1]) + len(other) - both))
             yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b"])
@@ -251,16 +326,17 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, words: int,
-                   similarity: Fraction) -> tuple[DataFrame, DataFrame]:
-    """(labels of connected classes, links between classes that were needed to find them)."""
+                   similarity: Fraction) -> DataFrame:
+    """`node`, `label`: the classes that are linked with another, and their component."""
     spark = docs.sparkSession
     bands = Bands(similarity)
     total = described.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(4 * spark.sparkContext.defaultParallelism, -(-total // _ENTRIES_PER_BUCKET))
-    packed = packed_signatures(docs, text, words, bands, buckets)
+    frequent = frequent_shingles(docs, text, words, total)
+    packed = packed_signatures(docs, text, words, bands, buckets, frequent)
     groups = cut_lineage(packed.groupBy("bucket").applyInArrow(_shared, "group bigint, class binary").distinct())
-    members = groups.select("class").distinct()
-    sets = cut_lineage(_sets(docs, described.join(members, "class", "left_semi"), id, text, words))
+    classes = described.groupBy("class").agg(F.min(id).alias(id), F.first("n_shingles").alias("n_shingles"),
+                                             F.first("sketch").alias("sketch"))
     links = spark.createDataFrame([], "a binary, b binary")
     labels = spark.createDataFrame([], "node binary, label binary")
     pivots = 1
@@ -271,17 +347,20 @@ def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, wo
         open_groups = mixed.where(F.col("low") != F.col("high")).select("group")
         labelled = cut_lineage(labelled.join(open_groups, "group", "left_semi"))
         if labelled.isEmpty():
-            return labels, links
+            return labels
         order = Window.partitionBy("group").orderBy("class")
         first = (labelled.withColumn("at", F.row_number().over(order)).where(F.col("at") <= pivots)
                  .select("group", F.col("class").alias("a"), F.col("label").alias("a_label")))
         edges = (labelled.join(first, "group").where((F.col("a") < F.col("class")) & (F.col("a_label") != F.col("label")))
                  .select("a", F.col("class").alias("b")).distinct())
+        edges = cut_lineage(_near_enough(edges, classes, similarity))
+        wanted = edges.select(F.col("a").alias("class")).union(edges.select("b")).distinct()
+        sets = cut_lineage(_sets(docs, classes.join(wanted, "class", "left_semi"), id, text, words))
         links = cut_lineage(links.unionByName(_links(edges, sets, similarity)))
         labels = components(links)
         groups = (labelled.join(first.select("group", F.col("a").alias("class")), ["group", "class"], "left_anti")
                   .select("group", "class"))
-        pivots = 8
+        pivots *= 8
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5,
@@ -296,7 +375,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     """
     described = cut_lineage(describe(docs, id, text, words))
     some = described.where(F.col("n_shingles") > 0)
-    labels, _ = linked_classes(docs, some, id, text, words, similarity)
+    labels = linked_classes(docs, some, id, text, words, similarity)
     classes = (some.groupBy("class").agg(F.min(id).alias("first"))
                .join(labels.withColumnRenamed("node", "class"), "class", "left")
                .withColumn("label", F.coalesce("label", "class")))
