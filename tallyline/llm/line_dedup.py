@@ -32,7 +32,7 @@ _BASE = U(0x9E3779B97F4A7C15)                       # odd, so it has an inverse
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
 _EXACT_ONLY = U(0x5851F42D4C957F2D)
 _WHOLE = 0                                          # place of a whole line; others count from 1
-_WORDS_PER_CHUNK = 2_000_000
+_WORDS_PER_CHUNK = 1_200_000
 _WORDS_PER_BUCKET = 1_000_000
 _NULL_ID = -(1 << 63)
 _SETTLED = -1                                       # bucket of lines that a chunk itself decides
