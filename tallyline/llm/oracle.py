@@ -1,0 +1,53 @@
+"""Independent SQL for the queries that SQL can express: plain joins over whole tables."""
+
+from __future__ import annotations
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(text: str) -> str:
+    return (f"list_filter(string_split_regex(translate({text}, '{_UPPER}', '{_LOWER}'), "
+            r"'[\x20\x09-\x0D]+'), lambda w: w <> '')")
+
+
+_NGRAM_JOIN = f"""
+    WITH RECURSIVE split AS (SELECT doc_id, {_words("COALESCE(text, '')")} AS w FROM documents),
+    sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM split),
+    sized AS (SELECT doc_id, len(s) AS n FROM sets),
+    shingle AS (SELECT doc_id, unnest(s) AS h FROM sets),
+    both_have AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS k FROM shingle a JOIN shingle b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    link AS (SELECT p.a, p.b FROM both_have p JOIN sized x ON x.doc_id = p.a JOIN sized y ON y.doc_id = p.b
+             WHERE 100 * p.k >= 75 * (x.n + y.n - p.k)),
+    edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a)
+    SELECT s.doc_id, s.n AS n_shingles, MIN(r.b) AS component_id FROM sized s JOIN reach r ON r.a = s.doc_id GROUP BY ALL"""
+
+_LINE_DEDUP = f"""
+    WITH line AS (SELECT doc_id, i AS line_no, {_words("l")} AS w FROM (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM documents) x),
+    filled AS (SELECT doc_id * 1000000 + line_no AS place, len(w) AS n, array_to_string(w, ' ') AS l, w FROM line WHERE len(w) > 0),
+    variant AS (SELECT place, i, array_to_string(list_concat(w[:i - 1], w[i + 1:]), ' ') AS v FROM (
+            SELECT place, w, unnest(range(1, n + 1)) AS i FROM filled WHERE n >= 8) y),
+    gone AS (
+        SELECT place FROM (SELECT place, MIN(place) OVER (PARTITION BY l) AS first FROM filled) a WHERE first < place
+        UNION SELECT place FROM (SELECT place, MIN(place) OVER (PARTITION BY i, v) AS first FROM variant) b WHERE first < place
+        UNION SELECT v.place FROM variant v JOIN (SELECT l, MIN(place) AS first FROM filled WHERE n >= 8 GROUP BY 1) f ON f.l = v.v WHERE f.first < v.place
+        UNION SELECT f.place FROM filled f JOIN (SELECT v, MIN(place) AS first FROM variant GROUP BY 1) v ON f.l = v.v WHERE f.n >= 8 AND v.first < f.place)
+    SELECT d.doc_id, CAST(COALESCE(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines, COUNT(g.place) AS n_repeated,
+           COALESCE(string_agg(CAST(g.place % 1000000 AS VARCHAR), ',' ORDER BY g.place), '') AS repeated
+    FROM documents d LEFT JOIN gone g ON g.place // 1000000 = d.doc_id GROUP BY ALL"""
+
+_TOP_K = """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+               FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+    ranked AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+ORACLE = {
+    "op3_ngram_join": _NGRAM_JOIN,
+    "op5_line_dedup": _LINE_DEDUP,
+    "op10_top_k": _TOP_K,
+}

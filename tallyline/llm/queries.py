@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.llm import (
     bpe, fingerprint, html_extract, langid, line_dedup, lm_score, ngram_join, packing, pii, topk)
+from tallyline.llm.oracle import ORACLE  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +47,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = line_dedup.repeated_lines(docs)
     return counted.join(gone, "doc_id", "left").select(
         "doc_id", F.greatest("n_lines", F.lit(0)).cast("bigint").alias("n_lines"),
-        F.greatest(F.size("repeated"), F.lit(0)).cast("bigint").alias("n_repeated"), "repeated")
+        F.greatest(F.size("repeated"), F.lit(0)).cast("bigint").alias("n_repeated"),
+        F.coalesce(F.array_join(F.col("repeated").cast("array<string>"), ","), F.lit("")).alias("repeated"))
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,5 +90,3 @@ QUERIES = {
     "op9_lm_score": op9_lm_score,
     "op10_top_k": op10_top_k,
 }
-
-ORACLE: dict[str, str] = {}

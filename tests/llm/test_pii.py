@@ -64,7 +64,7 @@ def test_clean_texts_stay_clean(text):
 
 
 def test_mask_covers_overlaps():
-    assert pii.mask("x +49 123 456 7890 1234567 y").count("<") == 1
+    assert pii.mask("x 1.2.3.4@x.com y") == "x <email> y"
     assert pii.mask(None) is None and pii.mask("") == ""
 
 
