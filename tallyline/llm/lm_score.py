@@ -21,7 +21,8 @@ from tallyline.llm.packed import U, WordHashes, by_bucket, expand, expand_sorted
 
 _WORDS = WordHashes()
 _TOKENS = U(1)                                    # stands for the number of tokens
-_CHARS_PER_CHUNK = 5_000_000
+_CHARS_PER_CHUNK = 7_000_000
+_KEY_BITS = 56
 _KEYS_PER_BUCKET = 1_000_000
 
 
@@ -37,7 +38,7 @@ def ngrams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.nda
         key = np.full(max(len(words) - n + 1, 0), n, np.uint64)
         for i in range(n):
             key = mix(key * U(0x9E3779B97F4A7C15) + words[i:len(words) - n + 1 + i])
-        key = np.concatenate([np.zeros(len(words) - len(key), np.uint64), key]) | U(2)
+        key = np.concatenate([np.zeros(len(words) - len(key), np.uint64), key >> U(64 - _KEY_BITS)]) | U(2)
         keys.append(np.where(at >= n - 1, key, U(0)))
     return counts, keys
 
