@@ -56,36 +56,54 @@ class WordIds:
         return b"".join(ids)
 
     def _learn(self, new: dict[str, bytes | None]) -> None:
-        cuts, other, letters, known = {}, {}, {}, self._parts
+        known, other, letters, cuts = self._parts, {}, {}, []
         for word in new:
-            core = word.rstrip(".,")
-            lower = core.lower()
-            if not core or not lower[-1].isalnum():       # a capital dotted I ends in a mark
-                core = lower = word
-            if lower.isalpha() and (lower.isascii() or max(lower) < _AFTER_LATIN):
-                core_key = lower
-                if lower not in known:
-                    letters[lower] = None
+            tail = ""
+            if word.isalpha() and word.isascii():
+                core = word.lower()
+                unknown = letters
             else:
-                core_key = core
-                if core not in known:
-                    other[core] = None
-            tail = word[len(core):]
-            if tail and tail not in known:
-                other[tail] = None
-            cuts[word] = core_key, tail
+                core = word.rstrip(".,")
+                lower = core.lower()
+                if core and lower[-1].isalnum():          # a capital dotted I ends in a mark
+                    tail = word[len(core):]
+                else:
+                    core = lower = word
+                if lower.isalpha() and (lower.isascii() or max(lower) < _AFTER_LATIN):
+                    core, unknown = lower, letters
+                else:
+                    unknown = other
+                if tail and tail not in known:
+                    other[tail] = None
+            if core not in known:
+                unknown[core] = None
+            cuts.append((core, tail))
         for tokenizer, unknown in ((self._units, letters), (self._tokenizer, other)):
             if unknown:
-                for part, found in zip(unknown, tokenizer.encode_batch_fast(list(unknown), add_special_tokens=False)):
-                    unknown[part] = struct.pack(f"<{len(found)}I", *found.ids)
-        found = {**other, **letters}
-        for word, parts in cuts.items():
-            new[word] = b"".join([found[p] if p in found else known[p] for p in parts if p])
-        for memo, more in ((self._words, new), (self._parts, found)):
-            if len(memo) >= self.max_memo:
-                memo.clear()
-                self._words[""] = b""
-            memo.update((w, i) for w, i in more.items() if len(w) <= _MEMO_CHARS)
+                found = tokenizer.encode_batch_fast(list(unknown), add_special_tokens=False)
+                unknown.update(zip(unknown, [struct.pack(f"<{len(e)}I", *e.ids) for e in found]))
+        found = other | letters
+        if len(known) >= self.max_memo:
+            for core, tail in cuts:                       # what this text needs stays
+                for part in (core, tail):
+                    if part in known:
+                        found[part] = known[part]
+            known.clear()
+        known.update(found)
+        new.update(zip(new, [known[core] + known[tail] if tail else known[core] for core, tail in cuts]))
+        self._forget_long(known, found)
+        if len(self._words) >= self.max_memo:
+            self._words.clear()
+            self._words[""] = b""
+        self._words.update(new)
+        self._forget_long(self._words, new)
+
+    @staticmethod
+    def _forget_long(memo: dict[str, bytes], added: dict[str, bytes]) -> None:
+        if max(map(len, added), default=0) > _MEMO_CHARS:
+            for word in added:
+                if len(word) > _MEMO_CHARS:
+                    memo.pop(word, None)
 
 
 @lru_cache(maxsize=2)
