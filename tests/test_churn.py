@@ -119,4 +119,19 @@ def test_tier_bounds_are_right_closed(spark):
     tiered = df.withColumn("risk_tier", churn.risk_tier(F.col("p")))
     assert [r.risk_tier for r in tiered.orderBy("p").collect()] == ["Low", "Low", "Medium", "Medium", "High", "Critical", "Critical"]
     assert rows(churn.risk_tier_summary(tiered), "risk_tier", "customers", "revenue_at_risk") == [
-        ("Critical", 2, m("20.00")), ("High", 1, m("10.00")), ("Low", 2, m("0.00")), ("Medium", 2, m("0.00"))]
+        ("Critical", 2, m("20.00")), ("High", 1, m("10.00")), ("Low", 2, m("0.00")), ("Medium", 2, m("0.00")),
+        ("Total", 7, m("30.00"))]
+    low = churn.risk_tier_summary(tiered.where("p < 0.2"))
+    assert rows(low, "risk_tier", "customers", "revenue_at_risk") == [
+        ("Critical", 0, m("0.00")), ("High", 0, m("0.00")), ("Low", 1, m("0.00")), ("Medium", 0, m("0.00")), ("Total", 1, m("0.00"))]
+
+
+def test_missing_inputs_are_trained_on_and_scored(planted):
+    holes = planted.withColumn("age", F.when(F.col("age") % 10 != 0, F.col("age")))
+    model = churn.fit_one(holes.where(~F.col("is_test")))
+    scores = churn.score_base(model, holes)
+    assert scores.count() == planted.count()
+    odd = F.isnan("churn_probability") | F.col("churn_probability").isNull() | F.col("risk_tier").isNull()
+    assert scores.where(odd).count() == 0
+    best = churn.worklist(scores, 5).collect()
+    assert all(0.5 < r.churn_probability <= 1 for r in best)

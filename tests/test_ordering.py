@@ -152,3 +152,11 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "id string, v long")
     assert prefix_scan(df, "v", "id", ["v"]).count() == 0
     assert quantile_score(df, {"S": ("v", False)}, "id").count() == 0
+
+
+@pytest.mark.parametrize("per_bucket", [SMALL, 10_000])
+def test_null_order_values_fill_the_first_bands(spark, per_bucket):
+    df = spark.range(2000).select("id", F.when(F.col("id") % 4 != 0, F.col("id")).alias("v"))
+    got = quantile_score(df, {"s": ("v", False)}, "id", 5, rows_per_bucket=per_bucket)
+    assert rows(got.groupBy("s").agg(F.count("*"), F.count("v"))) == [
+        (1, 400, 0), (2, 400, 300), (3, 400, 400), (4, 400, 400), (5, 400, 400)]
