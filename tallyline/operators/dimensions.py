@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def with_surrogate_key(df: DataFrame, natural_key: str | Sequence[str], name: str = "sk") -> DataFrame:
-    """64-bit hash of the natural key: the same on every run and needs no shuffle."""
+    """64-bit hash of the natural key: the same on every run and needs no shuffle.
+
+    Two keys can share a hash: among a billion keys the chance is about 3%. `duplicate_keys`
+    over the distinct natural keys finds such pairs.
+    """
     keys = [natural_key] if isinstance(natural_key, str) else list(natural_key)
     return df.withColumn(name, F.xxhash64(*keys))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from tallyline.functions.columns import status_filter
 from tallyline.functions.derive import CANCELLED, ONLINE, RETURNED, REVENUE_STATUSES
@@ -88,8 +89,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def populated(df: DataFrame, fk: str, sentinels: Sequence[str] = NA_SENTINELS) -> DataFrame:
-    """Rows whose foreign key is neither null nor a not-applicable marker in any case."""
-    return df.where(F.col(fk).isNotNull() & ~F.upper(F.col(fk).cast("string")).isin(*sentinels))
+    """Rows whose foreign key is neither null nor a not-applicable marker in any case. A
+    number is never a marker text."""
+    given = F.col(fk).isNotNull()
+    if isinstance(df.schema[fk].dataType, StringType):
+        given = given & ~F.upper(fk).isin(*sentinels)
+    return df.where(given)
 
 
 def semi(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions.columns import ratio
-from tallyline.operators.filters import NA_SENTINELS
+from tallyline.operators.filters import NA_SENTINELS, populated
 from tallyline.operators.ordering import with_totals
 from tallyline.sources.schemas import CRITICAL_COLUMNS, FOREIGN_KEYS, PRIMARY_KEYS
 
@@ -33,6 +33,7 @@ def duplicate_count(df: DataFrame, key: str) -> DataFrame:
 
 def validity_rules() -> dict[str, list[tuple[str, Column]]]:
     """Per table: check name and the condition of a bad row (null is not bad)."""
+    # Check names.
     return {
         "fact_orders": [("fact_orders.total_amount >= 0", F.col("total_amount") < 0)],
         "fact_order_items": [("fact_order_items.quantity > 0", F.col("quantity") <= 0)],
@@ -64,13 +65,10 @@ def referential_integrity(child: DataFrame, fk: str, parent: DataFrame, pk: str,
     one row when it meets the parent.
     """
     kind, parent_kind = child.schema[fk].dataType, parent.schema[pk].dataType
-    populated = F.col(fk).isNotNull()
-    if isinstance(kind, T.StringType):  # a number is never a marker text
-        populated = populated & ~F.upper(fk).isin(*sentinels)
     same = kind == parent_kind
     child_key = F.col(fk) if same else F.col(fk).cast("string")
     parent_key = F.col(pk) if same else F.col(pk).cast("string")
-    per_key = child.where(populated).groupBy(child_key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    per_key = populated(child, fk, sentinels).groupBy(child_key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
     known = parent.select(parent_key.alias("k")).distinct().withColumn("found", F.lit(True))
     return per_key.join(known, "k", "left").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("scanned"),

@@ -569,7 +569,7 @@ def land_tables(b):
 
 @query
 def year_partitions(b):
-    """Orders written by year with a default partition, summed by reading one year range."""
+    """Orders written by year with a default partition, summed by reading all of them back."""
     out = _fresh(b, "years")
     sinks.write_partitioned(b.orders, out, "order_date", 1996, 2000)
     stored = b.spark.read.parquet(out)

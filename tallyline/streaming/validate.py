@@ -29,9 +29,11 @@ def stream_validate(stream: DataFrame, out: str, quarantine: str, checkpoint: st
     """Write both sides of every micro-batch. A batch has its own folder that a retry
     overwrites, so a batch repeated after a failure is stored once."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = validate_split(batch, rules)
+        kept = batch.persist()          # read once for the two writes
+        good, bad = validate_split(kept, rules)
         good.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        kept.unpersist()
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
