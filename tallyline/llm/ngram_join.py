@@ -164,22 +164,30 @@ def describe(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
         run, f"`{id}` {df.schema[id].dataType.simpleString()}, n_shingles bigint, class binary, sketch binary")
 
 
-def frequent_shingles(df: DataFrame, text: str, words: int, total: int, sample_shingles: int = 4_000_000,
-                      least: int = 3, most: int = 1_000_000) -> np.ndarray:
-    """Sorted hashes of the shingles that `least` documents or more of a sample hold: about
-    `sample_shingles` of all `total`, so the result has a bound; of more than `most`, those
-    of the most documents."""
-    every = max(1, -(-total // sample_shingles))
-
+def frequent_shingles(df: DataFrame, text: str, words: int, every: int = 8, least: int = 3,
+                      most: int = 1_000_000) -> np.ndarray:
+    """Sorted hashes of the shingles that `least` or more of a sample of the distinct texts
+    hold (one in `every`, by hash); where these are more than `most`, the bound is raised."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in batch.column(0):
                 yield pa.RecordBatch.from_arrays([pa.array(shingles(t.as_py(), words).view(np.int64))], ["h"])
 
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy().tobytes()], pa.binary())], ["h"])
+
     sample = df.where(F.pmod(F.xxhash64(text), F.lit(every)) == 0).select(text).distinct()
-    counted = sample.mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    found = counted.orderBy(F.desc("n"), "h").limit(most).select("h").toPandas()["h"].to_numpy(np.int64)
-    return np.sort(found.view(np.uint64))
+    counted = cut_lineage(sample.mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("n"))
+                          .where(F.col("n") >= least))
+    room = most
+    for n, rows in sorted(counted.groupBy("n").count().collect(), reverse=True):
+        room -= rows
+        if room < 0:
+            least = n + 1
+            break
+    packed = counted.where(F.col("n") >= least).select("h").mapInArrow(join, "h binary").collect()
+    return np.sort(np.frombuffer(b"".join(row["h"] for row in packed), np.uint64))
 
 
 def packed_signatures(df: DataFrame, text: str, words: int, bands: Bands, buckets: int,
@@ -332,7 +340,7 @@ def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, wo
     bands = Bands(similarity)
     total = described.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(4 * spark.sparkContext.defaultParallelism, -(-total // _ENTRIES_PER_BUCKET))
-    frequent = frequent_shingles(docs, text, words, total)
+    frequent = frequent_shingles(docs, text, words)
     packed = packed_signatures(docs, text, words, bands, buckets, frequent)
     groups = cut_lineage(packed.groupBy("bucket").applyInArrow(_shared, "group bigint, class binary").distinct())
     classes = described.groupBy("class").agg(F.min(id).alias(id), F.first("n_shingles").alias("n_shingles"),
@@ -356,11 +364,13 @@ def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, wo
         edges = cut_lineage(_near_enough(edges, classes, similarity))
         wanted = edges.select(F.col("a").alias("class")).union(edges.select("b")).distinct()
         sets = cut_lineage(_sets(docs, classes.join(wanted, "class", "left_semi"), id, text, words))
-        links = cut_lineage(links.unionByName(_links(edges, sets, similarity)))
-        labels = components(links)
+        found = cut_lineage(_links(edges, sets, similarity))
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
         groups = (labelled.join(first.select("group", F.col("a").alias("class")), ["group", "class"], "left_anti")
                   .select("group", "class"))
-        pivots *= 8
+        pivots *= 64
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5,
