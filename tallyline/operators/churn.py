@@ -364,6 +364,13 @@ def risk_tier_summary(scores: DataFrame) -> DataFrame:
     return listed.unionByName(scores.agg(*sums).withColumn("risk_tier", F.lit("Total")))
 
 
+def run_facts(split: DataFrame, obs: str, horizon: int) -> DataFrame:
+    """One row: sizes of the split, customers scored, observation date and horizon."""
+    return split.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"),
+                     F.count(F.lit(1)).alias("n_scored")).withColumns(
+        {"observation_date": F.lit(obs), "horizon_days": F.lit(horizon)})
+
+
 def churn_report(tables: Mapping[str, DataFrame], obs: str, horizon: int = 183, active_days: int = 365,
                  rounds: int = 300, seed: int = 42) -> dict[str, object]:
     """The whole workflow: features and labels, split, selection, evaluation, scores."""
@@ -378,4 +385,5 @@ def churn_report(tables: Mapping[str, DataFrame], obs: str, horizon: int = 183,
             "decile_lift": decile_lift(test, LABEL, "p", "customer_id"),
             "feature_importance": permutation_importance(
                 chosen.model, test.drop("p"), [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES], seed=seed),
-            "scores": scores, "risk_tiers": risk_tier_summary(scores)}
+            "scores": scores, "risk_tiers": risk_tier_summary(scores),
+            "run_facts": run_facts(split, obs, horizon)}

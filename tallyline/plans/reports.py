@@ -38,6 +38,7 @@ def run_churn(tables: Mapping[str, DataFrame], out: str, obs: str, horizon: int
     write_table(result["scores"], f"{base}/scores", "csv")
     spark = result["scores"].sparkSession
     write_report({"leaderboard": selection.leaderboard_frame(spark),
-                  **{n: result[n] for n in ("metrics", "roc_curve", "decile_lift", "feature_importance", "risk_tiers")}},
+                  **{n: result[n] for n in ("metrics", "roc_curve", "decile_lift", "feature_importance", "risk_tiers",
+                                          "run_facts")}},
                  f"{base}/report")
     return result

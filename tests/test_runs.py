@@ -43,6 +43,9 @@ def test_churn_run(spark, tmp_path):
     run_churn(tables, str(tmp_path), "2001-01-29", rounds=2)
     scores = spark.read.option("header", True).csv(f"{tmp_path}/scores")
     assert scores.count() == 967
-    tiers = spark.read.json(f"{tmp_path}/report/risk_tiers").agg(F.sum("customers")).first()[0]
-    assert tiers == 967 and spark.read.json(f"{tmp_path}/report/decile_lift").count() == 10
+    tiers = {r.risk_tier: r.customers for r in spark.read.json(f"{tmp_path}/report/risk_tiers").collect()}
+    assert set(tiers) == {"Low", "Medium", "High", "Critical", "Total"} and tiers.pop("Total") == sum(tiers.values()) == 967
+    facts = spark.read.json(f"{tmp_path}/report/run_facts").first()
+    assert facts.n_train + facts.n_test == facts.n_scored == 967 and facts.horizon_days == 183
+    assert spark.read.json(f"{tmp_path}/report/decile_lift").count() == 10
     assert os.path.isdir(tmp_path / "model")
