@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.llm import langid, line_dedup, ngram_join, packing, pii
-from tallyline.session import shared_dir
+from tallyline.session import cut_lineage, shared_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -33,7 +33,9 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     so do documents without an id.
     """
     groups = ngram_join.near_duplicates(docs).where(F.col("doc_id") != F.col("component_id"))
-    gone = groups.select(F.col("doc_id").alias("_near_duplicate")).distinct()
+    gone = cut_lineage(groups.select(F.col("doc_id").alias("_near_duplicate")).distinct())
+    if gone.count() <= 500_000:            # one number a row; more of them by a shuffle
+        gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"] == gone["_near_duplicate"], "left_anti")
 
 

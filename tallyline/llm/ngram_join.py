@@ -45,6 +45,7 @@ _MASK = np.uint64(0xFFFFFFFFFFFF)             # signatures are 48 bits
 _ENTRIES_PER_CHUNK = 2_000_000
 _ENTRIES_PER_BUCKET = 2_000_000
 _CLASS_BYTES = 12
+_MAX_BROADCAST = 200_000
 
 
 _WORDS = WordHashes()
@@ -267,6 +268,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, words: int) ->
                 [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())],
                 ["class", "elements"])
 
+    chosen = cut_lineage(chosen)
+    if chosen.count() <= _MAX_BROADCAST:       # some tens of bytes a row; beyond that by a shuffle
+        chosen = F.broadcast(chosen)
     texts = docs.select(id, text).join(chosen, id).select("class", text)
     return texts.mapInArrow(run, "class binary, elements binary")
 
