@@ -134,7 +134,7 @@ def _class(elements: np.ndarray) -> bytes:
 
 def sketch(elements: np.ndarray) -> bytes:
     """Counts (up to 255) of the elements by their top bits, in a power of two of cells."""
-    cells = max(6, (len(elements) // 8).bit_length())
+    cells = max(6, (len(elements) // 4).bit_length())
     counts = np.bincount((elements >> U(64 - cells)).astype(np.int64), minlength=1 << cells)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
@@ -165,7 +165,7 @@ def describe(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
         run, f"`{id}` {df.schema[id].dataType.simpleString()}, n_shingles bigint, class binary, sketch binary")
 
 
-def frequent_shingles(df: DataFrame, text: str, words: int, every: int = 8, least: int = 3,
+def frequent_shingles(df: DataFrame, text: str, words: int, every: int = 16, least: int = 3,
                       most: int = 1_000_000) -> np.ndarray:
     """Sorted hashes of the shingles that `least` or more of a sample of the distinct texts
     hold (one in `every`, by hash); where these are more than `most`, the bound is raised."""
@@ -353,11 +353,14 @@ def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, wo
     labels = spark.createDataFrame([], "node binary, label binary")
     pivots = 1
     while True:
-        labelled = groups.join(labels, groups["class"] == labels["node"], "left").select(
-            "group", "class", F.coalesce("label", "class").alias("label"))
-        mixed = labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        open_groups = mixed.where(F.col("low") != F.col("high")).select("group")
-        labelled = cut_lineage(labelled.join(open_groups, "group", "left_semi"))
+        if pivots == 1:                        # every group still has several components
+            labelled = groups.withColumn("label", F.col("class"))
+        else:
+            labelled = groups.join(labels, groups["class"] == labels["node"], "left").select(
+                "group", "class", F.coalesce("label", "class").alias("label"))
+            mixed = labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+            open_groups = mixed.where(F.col("low") != F.col("high")).select("group")
+            labelled = cut_lineage(labelled.join(open_groups, "group", "left_semi"))
         if labelled.isEmpty():
             return labels
         order = Window.partitionBy("group").orderBy("class")
