@@ -28,7 +28,6 @@ AS_OF = "2001-08-02"
 OBS = "2001-01-29"
 FUTURE_FROM = "2001-06-30"
 SCD_DAY = "1996-01-01"
-BOOST_ROUNDS = 5
 GIVEN_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
                 "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -651,7 +650,7 @@ def _selected(b, rows: DataFrame) -> churn.Selection:
     not depend on the query, so queries of one session over one directory share it."""
     key = (b.spark.sparkContext.applicationId, b.directory)
     if key not in _SELECTIONS:
-        _SELECTIONS[key] = churn.train_select(rows.where(~F.col("is_test")), rounds=BOOST_ROUNDS)
+        _SELECTIONS[key] = churn.train_select(rows.where(~F.col("is_test")))
     return _SELECTIONS[key]
 
 

@@ -135,3 +135,19 @@ def test_missing_inputs_are_trained_on_and_scored(planted):
     assert scores.where(odd).count() == 0
     best = churn.worklist(scores, 5).collect()
     assert all(0.5 < r.churn_probability <= 1 for r in best)
+
+
+def test_registered_queries_train_every_round(spark, planted, monkeypatch, tmp_path):
+    """The queries fit what the operator fits by default: 300 rounds, as the reference does."""
+    from types import SimpleNamespace
+
+    from tallyline.plans import catalogue
+    seen = []
+
+    def candidates(n_rows, rounds=300):
+        seen.append(churn.boosting(rounds).getMaxIter())
+        return {"Logistic Regression": churn.logistic(n_rows, 5)}
+    monkeypatch.setattr(churn, "default_candidates", candidates)
+    monkeypatch.setattr(catalogue, "_SELECTIONS", {})
+    catalogue._selected(SimpleNamespace(spark=spark, directory=str(tmp_path)), planted)
+    assert seen == [300]
