@@ -101,23 +101,43 @@ _INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 _DIGIT_WORDS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5",
                 "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _SIGN_WORDS = {"at": "@", "dot": ".", "plus": "+"}
-# Endings that an address written out without brackets must have.
-_ENDINGS = "com|org|net|edu|gov|info|io|co|uk|de|fr|es|eu|us|ca|au|ch|at|it|nl|be|pt|br|jp|in"
+# Endings that an address needs whose `at` is a word and whose dots are all signs, as a
+# sentence may have a file name or a missing space there: the country codes and common generic endings.
+_ENDINGS = "|".join("""
+    ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd
+    cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz ec ee eg er es et eu fi fj fk fm fo fr ga gd ge
+    gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh
+    ki km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw
+    mx my mz na nc ne nf ng ni nl no np nr nu nz om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb
+    sc sd se sg sh si sk sl sm sn so sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk
+    us uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw
+    com org net edu gov mil int info biz name pro aero asia cat coop jobs mobi museum post tel travel app art blog
+    cloud club company design dev digital email expert global group health host legal life link live ltd mail media
+    network news online page pub shop site social software space store studio systems tech today top vip website wiki
+    work works world xyz zone test example invalid""".split())
+# Words of running text that name no host, and that no address ends with.
+_NO_HOST = "the|a|an|this|that|these|those|each|every|any|some|my|your|his|her|its|our|their|it|them|him"
+_NO_ENDING = "on|and|or|of|the|with|for|from|but|if|was|were|are|that|which|when|then|dot"
 
 _WORD = "|".join(_DIGIT_WORDS)
 # A digit word counts only beside another digit word or a digit, a bare `at` or `dot` only
-# between word characters of an address written out with both.
+# between word characters of an address. Each separator of an address is a sign or a word,
+# bare or in brackets, and one at least is a word.
 _SPELLED = rf"(?<![a-z])(?:{_WORD})(?:[\x20.-]{{1,2}}(?:{_WORD}|[0-9](?![a-z])))+(?![a-z])"
 _BRACKETED = r"\x20?[\[({<]\x20?(?:at|dot|plus)\x20?[\])}>]\x20?"
-_ADDRESS = (r"(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}\x20at\x20[a-z0-9-]{1,63}"
-            rf"(?:\x20dot\x20[a-z0-9-]{{1,63}}){{0,7}}\x20dot\x20(?:{_ENDINGS})(?![a-z0-9])")
+_AT, _DOT = (rf"(?:\x20{word}\x20|\x20?[\[({{<]\x20?{word}\x20?[\])}}>]\x20?)" for word in ("at", "dot"))
+_LABEL = r"[a-z0-9-]{1,63}"
+_ADDRESS = (r"(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}"
+            rf"(?:(?:{_AT}(?!(?:{_NO_HOST})\x20dot\x20)|@){_LABEL}(?:\.{_LABEL}){{0,7}}{_DOT}"
+            rf"(?:{_LABEL}(?:{_DOT}|\.)){{0,7}}(?!(?:{_NO_ENDING})(?![a-z0-9-]))[a-z]{{2,63}}"
+            rf"|{_AT}{_LABEL}(?:\.{_LABEL}){{0,7}}\.(?:{_ENDINGS}))(?![a-z0-9])")
 _PLUS = rf"(?<![a-z])plus\x20(?=[0-9]|{_WORD})"
 _ONE_CHARACTER = "[" + re.escape("".join(_LOOKALIKES)) + "]|[" + _INVISIBLE + "]"
 _DISGUISE = re.compile(_ONE_CHARACTER)
 _WRITTEN = re.compile(f"{_BRACKETED}|{_ADDRESS}|{_PLUS}|{_SPELLED}", re.IGNORECASE)
 _HINT = re.compile(rf"\b(?:at|dot|plus|{_WORD})\b", re.IGNORECASE)
 _INSIDE = {"bracketed": re.compile(r"[a-z]+", re.IGNORECASE),
-           "address": re.compile(r"\x20(at|dot)\x20", re.IGNORECASE),
+           "address": re.compile(rf"{_AT}|{_DOT}", re.IGNORECASE),
            "digit": re.compile(rf"({_WORD})|[0-9]", re.IGNORECASE)}
 
 
@@ -161,12 +181,12 @@ def _written_edits(text: str) -> list[tuple[int, int, str]]:
     for found in _WRITTEN.finditer(text):
         piece, start = found.group(), found.start()
         lower = piece.lower()
-        if lower.lstrip(" ")[:1] in "[({<":
+        if lower.lstrip(" ")[:1] in "[({<":        # an address starts with its local part
             edits.append((start, found.end(), _SIGN_WORDS[_INSIDE["bracketed"].search(lower).group()]))
         elif lower == "plus ":
             edits.append((start, found.end(), "+"))
-        elif " at " in lower:
-            edits += [(start + m.start(), start + m.end(), _SIGN_WORDS[m.group(1).lower()])
+        elif _INSIDE["address"].search(piece):
+            edits += [(start + m.start(), start + m.end(), "@" if "a" in m.group().lower() else ".")
                       for m in _INSIDE["address"].finditer(piece)]
         else:
             last = start

@@ -78,3 +78,21 @@ def test_frames(spark):
     assert masked.columns == df.columns
     assert sorted((r.doc_id, r.text) for r in masked.collect() if r.text) == [(1, "<email> <ip>")]
     assert masked.where("text is null").count() == 1 and pii.detect(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("address", [
+    "bob at example.com", "bob@example dot com", "bob at mail.example dot com", "bob at mail dot example.com",
+    "bob [at] example dot com", "bob at example [dot] com", "bob@example(dot)com", "bob at example dot app",
+    "bob at example dot me", "bob at example dot ru", "bob at example dot cn", "bob@example dot museum",
+    "Bob.Ray at example.ru", "bob at example dot co dot uk", "bob at example dot to"])
+def test_written_separators_and_all_endings(address):
+    text = f"write to {address} please"
+    plain, spans = pii.find(text)
+    assert plain["email"] == [] and [text[s:e] for s, e in spans["email"]] == [address]
+    assert pii.mask(text) == "write to <email> please"
+
+
+@pytest.mark.parametrize("text", ["stare at red dot on screen", "look at the dot in it", "look at index.html first",
+                                  "He was at home.Then he left", "pay at 10.30 or at 11.15", "see the dot com boom at work"])
+def test_running_text_is_no_address(text):
+    assert pii.mask(text) == text
