@@ -4,7 +4,9 @@ A text is a normalised TF-IDF vector of hashed character n-grams (one to three l
 with word boundaries). Each language has several centroids, found by spherical k-means on a
 bounded sample of its labelled texts, so that a language with several kinds of text is not
 one blur. A text gets the language of the centroid with the highest cosine, and is rejected
-if even that one is too far away.
+if even that one is too far away. How far is too far depends on the language and on the
+length of the text: a short text has few n-grams and so a low cosine. Both come from the
+cosines of the labelled sample, each half of it measured with centroids of the other half.
 
 Document frequencies are counted over all training rows. Only the sample that the centroids
 are fitted on is bounded: `sample_rows` per language, those with the lowest hash of the id.
@@ -22,6 +24,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _BITS = 14
 _SIZE = 1 << _BITS
+_LENGTHS = 40          # powers of two of the number of n-grams of a text
+# Which cosine of the known texts of about a length, and which share of it, a text must reach.
+# Known texts that mostly hold a licence line or the like are far at any length, so no floor is above the ceiling.
+_QUANTILE, _SHARE, _CEILING = 0.01, 0.6, 0.2
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
@@ -87,24 +93,57 @@ class Model:
     idf: np.ndarray                # (_SIZE,)
     centroids: np.ndarray          # (_SIZE, number of centroids)
     languages: list[str]           # of each centroid
+    floors: np.ndarray | None = None    # (number of centroids, _LENGTHS): least cosine of a text that is not rejected
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         found = grams(text)
         if found is None:
             return None
-        at, counts = found
+        return found[0], self._unit(*found)
+
+    def _unit(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
         weights = (1 + np.log(counts)) * self.idf[at]
         norm = np.sqrt((weights**2).sum())
-        return (at, weights / norm) if norm else (at, weights)
+        return weights / norm if norm else weights
 
-    def nearest(self, text: str | None) -> tuple[str | None, float]:
-        """(language, cosine); (None, 0) without a letter. Of equal cosines the first centroid."""
-        found = self.vector(text)
+    def nearest(self, text: str | None) -> tuple[str | None, float, float]:
+        """(language, cosine, least cosine to be accepted); (None, 0, 0) without a letter. Of equal
+        cosines the first centroid."""
+        found = grams(text)
         if found is None or not self.languages:
-            return None, 0.0
-        cosines = found[1] @ self.centroids[found[0]]
+            return None, 0.0, 0.0
+        at, counts = found
+        cosines = self._unit(at, counts) @ self.centroids[at]
         best = int(np.argmax(cosines))
-        return self.languages[best], float(min(1.0, max(0.0, cosines[best])))
+        floor = float(self.floors[best, length_class(counts)]) if self.floors is not None else 0.0
+        return self.languages[best], float(min(1.0, max(0.0, cosines[best]))), floor
+
+
+def length_class(counts: np.ndarray) -> int:
+    """Power of two of the number of n-grams of a text."""
+    return min(_LENGTHS - 1, int(counts.sum()).bit_length() - 1)
+
+
+def floors(lengths: np.ndarray, cosines: np.ndarray, fewest: int = 20) -> np.ndarray:
+    """Least accepted cosine per length class, from the length classes and cosines of known texts.
+
+    A class takes a low quantile over the nearest `fewest` texts by length, or all of its own
+    and its two neighbours if they are more. It never exceeds that of a longer class. Below the
+    shortest known text it falls with the root of the length, as a cosine of few n-grams does.
+    """
+    out = np.zeros(_LENGTHS)
+    if not len(lengths):
+        return out
+    for k in range(_LENGTHS):
+        away = np.abs(lengths - k)
+        reach = max(1, np.sort(away)[min(fewest, len(away)) - 1])
+        # Texts that are longer than the class have higher cosines: only what is needed of them counts.
+        out[k] = np.quantile(cosines[away <= reach], _QUANTILE, method="lower") * _SHARE
+    out = np.minimum(out, _CEILING)
+    out = np.minimum.accumulate(out[::-1])[::-1]
+    short = int(lengths.min())
+    out[:short] = out[short] * np.sqrt(2.0) ** (np.arange(short) - short)
+    return out
 
 
 def spherical_means(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -167,19 +206,27 @@ def fit(training: DataFrame, id: str = "doc_id", text: str = "text", lang: str =
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         model = Model(idf, np.zeros((_SIZE, 0)), [])
         group = group.sort_values(["id", "text"], kind="stable").head(sample_rows)
-        vectors = [v for v in map(model.vector, group["text"]) if v is not None]
-        dense = np.zeros((len(vectors), _SIZE), np.float32)
-        for row, (at, weights) in enumerate(vectors):
-            dense[row, at] = weights
+        found = [g for g in map(grams, group["text"]) if g is not None]
+        dense = np.zeros((len(found), _SIZE), np.float32)
+        for row, (at, counts) in enumerate(found):
+            dense[row, at] = model._unit(at, counts)
         centers = spherical_means(dense, centroids) if len(dense) else dense
+        cosines = np.zeros(len(dense))
+        for half in (0, 1):
+            if len(dense) > 1:
+                others = spherical_means(dense[1 - half::2], centroids)
+                cosines[half::2] = (dense[half::2] @ others.T).max(axis=1)
+        least = floors(np.array([length_class(counts) for _, counts in found], int), cosines)
         return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(centers), "part": range(len(centers)),
-                             "center": [c.astype("<f4").tobytes() for c in centers]})
+                             "center": [c.astype("<f4").tobytes() for c in centers],
+                             "least": [least.tolist()] * len(centers)})
 
-    fitted = sample.groupBy("lang").applyInPandas(cluster, "lang string, part int, center binary").collect()
+    fitted = sample.groupBy("lang").applyInPandas(cluster, "lang string, part int, center binary, least array<double>").collect()
     fitted = sorted(fitted, key=lambda r: (r["lang"], r["part"]))
     centers = [np.frombuffer(r["center"], "<f4") for r in fitted]
     matrix = np.stack(centers, axis=1).astype(np.float64) if centers else np.zeros((_SIZE, 0))
-    return Model(idf, matrix, [r["lang"] for r in fitted])
+    least = np.array([r["least"] for r in fitted]) if fitted else np.zeros((0, _LENGTHS))
+    return Model(idf, matrix, [r["lang"] for r in fitted], least)
 
 
 def predict(df: DataFrame, model: Model, text: str = "text", min_score: float = 0.05) -> DataFrame:
@@ -187,22 +234,24 @@ def predict(df: DataFrame, model: Model, text: str = "text", min_score: float =
     (one of these three names is replaced).
 
     A null text, or one without a letter, is `und` with score 0 and rejected. A text further
-    from every centroid than cosine `min_score` keeps its nearest language and is rejected.
+    from every centroid than the fitted floor of its nearest language and its length, or than
+    cosine `min_score`, keeps its nearest language and is rejected.
     """
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(model)    # a fixed number of values per centroid
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, far boolean")
     def nearest(texts: pd.Series) -> pd.DataFrame:
         found = [shared.value.nearest(t) for t in texts]
-        return pd.DataFrame({"lang_pred": [lang if lang is not None else "und" for lang, _ in found],
-                             "score": [score for _, score in found]})
+        return pd.DataFrame({"lang_pred": [lang if lang is not None else "und" for lang, _, _ in found],
+                             "score": [score for _, score, _ in found],
+                             "far": [score < max(floor, min_score) for _, score, floor in found]})
 
     found = df.withColumn("_near", nearest(F.col(text)))
     near = F.col("_near")
     return found.withColumns({
         "lang_pred": near["lang_pred"], "score": near["score"],
-        "rejected": (near["lang_pred"] == "und") | (near["score"] < min_score)}).drop("_near")
+        "rejected": (near["lang_pred"] == "und") | near["far"]}).drop("_near")
 
 
 def held_out(id: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:

@@ -36,6 +36,19 @@ def test_held_out_accuracy_and_edge_cases(spark, labelled):
     assert found[5].lang_pred == "xx" and found[4].lang_pred in ("xx", "yy")
 
 
+def test_far_texts_are_rejected_at_every_length(spark, labelled):
+    """Unlearned scripts and letter noise go, however long; all clean texts stay, also short ones."""
+    rng = random.Random(11)
+    model = langid.fit(labelled)
+    alphabets = {"cyrillic": "абвгдежзийклмнопрстуфхцчшщ  ", "greek": "αβγδεζηθικλμνξοπρστυφχψω  ",
+                 "han": "".join(chr(0x4E00 + i) for i in range(3000)), "noise": "cfghjmnqtvwxcfghjmnqtvwx    "}
+    odd = [(f"{name} {n}", "".join(rng.choice(letters) for _ in range(n)))
+           for name, letters in alphabets.items() for n in (20, 200, 2_000, 20_000)]
+    clean = [(f"clean {lang} {n} {i}", prose(rng, lang, n)) for lang in LANGUAGES for n in (1, 3, 10, 60, 600) for i in range(20)]
+    got = {r.id: r.rejected for r in langid.predict(spark.createDataFrame(odd + clean, "id string, text string"), model).collect()}
+    assert [i for i, _ in odd if not got[i]] == [] and [i for i, _ in clean if got[i]] == []
+
+
 def test_no_training_rows_know_no_language(spark, labelled):
     model = langid.fit(labelled.limit(0))
     assert {r.lang_pred for r in langid.predict(labelled.limit(3), model).collect()} == {"und"}
