@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.llm import (
-    bpe, fingerprint, html_extract, langid, line_dedup, lm_score, ngram_join, packing, pii, topk)
+    bpe, fingerprint, html_extract, kmeans, langid, line_crf, line_dedup, lm_score, ngram_join, packing, pii,
+    spelling, topk)
 from tallyline.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -78,6 +79,24 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where(F.col("vec_id") % 20 == 0), vectors)
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector in one of 16 clusters."""
+    return kmeans.with_inertia(*kmeans.cluster(_table(spark, sf_dir, "embeddings"))).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with its near words, form and root."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts of every document and whether it is kept."""
+    docs = _table(spark, sf_dir, "documents")
+    field = line_crf.fit(docs, _table(spark, sf_dir, "labels"))
+    return line_crf.rate(docs, field).withColumn("n_content_lines", F.size("content_lines").cast("bigint")).drop("content_lines")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_packing": op2_packing,
@@ -89,4 +108,7 @@ QUERIES = {
     "op8_fingerprint": op8_fingerprint,
     "op9_lm_score": op9_lm_score,
     "op10_top_k": op10_top_k,
+    "op11_clustering": op11_clustering,
+    "op12_spelling": op12_spelling,
+    "op13_quality": op13_quality,
 }
