@@ -7,9 +7,10 @@ the labels of a text, and the share of its words that lie in content lines decid
 it is kept.
 
 Documents are labelled, lines are not. So the field is fitted in turns: at first every line
-has the label of its document; then, in documents of poor quality, the lines that the fitted
-field itself takes for content become content, except that the worst line of each stays
-boilerplate; then the field is fitted again. It learns from a bounded sample of labelled
+has the label of its document, and the field is fitted without the chain, which would only
+learn that the lines of a document agree; then, in documents of poor quality, the lines that
+the field itself takes for content become content, except that the worst line of each stays
+boilerplate; then the whole field is fitted, and once more after such a change. It learns from a bounded sample of labelled
 documents; everything else runs over all rows, each by itself, with no shuffle.
 """
 
@@ -184,8 +185,10 @@ def marginals(scores: np.ndarray, moves: np.ndarray, sizes: np.ndarray) -> tuple
     return both[:, :, 1] / both.sum(axis=2), pairs
 
 
-def train(features: list[np.ndarray], labels: list[np.ndarray], steps: int = 150, penalty: float = 1.0) -> Field:
-    """Maximum likelihood with a quadratic penalty, by gradient steps of adaptive length."""
+def train(features: list[np.ndarray], labels: list[np.ndarray], steps: int = 150, penalty: float = 1.0,
+          chain: bool = True) -> Field:
+    """Maximum likelihood with a quadratic penalty, by gradient steps of adaptive length;
+    without the `chain` neighbouring labels are independent."""
     order = sorted(range(len(features)), key=lambda i: -len(features[i]))
     sizes = np.array([len(features[i]) for i in order])
     x = np.concatenate([features[i] for i in order]).astype(float)
@@ -202,6 +205,8 @@ def train(features: list[np.ndarray], labels: list[np.ndarray], steps: int = 150
         scores[text, line] = x @ theta[:width]
         p, pairs = marginals(scores, theta[width:].reshape(2, 2), sizes)
         gradient = np.concatenate([seen - p[text, line] @ x, (seen_pairs - pairs).ravel()]) - penalty * theta
+        if not chain:
+            gradient[width:] = 0
         mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient ** 2
         theta = theta + 0.1 * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-8)
     return Field(theta[:width], theta[width:].reshape(2, 2))
@@ -236,8 +241,8 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     got.sort(key=lambda r: (r[0], r[1].tobytes()))     # the same field whatever the order of the rows
     features = [f for _, f in got]
     lines = [np.full(len(f), q) for q, f in got]
-    for _ in range(turns - 1):
-        field = train(features, lines)
+    for turn in range(turns - 1):
+        field = train(features, lines, chain=turn > 0)
         for i, (q, f) in enumerate(got):
             if q == 0:
                 lines[i] = field.decode(f).astype(int)

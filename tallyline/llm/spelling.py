@@ -74,9 +74,13 @@ def words(df: DataFrame, id: str = "doc_id", text: str = "text", every: int = 31
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_count)
 
 
-def _part(word: Column, part: int, parts: int) -> Column:
-    """The letters of the word that lie in a part of the alphabet, sorted."""
-    return F.filter(F.array_sort(F.split(word, "")), lambda c: (c != "") & (F.pmod(F.ascii(c), F.lit(parts)) == part))
+def _letters(word: Column) -> Column:
+    return F.sort_array(F.split(word, ""))
+
+
+def _part(letters: Column, part: int, parts: int) -> Column:
+    """Those of the sorted letters that lie in a part of the alphabet."""
+    return F.array_join(F.filter(letters, lambda c: (c != "") & (F.pmod(F.ascii(c), F.lit(parts)) == part)), "")
 
 
 def _choices(distance: int, parts: int) -> list[tuple[int, ...]]:
@@ -105,18 +109,18 @@ def signatures(counted: DataFrame) -> DataFrame:
                     entries.append(F.struct(
                         F.lit(slot).alias("slot"), F.lit(side).alias("longer"),
                         F.xxhash64(F.lit(slot), shorter, half, *[F.col(held[p]) for p in chosen]).alias("signature")))
-    parts = {f"_{k}_{p}": F.array_join(_part(F.col("word"), p, k), "") for _, k in (_SAME, _LONGER) for p in range(k)}
-    return (counted.withColumns(parts).select("word", "n", F.explode(F.array(*entries)).alias("e"))
+    parts = {f"_{k}_{p}": _part(F.col("_letters"), p, k) for _, k in (_SAME, _LONGER) for p in range(k)}
+    return (counted.withColumn("_letters", _letters(F.col("word"))).withColumns(parts).select("word", "n", F.explode(F.array(*entries)).alias("e"))
             .select("e.slot", "e.longer", "e.signature", "word", "n"))
 
 
-def _first_slot(a: Column, b: Column) -> Column:
+def _first_slot(a: Column, b: Column, a_letters: Column, b_letters: Column) -> Column:
     """The first slot that near words `a` and `b` (the longer one, if one is) share."""
     shorter = F.length(a)
     left_half = F.when(_halves(a, shorter)[0] == _halves(b, shorter)[0], 0).otherwise(1)
 
     def first(base: int, distance: int, parts: int) -> Column:
-        agree = [F.concat_ws("", _part(a, p, parts)) == F.concat_ws("", _part(b, p, parts)) for p in range(parts)]
+        agree = [_part(a_letters, p, parts) == _part(b_letters, p, parts) for p in range(parts)]
         shared = F.lit(-1)
         for i, chosen in reversed(list(enumerate(_choices(distance, parts)))):
             both = agree[chosen[0]]
@@ -128,6 +132,17 @@ def _first_slot(a: Column, b: Column) -> Column:
     return F.when(F.length(a) == F.length(b), first(0, *_SAME)).otherwise(first(100, *_LONGER)) + left_half
 
 
+def _one_edit(a: Column, b: Column) -> Column:
+    """Words exactly one edit apart; `b` is as long as `a` or longer. Long words are compared behind
+    their first difference, as the time of the edit distance grows with the square of the length."""
+    differs = F.array_position(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: ~x.eqNullSafe(y)), True).cast("int")
+    longer = F.length(b) - F.length(a)
+    rest = F.substring(a, differs + 1, F.length(a)) == F.substring(b, differs + 1, F.length(b))
+    without = F.substring(a, differs, F.length(a)) == F.substring(b, differs + 1, F.length(b))
+    behind = F.when(differs == 0, False).when(longer == 0, rest).when(longer == 1, without).otherwise(False)
+    return F.when(F.length(b) > 64, behind).otherwise(F.levenshtein(a, b, 1) == 1)
+
+
 def near_words(counted: DataFrame) -> DataFrame:
     """`word`, `near`, `near_n`: each pair of words exactly one edit apart, in both directions."""
     entries = signatures(counted)
@@ -135,10 +150,11 @@ def near_words(counted: DataFrame) -> DataFrame:
     candidates = a.join(b, (F.col("a.signature") == F.col("b.signature")) & (F.col("a.slot") == F.col("b.slot"))
                         & ~F.col("a.longer") & ((F.col("b.slot") < 100) & (F.col("a.word") < F.col("b.word"))
                                                 | F.col("b.longer")))
-    close = candidates.where(F.levenshtein("a.word", "b.word", 1) == 1).select(
+    close = candidates.where(_one_edit(F.col("a.word"), F.col("b.word"))).select(
         F.col("a.slot").alias("slot"), F.col("a.word").alias("x"), F.col("a.n").alias("x_n"),
         F.col("b.word").alias("y"), F.col("b.n").alias("y_n"))
-    once = close.where(F.col("slot") == _first_slot(F.col("x"), F.col("y")))
+    lettered = close.withColumns({"x_letters": _letters(F.col("x")), "y_letters": _letters(F.col("y"))})
+    once = lettered.where(F.col("slot") == _first_slot(*map(F.col, ("x", "y", "x_letters", "y_letters"))))
     both = F.array(F.struct(F.col("x").alias("word"), F.col("y").alias("near"), F.col("y_n").alias("near_n")),
                    F.struct(F.col("y").alias("word"), F.col("x").alias("near"), F.col("x_n").alias("near_n")))
     return once.select(F.explode(both).alias("p")).select("p.*")
