@@ -33,11 +33,15 @@ def build_session(app_name: str = "tallyline", master: str | None = None,
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the one `spark.checkpoint.dir` names, else a
-    folder in the warehouse, under any master."""
+    folder in the warehouse. On a cluster a warehouse on a machine's own disk is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named and (current := spark.sparkContext.getCheckpointDir()):
         return current.rstrip("/")
-    named = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    if not named:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
+        named = f"{warehouse}/_checkpoints"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

@@ -77,3 +77,23 @@ def run_meta(tables: Mapping[str, DataFrame]) -> DataFrame:
     return row_counts(tables).agg(
         F.count(F.lit(1)).alias("tables_loaded"), F.sum("n_rows").alias("rows_scanned"),
     ).withColumns({"profile": F.lit(getattr(tables, "profile", "full")), "generated_at": F.current_timestamp()})
+
+
+CORRUPT = "_corrupt_record"
+
+
+def read_checked(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    """A CSV table with its declared types and `_corrupt_record`: the text of a row that does
+    not fit them (a field of another type, too few or too many fields), else null."""
+    schema = file_schema_of(name).add(CORRUPT, "string")
+    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(f"{directory.rstrip('/')}/{name}.csv.gz"))
+    return conform(raw, name)
+
+
+def source_rows(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    """One row `n_rows`: lines of the files less a header each, counted as text. Fields must
+    not hold line feeds."""
+    text = spark.read.text(f"{directory.rstrip('/')}/{name}.csv.gz").where(F.col("value") != "")
+    per_file = text.groupBy(F.input_file_name().alias("file")).agg((F.count(F.lit(1)) - 1).alias("n"))
+    return per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))

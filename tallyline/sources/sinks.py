@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.functions.columns import report_edge
-from tallyline.sources.readers import Tables, row_counts
+from tallyline.session import cut_lineage
+from tallyline.sources.readers import CORRUPT, Tables, read_checked, row_counts, source_rows
 from tallyline.sources.schemas import TABLE_NAMES
 
 DEFAULT_PARTITION = "default"
@@ -36,6 +38,27 @@ def land(tables: Mapping[str, DataFrame], out: str) -> DataFrame:
     return row_counts(landed)
 
 
+def land_checked(spark: SparkSession, directory: str, names: Sequence[str], out: str) -> DataFrame:
+    """Land CSV tables as Parquet and account for every source row, per table: `source_rows`,
+    `landed`, `quarantined`, `reconciled` (they add up).
+
+    A row that does not fit the declared types would otherwise be read with nulls and go
+    unnoticed. It goes to `out/_quarantine/<name>` as its source text; the rest lands in
+    `out/<name>`. Each file is parsed once: both sides come from stored rows.
+    """
+    base, parts = out.rstrip("/"), []
+    for name in names:
+        rows = cut_lineage(read_checked(spark, directory, name))
+        write_table(rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), f"{base}/{name}")
+        write_table(rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record")), f"{base}/_quarantine/{name}")
+        landed, bad = (spark.read.parquet(f"{base}/{folder}").agg(F.count(F.lit(1))).scalar()
+                       for folder in (name, f"_quarantine/{name}"))
+        parts.append(source_rows(spark, directory, name).select(
+            F.lit(name).alias("table_name"), F.col("n_rows").alias("source_rows"), landed.alias("landed"), bad.alias("quarantined")))
+    counts = reduce(DataFrame.unionByName, parts)
+    return counts.withColumn("reconciled", F.col("source_rows") == F.col("landed") + F.col("quarantined"))
+
+
 def with_year_partition(df: DataFrame, date_col: str, first_year: int | None = None,
                         last_year: int | None = None) -> DataFrame:
     """Add `order_year`; null dates and years outside the range fall in "default"."""
@@ -82,5 +105,5 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-__all__ = ["Tables", "analyze", "land", "load_model", "save_model", "with_year_partition",
+__all__ = ["Tables", "analyze", "land", "land_checked", "load_model", "save_model", "with_year_partition",
            "write_partitioned", "write_report", "write_table"]

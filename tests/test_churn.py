@@ -137,6 +137,26 @@ def test_missing_inputs_are_trained_on_and_scored(planted):
     assert all(0.5 < r.churn_probability <= 1 for r in best)
 
 
+def test_folds_have_the_auc_of_fits_of_their_own(planted):
+    """The concurrent search gives what fitting each fold by hand gives."""
+    train = planted.where(~F.col("is_test"))
+    chosen = churn.train_select(train, candidates={"Logistic Regression": churn.logistic(1500, 20)})
+    found = []
+    for fold in range(5):
+        inside, outside = train.where(F.col("fold") != fold), train.where(F.col("fold") == fold)
+        weighted = churn.balance_weights(train)
+        model = churn.Pipeline(stages=[*churn.preprocessing(inside), churn.logistic(1500, 20)]).fit(weighted.where(F.col("fold") != fold))
+        found.append(churn.evaluate(churn.with_probability(model, outside), "churned", "p").first().roc_auc)
+    assert chosen.leaderboard["Logistic Regression"] == pytest.approx(sum(found) / 5, abs=2e-4)
+
+
+def test_boosting_stops_early_only_above_ten_thousand_rows(planted):
+    assert not churn.default_candidates(10_000)["Gradient Boosting"].isSet("validationIndicatorCol")
+    assert churn.default_candidates(10_001)["Gradient Boosting"].getValidationIndicatorCol() == "_watch"
+    model = churn.fit_one(planted, churn.boosting(60, early_stop=True))
+    assert 1 <= model.stages[-1].getNumTrees < 60
+
+
 def test_registered_queries_train_every_round(spark, planted, monkeypatch, tmp_path):
     """The queries fit what the operator fits by default: 300 rounds, as the reference does."""
     from types import SimpleNamespace
