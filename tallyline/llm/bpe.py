@@ -174,12 +174,14 @@ class MergeTransducer:
             return struct.pack("<I", whole)
         if not data:
             return b""
-        if len(self._next) >= self.max_transitions:
-            self._reset()
         table, state, out = self._next, 0, []
         for byte in data:
             taken = table.get(state << 8 | byte)
             if taken is None:
+                if len(table) >= self.max_transitions:    # also amid a match: only the state is carried over
+                    here = self._states[state]
+                    self._reset()
+                    table, state = self._next, self._state(here)
                 taken = self._step(state, byte)
             state = taken[0]
             if taken[1]:

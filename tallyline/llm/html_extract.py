@@ -29,7 +29,7 @@ from pyspark.sql.types import StringType
 
 # Element kinds of HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript template iframe svg math object select button".split())
+_RAW = frozenset("script style textarea title template iframe svg".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td "
@@ -50,9 +50,9 @@ FAMILIES = {
     "footer": "footer copyright colophon legal imprint",
     "side": "aside sidebar sidebars rail widget widgets related recommended recommendations trending popular teaser",
     "advert": "ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion",
-    "notice": "cookie cookies consent gdpr notice notices alert banner popup modal overlay newsletter subscribe paywall",
+    "notice": "cookie cookies consent gdpr notice notices alert banner popup modal overlay newsletter subscribe paywall noscript",
     "comment": "comment comments commentlist reply replies disqus discussion respond",
-    "form": "form login signup signin search searchbox fieldset input contact",
+    "form": "form login signup signin search searchbox fieldset input contact select button",
     "share": "share sharing social follow",
     "content": "article main content post entry story prose",
 }
@@ -91,7 +91,7 @@ def _families(tag: str, attributes: str) -> int:
 
 def parse(text: str) -> Page:
     """Nodes and text pieces of a page in one pass; anything malformed is text or is closed
-    where its container ends. Scripts, styles, templates and controls leave nothing."""
+    where its container ends. Scripts, styles, templates, text areas, frames and drawings leave nothing."""
     page = Page()
     open_nodes, block, at, end = [0], 0, 0, len(text)
     is_open: Counter[str] = Counter()

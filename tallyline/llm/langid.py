@@ -34,7 +34,7 @@ _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 def _letter_table() -> np.ndarray:
     """Code point -> lower-case letter, 0 for anything that is not a letter."""
     table = np.zeros(0x110000, np.uint32)
-    for c in range(0x30000):
+    for c in range(0x32400):                        # letters end before it
         if 0xD800 <= c < 0xE000:
             continue
         letter = chr(c)
@@ -247,11 +247,14 @@ def predict(df: DataFrame, model: Model, text: str = "text", min_score: float =
                              "score": [score for _, score, _ in found],
                              "far": [score < max(floor, min_score) for _, score, floor in found]})
 
-    found = df.withColumn("_near", nearest(F.col(text)))
-    near = F.col("_near")
+    name = "_near"
+    while name in df.columns:
+        name += "_"
+    found = df.withColumn(name, nearest(F.col(text)))
+    near = F.col(name)
     return found.withColumns({
         "lang_pred": near["lang_pred"], "score": near["score"],
-        "rejected": (near["lang_pred"] == "und") | near["far"]}).drop("_near")
+        "rejected": (near["lang_pred"] == "und") | near["far"]}).drop(name)
 
 
 def held_out(id: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:

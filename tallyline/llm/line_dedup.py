@@ -23,16 +23,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from tallyline.llm.packed import (
-    U, WordHashes, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted)
+    U, WORDS, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted)
+from tallyline.operators.ordering import prefix_scan
+from tallyline.session import cut_lineage
 
-_WORDS = WordHashes()
 _BASE = U(0x9E3779B97F4A7C15)                       # odd, so it has an inverse modulo 2**64
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
 _EXACT_ONLY = U(0x5851F42D4C957F2D)
 _WHOLE = 0                                          # place of a whole line; others count from 1
-_WORDS_PER_CHUNK = 1_200_000
+_WORDS_PER_CHUNK = 900_000
 _WORDS_PER_BUCKET = 1_000_000
 _NULL_ID = -(1 << 63)
 _SETTLED = -1                                       # bucket of lines that a chunk itself decides
@@ -108,8 +110,10 @@ def _emit(chunk: list, buckets: int, min_words: int) -> Iterator[pa.RecordBatch]
     keys, owner, place = keys[by_key], owner[by_key], place[by_key]
     first = np.ones(len(keys), bool)
     first[1:] = (keys[1:] != keys[:-1]) | (place[1:] != place[:-1])
-    gone[owner[~first]] = True
+    ahead = owner[np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))]
+    gone[owner[(docs[owner] != docs[ahead]) | (numbers[owner] != numbers[ahead])]] = True
     keys, owner, place = keys[first], owner[first], place[first]
+    del by_key, first, ahead, line, at, prints
 
     rows = []
     if gone.any():
@@ -176,8 +180,14 @@ def repeated_lines(df: DataFrame, min_words: int = 8, id: str = "doc_id", text:
     Lines end at a line feed. Lines without words never go. A null text has no lines. Rows
     that repeat an id stand at the same place: line by line they do not remove each other,
     and what goes at a place goes in each of them; so do rows with a null id, which stand
-    first.
+    first. Ids that are no integers stand in their own order, as numbered by a prefix scan.
     """
+    if not isinstance(df.schema[id].dataType, IntegralType):
+        named = df.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
+        places = cut_lineage(prefix_scan(named.select("_id").where(F.col("_id").isNotNull()).distinct(), "_id", "_id")
+                             .select("_id", F.col("row_number").alias("_number")))
+        gone = repeated_lines(named.join(places, "_id", "left"), min_words, "_number", "_text")
+        return gone.join(places, "_number", "left").select(F.col("_id").alias(id), "repeated")
     words = df.agg(F.sum(F.length(text))).first()[0] or 0
     buckets = max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-words // (5 * _WORDS_PER_BUCKET)))
 
@@ -190,7 +200,7 @@ def repeated_lines(df: DataFrame, min_words: int = 8, id: str = "doc_id", text:
                     continue
                 lines = [line.split() for line in t.encode("utf-8", "surrogatepass").lower().split(b"\n")]
                 counts = np.fromiter(map(len, lines), np.int64, len(lines))
-                hashes = np.fromiter((_WORDS[w] for line in lines for w in line), np.uint64, int(counts.sum()))
+                hashes = np.fromiter((WORDS[w] for line in lines for w in line), np.uint64, int(counts.sum()))
                 place = doc.as_py()
                 chunk.append((hashes, counts, np.full(len(lines), _NULL_ID if place is None else place, np.int64),
                               np.arange(len(lines))))

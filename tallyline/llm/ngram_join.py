@@ -19,10 +19,11 @@ all their shingles dealt out, and if that is still too little, by each single sh
 
 Signatures travel packed by hash bucket, sorted and compressed, because most occur once.
 Sets that share one are candidates. Equal sets are one class throughout, and candidate
-groups are not expanded into all pairs: each round compares the members of a group with its
-first members, merges what is linked, and drops groups that are one component; members that
-were compared with the whole group leave it. It ends when no group has two components left,
-so no link is lost. Before two sets are compared in full, counts of their shingles in a few
+groups are not expanded into all pairs: the members of a group are compared with its center,
+the one that shares most signatures, linked ones are merged, and a group that is one component
+is done. In the rest, each round compares members with the first ones of other components;
+those that were compared with the whole group leave it. It ends when no group has two
+components left, so no link is lost. Before two sets are compared in full, counts of their shingles in a few
 hash cells bound their difference from below, which settles nearly all unlike pairs.
 """
 
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyline.llm.packed import (
-    U, WordHashes, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted)
+    U, WORDS, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted)
 from tallyline.session import cut_lineage
 
 _MASK = np.uint64(0xFFFFFFFFFFFF)             # signatures are 48 bits
@@ -46,10 +47,9 @@ _ENTRIES_PER_CHUNK = 2_000_000
 _ENTRIES_PER_BUCKET = 2_000_000
 _CLASS_BYTES = 12
 _MAX_BROADCAST = 200_000
+_MAX_SKETCH_BYTES = 16_000_000
 
 
-_WORDS = WordHashes()
-
 
 def shingles(text: str | None, words: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct `words`-word shingles of a text.
@@ -60,7 +60,7 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not found:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
+    hashes = np.fromiter(map(WORDS.__getitem__, found), np.uint64, len(found))
     width = min(words, len(found))
     n = len(hashes) - width + 1
     out = np.zeros(n, np.uint64)
@@ -228,7 +228,14 @@ def packed_signatures(df: DataFrame, text: str, words: int, bands: Bands, bucket
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """`group` (a hash of its members) and `class` for each distinct group of classes that share a signature."""
+    """`group` (a hash of its members), `center` and `class` for each distinct group of classes
+    that share a signature.
+
+    The center is the member that shares most signatures in the bucket; of equal ones that
+    with the smallest name. Of many copies of a text, each changed elsewhere, only the text
+    itself is near to all; it shares its signature in every part, and a copy in those parts
+    that it left alone. So centers are few and near to many.
+    """
     signed, member, names = [], [], {}
     for row in table.to_pylist():
         listed = row["classes"]
@@ -236,27 +243,49 @@ def _shared(table: pa.Table) -> pa.Table:
         signed.append(expand_sorted(row["signatures"], np.uint64))
         member.append(numbers[expand(row["owners"], np.uint32)])
     signed, member = np.concatenate(signed), np.concatenate(member)
+    order = np.argsort(signed, kind="stable")
+    signed, member = signed[order], member[order]
+    same = signed[1:] == signed[:-1]
+    held = np.zeros(len(signed), bool)             # most signatures have one owner
+    held[1:] |= same
+    held[:-1] |= same
+    signed, member = signed[held], member[held]
     order = np.lexsort((member, signed))
     signed, member = signed[order], member[order]
-    fresh = np.ones(len(signed), bool)         # the same class of another chunk counts once
+    fresh = np.ones(len(signed), bool)             # the same class of another chunk counts once
     fresh[1:] = (signed[1:] != signed[:-1]) | (member[1:] != member[:-1])
     signed, member = signed[fresh], member[fresh]
-    starts = np.flatnonzero(np.concatenate([[True], signed[1:] != signed[:-1]]))
+    starts = np.flatnonzero(np.concatenate([[True], signed[1:] != signed[:-1]])) if len(signed) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(starts, len(signed)))
-    keys = np.array([np.frombuffer(n, np.uint64, 1)[0] for n in names], np.uint64)
-    prints = np.add.reduceat(mix(keys[member]), starts)
+    keys = np.frombuffer(b"".join(names), np.uint8).reshape(-1, _CLASS_BYTES)[:, :8].copy().view(np.uint64).ravel()
+    shares = np.bincount(member, np.repeat((sizes > 1).astype(float), sizes), len(names))
+    prints = np.add.reduceat(mix(keys[member]), starts) if len(starts) else np.zeros(0, np.uint64)
     several = np.flatnonzero(sizes > 1)
     several = several[np.unique(prints[several], return_index=True)[1]]
-    listed = list(names)
-    rows = np.concatenate([np.arange(0), *(np.arange(starts[g], starts[g] + sizes[g]) for g in several)]).astype(np.int64)
-    return pa.table({"group": np.repeat(mix(prints[several] + sizes[several].astype(np.uint64)).view(np.int64), sizes[several]),
-                     "class": pa.array([listed[m] for m in member[rows]], pa.binary())})
+    sizes = sizes[several]
+    ends = np.cumsum(sizes)
+    group = np.repeat(np.arange(len(several)), sizes)
+    listed = member[np.repeat(starts[several], sizes) + np.arange(len(group)) - np.repeat(ends - sizes, sizes)]
+    best = np.lexsort((keys[listed], -shares[listed], group))
+    center = listed[best[ends - sizes]] if len(several) else listed
+    named = pa.array(list(names), pa.binary())
+    return pa.table({"group": np.repeat(mix(prints[several] + sizes.astype(np.uint64)).view(np.int64), sizes),
+                     "center": named.take(pa.array(np.repeat(center, sizes))), "class": named.take(pa.array(listed))})
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """`class` and `elements` (the whole set) of one document of each wanted class."""
+    """`class` and `elements` (the whole set) of one document of each wanted class.
+
+    A class that only rows without an id have is found by hashing those rows again."""
     chosen = wanted.groupBy("class").agg(F.min(id).alias(id))
 
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column(0):
+                if len(elements := shingles(t.as_py(), words)):
+                    yield pa.RecordBatch.from_arrays([pa.array([_class(elements)], pa.binary()),
+                                                      pa.array([squeeze_sorted(elements)], pa.binary())], ["class", "elements"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -272,7 +301,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, words: int) ->
     if chosen.count() <= _MAX_BROADCAST:       # some tens of bytes a row; beyond that by a shuffle
         chosen = F.broadcast(chosen)
     texts = docs.select(id, text).join(chosen, id).select("class", text)
-    return texts.mapInArrow(run, "class binary, elements binary")
+    found = texts.mapInArrow(run, "class binary, elements binary")
+    nameless = chosen.where(F.col(id).isNull()).select("class")
+    again = docs.where(F.col(id).isNull()).select(text).mapInArrow(named, "class binary, elements binary")
+    return found.unionByName(again.join(nameless, "class", "left_semi").groupBy("class").agg(
+        F.first("elements").alias("elements")))
 
 
 def _near_enough(edges: DataFrame, classes: DataFrame, similarity: Fraction) -> DataFrame:
@@ -290,7 +323,11 @@ def _near_enough(edges: DataFrame, classes: DataFrame, similarity: Fraction) ->
     def side(name: str, n: str, x: str) -> DataFrame:
         return classes.select(F.col("class").alias(name), F.col("n_shingles").alias(n), F.col("sketch").alias(x))
 
-    return (edges.join(side("b", "n", "y"), "b").join(side("a", "m", "x"), "a").select("a", "b", "m", "n", "x", "y")
+    # there are few centers, so mostly their sketches can go to the edges
+    centers = cut_lineage(side("a", "m", "x").join(edges.select("a").distinct(), "a", "left_semi"))
+    held = centers.agg(F.coalesce(F.sum(F.length("x") + 40), F.lit(0))).first()[0]
+    centers = F.broadcast(centers) if held <= _MAX_SKETCH_BYTES else centers
+    return (edges.join(side("b", "n", "y"), "b").join(centers, "a").select("a", "b", "m", "n", "x", "y")
             .mapInArrow(run, "a binary, b binary"))
 
 
@@ -337,30 +374,65 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _verified(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text: str, words: int,
+              similarity: Fraction) -> DataFrame:
+    """Those of the distinct edges (`a`, `b`) that are links."""
+    edges = cut_lineage(_near_enough(edges, classes, similarity))
+    wanted = edges.select(F.col("a").alias("class")).union(edges.select("b")).distinct()
+    sets = cut_lineage(_sets(docs, classes.join(wanted, "class", "left_semi"), id, text, words))
+    return cut_lineage(_links(edges, sets, similarity))
+
+
+def _labelled(df: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
+    """`df` with the label of the class in `column`, the class itself if it has none."""
+    known = labels.select(F.col("node").alias(column), F.col("label").alias(name))
+    return df.join(known, column, "left").withColumn(name, F.coalesce(name, column))
+
+
 def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, words: int,
                    similarity: Fraction) -> DataFrame:
-    """`node`, `label`: the classes that are linked with another, and their component."""
+    """`node`, `label`: the classes that are linked with another, and their component.
+
+    First every class is compared with the center that it shares most groups with, then with
+    its other centers where the components still differ. A group whose members are all in the
+    component of its center is done. In the rest, members of different components are compared.
+    """
     spark = docs.sparkSession
     bands = Bands(similarity)
     total = described.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(4 * spark.sparkContext.defaultParallelism, -(-total // _ENTRIES_PER_BUCKET))
     frequent = frequent_shingles(docs, text, words)
     packed = packed_signatures(docs, text, words, bands, buckets, frequent)
-    groups = cut_lineage(packed.groupBy("bucket").applyInArrow(_shared, "group bigint, class binary").distinct())
-    classes = described.groupBy("class").agg(F.min(id).alias(id), F.first("n_shingles").alias("n_shingles"),
-                                             F.first("sketch").alias("sketch"))
-    links = spark.createDataFrame([], "a binary, b binary")
-    labels = spark.createDataFrame([], "node binary, label binary")
-    pivots = 1
+    groups = cut_lineage(packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
+        _shared, "group bigint, center binary, class binary"))
+    classes = cut_lineage(described.groupBy("class").agg(F.min(id).alias(id), F.first("n_shingles").alias("n_shingles"),
+                                                         F.first("sketch").alias("sketch")))
+    star = cut_lineage(groups.where(F.col("class") != F.col("center")).groupBy(F.col("center").alias("a"), F.col("class").alias("b"))
+                       .agg(F.count(F.lit(1)).alias("n")))
+
+    def verified(edges: DataFrame) -> DataFrame:
+        return _verified(docs, edges.select("a", "b"), classes, id, text, words, similarity)
+
+    main = star.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+    links = verified(main)
+    labels = components(links)
+    for again in (True, False):
+        apart = cut_lineage(_labelled(_labelled(star.select("a", "b"), labels, "a", "a_label"), labels, "b", "b_label")
+                            .where(F.col("a_label") != F.col("b_label")).select("a", "b"))
+        if again:
+            # what was compared and is still apart is no link; comparing it once more does no harm
+            found = verified(apart.join(main.select("a", "b"), ["a", "b"], "left_anti"))
+            links = cut_lineage(links.unionByName(found))
+            labels = components(links)
+    open_groups = groups.join(_small(apart.select(F.col("a").alias("center"), F.col("b").alias("class"))), ["center", "class"],
+                              "left_semi").select("group").distinct()
+    groups = cut_lineage(groups.join(_small(open_groups), "group", "left_semi").select("group", "class").distinct())
+    pivots = 64
     while True:
-        if pivots == 1:                        # every group still has several components
-            labelled = groups.withColumn("label", F.col("class"))
-        else:
-            labelled = groups.join(labels, groups["class"] == labels["node"], "left").select(
-                "group", "class", F.coalesce("label", "class").alias("label"))
-            mixed = labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            open_groups = mixed.where(F.col("low") != F.col("high")).select("group")
-            labelled = cut_lineage(labelled.join(open_groups, "group", "left_semi"))
+        labelled = _labelled(groups, labels, "class", "label")
+        mixed = labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        still = mixed.where(F.col("low") != F.col("high")).select("group")
+        labelled = cut_lineage(labelled.join(still, "group", "left_semi"))
         if labelled.isEmpty():
             return labels
         order = Window.partitionBy("group").orderBy("class")
@@ -368,12 +440,9 @@ def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, wo
                  .select("group", F.col("class").alias("a"), F.col("label").alias("a_label")))
         edges = (labelled.join(first, "group").where((F.col("a") < F.col("class")) & (F.col("a_label") != F.col("label")))
                  .select("a", F.col("class").alias("b")).distinct())
-        edges = cut_lineage(_near_enough(edges, classes, similarity))
-        wanted = edges.select(F.col("a").alias("class")).union(edges.select("b")).distinct()
-        sets = cut_lineage(_sets(docs, classes.join(wanted, "class", "left_semi"), id, text, words))
-        found = cut_lineage(_links(edges, sets, similarity))
+        found = verified(edges)
         if not found.isEmpty():
-            links = links.unionByName(found)
+            links = cut_lineage(links.unionByName(found))
             labels = components(links)
         groups = (labelled.join(first.select("group", F.col("a").alias("class")), ["group", "class"], "left_anti")
                   .select("group", "class"))
@@ -390,14 +459,69 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     repeat an id each has the component of its own text. Null ids have no order: a component
     of null ids only is null. An empty table gives no rows.
     """
+    described, classes = _grouped(docs, id, text, words, similarity)
+    least = classes.groupBy("label").agg(F.min("first").alias("component_id"))
+    named = classes.select("class", "label").join(least, "label").select("class", "component_id")
+    placed = described.where(F.col("n_shingles") > 0).join(named, "class").select(id, "n_shingles", "component_id")
+    alone = described.where(F.col("n_shingles") == 0).select(id, "n_shingles", F.col(id).alias("component_id"))
+    return placed.unionByName(alone)
+
+
+def _grouped(docs: DataFrame, id: str, text: str, words: int, similarity: Fraction) -> tuple[DataFrame, DataFrame]:
+    """`describe` of all rows, and per class `first` (its smallest id) and `label` (its component)."""
     described = cut_lineage(describe(docs, id, text, words))
     some = described.where(F.col("n_shingles") > 0)
     labels = linked_classes(docs, some, id, text, words, similarity)
     classes = (some.groupBy("class").agg(F.min(id).alias("first"))
                .join(labels.withColumnRenamed("node", "class"), "class", "left")
                .withColumn("label", F.coalesce("label", "class")))
-    least = classes.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = classes.select("class", "label").join(least, "label").select("class", "component_id")
-    placed = some.join(named, "class").select(id, "n_shingles", "component_id")
-    alone = described.where(F.col("n_shingles") == 0).select(id, "n_shingles", F.col(id).alias("component_id"))
-    return placed.unionByName(alone)
+    return described, cut_lineage(classes)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """The frame, to be broadcast if a count shows that it is small; some tens of bytes a row."""
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= _MAX_BROADCAST else df
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5,
+             similarity: Fraction = Fraction(3, 4)) -> DataFrame:
+    """`docs` with one row of each component of near duplicates, columns as they were.
+
+    It is the row with the smallest id (null ids come last), then the smallest class. Rows are
+    told apart by their id and their set of shingles, so a row stays or goes for its own text
+    even where ids repeat or are null; of rows alike in both, one stays. Rows without words
+    link with nothing and all stay, repeated ones too. Rows whose id no other row has, nearly
+    all, are decided by the id; the texts of the others are hashed again.
+    """
+    described, classes = _grouped(docs, id, text, words, similarity)
+    members = described.where(F.col("n_shingles") > 0).join(classes.select("class", "label"), "class").select(
+        F.struct(F.col(id).isNull().alias("nameless"), F.col(id).alias("id"), "class").alias("m"), "label")
+    chosen = members.groupBy("label").agg(F.min("m").alias("chosen"))
+    # a component of one row loses nothing, so only its larger ones are joined
+    gone = (members.join(chosen, "label").where(F.col("m") != F.col("chosen"))
+            .select("m.nameless", F.col("m.id").alias("_gone"), F.col("m.class").alias("_class")).distinct())
+    gone = cut_lineage(gone)
+    several = described.groupBy(id).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(id).isNull())
+    several = _small(several.select(F.col(id).alias("_several"), F.col(id).isNull().alias("_nameless")))
+    repeated = F.col(id) == F.col("_several")
+    once = docs.where(F.col(id).isNotNull()).join(several.where(~F.col("_nameless")), repeated, "left_anti")
+    once = once.join(_small(gone.where(~F.col("nameless")).select("_gone").distinct()), F.col(id) == F.col("_gone"), "left_anti")
+    again = docs.where(F.col(id).isNotNull()).join(several.where(~F.col("_nameless")), repeated, "left_semi").unionByName(
+        docs.where(F.col(id).isNull()))
+
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.as_py(), words) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([_class(s) if len(s) else None for s in sets], pa.binary())],
+                ["row", "id", "class"])
+
+    packed = again.select(F.struct(*docs.columns).alias("row"), F.col(id).alias("id"), F.col(text).alias("text"))
+    kind = docs.schema[id].dataType.simpleString()
+    found = packed.mapInArrow(classed, f"row {packed.schema['row'].dataType.simpleString()}, id {kind}, class binary")
+    lost = (F.col("class") == F.col("_class")) & F.col("id").eqNullSafe(F.col("_gone"))
+    stays = found.join(gone, lost, "left_anti")
+    worded = (stays.where(F.col("class").isNotNull()).groupBy("id", "class")
+              .agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*"))
+    return once.unionByName(stays.where(F.col("class").isNull()).select("row.*")).unionByName(worded)

@@ -21,7 +21,7 @@ U = np.uint64
 class WordHashes(dict):
     """64-bit hashes by word; emptied when full, so memory does not depend on the input."""
 
-    full = 400_000
+    full = 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.full:
@@ -32,6 +32,10 @@ class WordHashes(dict):
         return value
 
 
+# One table per Python worker, for all operators: workers outlive their stage.
+WORDS = WordHashes()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective mixing of unsigned 64-bit integers (splitmix64 finaliser)."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)

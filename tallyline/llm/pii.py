@@ -126,11 +126,13 @@ _WORD = "|".join(_DIGIT_WORDS)
 _SPELLED = rf"(?<![a-z])(?:{_WORD})(?:[\x20.-]{{1,2}}(?:{_WORD}|[0-9](?![a-z])))+(?![a-z])"
 _BRACKETED = r"\x20?[\[({<]\x20?(?:at|dot|plus)\x20?[\])}>]\x20?"
 _AT, _DOT = (rf"(?:\x20{word}\x20|\x20?[\[({{<]\x20?{word}\x20?[\])}}>]\x20?)" for word in ("at", "dot"))
-_LABEL = r"[a-z0-9-]{1,63}"
-_ADDRESS = (r"(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}"
-            rf"(?:(?:{_AT}(?!(?:{_NO_HOST})\x20dot\x20)|@){_LABEL}(?:\.{_LABEL}){{0,7}}{_DOT}"
-            rf"(?:{_LABEL}(?:{_DOT}|\.)){{0,7}}(?!(?:{_NO_ENDING})(?![a-z0-9-]))[a-z]{{2,63}}"
-            rf"|{_AT}{_LABEL}(?:\.{_LABEL}){{0,7}}\.(?:{_ENDINGS}))(?![a-z0-9])")
+# Parts have no greatest length: no part can end in what the next one starts with, so a run is
+# taken whole and never tried again.
+_LABEL = r"[a-z0-9-]++"
+_ADDRESS = (r"(?<![a-z0-9._%+-])[a-z0-9._%+-]++"
+            rf"(?:(?:{_AT}(?!(?:{_NO_HOST})\x20dot\x20)|@){_LABEL}(?:\.{_LABEL})*{_DOT}"
+            rf"(?:{_LABEL}(?:{_DOT}|\.))*(?!(?:{_NO_ENDING})(?![a-z0-9-]))[a-z]{{2,}}"
+            rf"|{_AT}{_LABEL}(?:\.{_LABEL})*\.(?:{_ENDINGS}))(?![a-z0-9])")
 _PLUS = rf"(?<![a-z])plus\x20(?=[0-9]|{_WORD})"
 _ONE_CHARACTER = "[" + re.escape("".join(_LOOKALIKES)) + "]|[" + _INVISIBLE + "]"
 _DISGUISE = re.compile(_ONE_CHARACTER)

@@ -94,6 +94,30 @@ def test_repeated_ids_nulls_and_empty_tables(spark):
     assert ngram_join.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("id", [None, 9])
+def test_a_set_that_only_rows_without_an_id_have_still_links(spark, id):
+    base = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(id, base, 1), (5, base + " word", 2), (7, "word " + base, 3)], "doc_id long, text string, n int")
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df).collect()}
+    assert got == {id: 5, 5: 5, 7: 5}
+
+
+def test_changed_copies_of_one_text_meet_at_the_text(spark):
+    """Copies that are near to the text but not to each other are one component."""
+    rng = random.Random(20)
+    words = [f"w{i}" for i in range(200)]
+    docs = [(0, " ".join(words))]
+    for i in range(1, 60):
+        copy = list(words)
+        for at in rng.sample(range(5, 195), 5):
+            copy[at] = f"x{i}-{at}"
+        docs.append((i, " ".join(copy)))
+    want = brute_components(docs)
+    assert {c for _, c in want.values()} == {0}
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df).collect()} == want
+
+
 def one_edit(a, b):
     if len(a) == len(b):
         return sum(x != y for x, y in zip(a, b)) <= 1
@@ -124,6 +148,21 @@ def test_lines_equal_brute_force(spark, monkeypatch, per_chunk, partitions):
     assert got == brute_lines(docs, 4)
 
 
+@pytest.mark.parametrize("partitions", [1, 3])
+def test_lines_of_rows_with_one_id_do_not_remove_each_other(spark, partitions):
+    a, b = "this line has eight words or rather more", "this line has eight words or even more"
+    df = spark.createDataFrame([(1, a), (1, b), (2, a + "\nnew")], "doc_id long, text string").repartition(partitions)
+    got = sorted((r.doc_id, r.text) for r in line_dedup.drop_repeated(df).collect())
+    assert got == sorted([(1, a), (1, b), (2, "new")])
+
+
+def test_string_ids_stand_in_their_order(spark):
+    line = "this line has eight words or rather more"
+    df = spark.createDataFrame([("b", line), ("a", line + "\nx"), (None, "x"), ("c", None)], "doc_id string, text string")
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeated(df).collect()}
+    assert got == {"a": line + "\n", "b": "", None: "x", "c": None} or got == {"a": line, "b": "", None: "x", "c": None}
+
+
 def test_neighbourhood_hashes_leave_one_word_out():
     words = np.array([11, 22, 33, 44, 11, 33, 44], np.uint64)
     keys, line, place = line_dedup.neighbourhood(words, np.array([4, 3]), 2)

@@ -49,6 +49,13 @@ def test_far_texts_are_rejected_at_every_length(spark, labelled):
     assert [i for i, _ in odd if not got[i]] == [] and [i for i, _ in clean if got[i]] == []
 
 
+def test_late_letters_and_clashing_columns(spark, labelled):
+    model = langid.fit(labelled)
+    odd = spark.createDataFrame([(1, "\U00030001\U00030002\U00030003", "kept")], "id long, text string, _near string")
+    got = langid.predict(odd, model).first()
+    assert got.lang_pred != "und" and got._near == "kept"
+
+
 def test_no_training_rows_know_no_language(spark, labelled):
     model = langid.fit(labelled.limit(0))
     assert {r.lang_pred for r in langid.predict(labelled.limit(3), model).collect()} == {"und"}
@@ -110,6 +117,11 @@ def test_parser(text, blocks):
     assert html_extract.block_text(page, [True] * len(page.tags)) == blocks
 
 
+def test_formulas_and_objects_keep_their_text():
+    page = html_extract.parse("<p>Let <math><mi>x</mi></math> be <object>a drawing</object>.</p><script>no</script>")
+    assert html_extract.block_text(page, [True] * len(page.tags)) == "Let x be a drawing."
+
+
 def test_hostile_pages_take_linear_time():
     for text in ("<div>" * 20_000, "<a" * 20_000, "<" * 50_000, "<p>" * 20_000, "</x>" * 20_000, "<!--" * 20_000, "<script>" * 5_000):
         html_extract.features(html_extract.parse(text))

@@ -92,6 +92,13 @@ def test_written_separators_and_all_endings(address):
     assert pii.mask(text) == "write to <email> please"
 
 
+@pytest.mark.parametrize("address", ["b" * 65 + " at example dot com", "b" * 5000 + " at example dot com", "bob at " + "q." * 9 + "b dot com",
+                                     "bob at " + "q dot " * 12 + "com", "bob at " + "x" * 70 + " dot com", "bob at example dot " + "y" * 70])
+def test_parts_have_no_greatest_length(address):
+    text = f"write to {address} please"
+    assert [text[s:e] for s, e in pii.find(text)[1]["email"]] == [address]
+
+
 @pytest.mark.parametrize("text", ["stare at red dot on screen", "look at the dot in it", "look at index.html first",
                                   "He was at home.Then he left", "pay at 10.30 or at 11.15", "see the dot com boom at work"])
 def test_running_text_is_no_address(text):

@@ -46,7 +46,22 @@ def test_near_duplicates_leave_the_smallest_id(spark):
                                   (4, "", "en", "s", 0), (5, None, "en", "s", 0), (None, base, "en", "s", 0)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     got = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, DIRECTORY)
-    assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "2", "4", "5", "None"]
+    assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "2", "4", "5"]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_near_duplicates_decide_each_row_by_its_text(spark, parts):
+    base, clean = " ".join(f"w{i}" for i in range(80)), " ".join(f"other{i}" for i in range(60))
+    rows = [(5, clean), (5, base), (3, base + " end"), (8, "two rows of one id and one text"), (8, "two rows of one id and one text"),
+            (9, ""), (9, ""), (None, "no id here but words enough"), (None, "no id here but words enough"), (None, clean + " more"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x") for i, t in rows],
+                                 "doc_id long, text string, lang string, class string, n_chars long, id string").repartition(parts)
+    got = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, DIRECTORY)
+    assert got.schema == docs.schema
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(5, clean), (3, base + " end"), (8, "two rows of one id and one text"), (9, ""), (9, ""),
+         (None, "no id here but words enough"), (None, None)], key=str)
+    assert corpus_pipeline.keep_one_of_near_duplicates(spark, docs.limit(0), DIRECTORY).count() == 0
 
 
 def test_run_writes_into_the_shared_folder(spark):

@@ -55,6 +55,14 @@ def test_small_tables_give_the_same_ids(reference, texts):
     assert all(small.encode(t) == little(reference.encode_ordinary(t)) for t in texts[:120])
 
 
+def test_the_table_is_bounded_inside_a_match(reference):
+    small = bpe.ByteBpe(RANKS, public_tokenizers.PATTERN)
+    small.machine.max_transitions = 500
+    text = "".join(random.Random(1).choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))
+    assert small.encode(text) == little(reference.encode_ordinary(text))
+    assert len(small.machine._next) <= 500 and len(small.machine._states) <= 501
+
+
 def test_stream_holds_back_unfinished_characters():
     data = "aé€🎉z".encode() + b"\xff\xe2\x82" + "é".encode() + b"\xf0\x9f"
     for size in (1, 2, 3, 5):
