@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.llm import langid, line_dedup, ngram_join, packing, pii
-from tallyline.session import cut_lineage, shared_dir
+from tallyline.session import shared_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,16 +27,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays.
+    """Of each group of near duplicates one document stays, the one with the smallest id.
 
-    Documents that lost all their lines have no words and link with nothing, so they stay;
-    so do documents without an id.
+    Each row is decided by its own text, also where ids repeat or are null; of identical rows
+    one stays. Documents that lost all their lines have no words and link with nothing, so
+    they stay. An empty table stays empty, and further columns, whatever their names, pass.
     """
-    groups = ngram_join.near_duplicates(docs).where(F.col("doc_id") != F.col("component_id"))
-    gone = cut_lineage(groups.select(F.col("doc_id").alias("_near_duplicate")).distinct())
-    if gone.count() <= 500_000:            # one number a row; more of them by a shuffle
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"] == gone["_near_duplicate"], "left_anti")
+    return ngram_join.keep_one(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
