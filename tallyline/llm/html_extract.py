@@ -1,15 +1,18 @@
 """Main text of web pages: boosted trees over DOM nodes, decoded along the tree.
 
-A tolerant parser turns a page into nodes and text blocks. Each node has features: its tag
-and attribute tokens by family, those of its ancestors, subtree text and link density,
-depth, and its standing among its siblings. Gradient-boosted trees give each node the log
-odds that it belongs to the article. The decoder then picks the best labelling in which no
-node is kept inside a dropped one: a node's worth is its log odds plus the worth of the
+A tolerant parser turns a page into nodes and text blocks. Each node has features: subtree
+text, link and sentence density, depth, place in the page and among its siblings, its
+attribute tokens (hashed, and by family where a token names a purpose), and how much of the
+page the nearest ancestor with such a name holds. Gradient-boosted trees give each node the
+log odds that it belongs to the article. The decoder then picks the best labelling in which
+no node is kept inside a dropped one: a node's worth is its log odds plus the worth of the
 children that are worth keeping.
 
 No page comes with labels. The trees learn from a bounded sample of pages, labelled by their
 own landmarks (elements and attribute tokens that name their purpose), and from the same
-pages with further blocks planted in them, built from the page's own words.
+pages with more planted in them, built from the page's own words, whose label is known
+whatever its name: menus, notes and teasers without a name, and articles in elements whose
+name misleads. So names are evidence, and structure can overrule them.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -77,21 +81,31 @@ class Page:
     tags: list[str] = field(default_factory=lambda: ["#page"])
     parents: list[int] = field(default_factory=lambda: [-1])
     own: list[int] = field(default_factory=lambda: [0])          # families as bits
+    hashed: list[int] = field(default_factory=lambda: [0])       # attribute tokens as bits
+    truth: dict[int, int] = field(default_factory=dict)          # planted nodes: 1 article, 0 not
     pieces: list[tuple[int, int, str]] = field(default_factory=list)   # (block, node, text)
 
 
-def _families(tag: str, attributes: str) -> int:
-    found = _OF_TOKEN.get(tag, 0)
+_HASHED = 32
+_TRUTH = re.compile(r'\bdata-truth="([01])"')
+
+
+def _families(tag: str, attributes: str) -> tuple[int, int]:
+    """Families that the tag and the attribute tokens name, and the hashed tokens, as bits."""
+    found, hashed = _OF_TOKEN.get(tag, 0), 0
     if attributes and "=" in attributes:
         for match in _NAMED.finditer(attributes):
             for token in _TOKEN.findall(match[1] or match[2] or match[3] or ""):
-                found |= _OF_TOKEN.get(token.lower(), 0)
-    return found
+                token = token.lower()
+                found |= _OF_TOKEN.get(token, 0)
+                hashed |= 1 << zlib.crc32(token.encode("utf-8", "replace")) % _HASHED
+    return found, hashed
 
 
-def parse(text: str) -> Page:
+def parse(text: str, planted: bool = False) -> Page:
     """Nodes and text pieces of a page in one pass; anything malformed is text or is closed
-    where its container ends. Scripts, styles, templates, text areas, frames and drawings leave nothing."""
+    where its container ends. Scripts, styles, templates, text areas, frames and drawings leave nothing.
+    In `planted` pages the labels of planted elements are read."""
     page = Page()
     open_nodes, block, at, end = [0], 0, 0, len(text)
     is_open: Counter[str] = Counter()
@@ -163,14 +177,19 @@ def parse(text: str) -> Page:
             continue
         page.tags.append(tag)
         page.parents.append(open_nodes[-1])
-        page.own.append(_families(tag, match[3]))
+        own, hashed = _families(tag, match[3])
+        page.own.append(own)
+        page.hashed.append(hashed)
+        if planted and (known := _TRUTH.search(match[3])):
+            page.truth[len(page.tags) - 1] = int(known[1])
         if not (match[3].endswith("/") and tag not in _BLOCK):
             open_nodes.append(len(page.tags) - 1)
             is_open[tag] += 1
     return page
 
 
-_FEATURES = 2 * len(_FAMILY) + 14
+_REST = 24
+_FEATURES = 2 * len(_FAMILY) + _REST + _HASHED
 _PAGES_AT_ONCE = 64
 
 
@@ -178,8 +197,8 @@ def features(page: Page) -> np.ndarray:
     """(node, feature), as the module's text says."""
     n = len(page.tags)
     parents = page.parents
-    chars, linked, marks, words, depth, above = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
-    in_link = [False] * n
+    chars, linked, marks, words, depth, above, prose = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
+    in_link, named = [False] * n, [-1] * n         # nearest node, itself included, with a name of something else
     for i in range(1, n):
         up = parents[i]
         depth[i] = depth[up] + 1
@@ -188,12 +207,16 @@ def features(page: Page) -> np.ndarray:
         if own & _HEADER and above[up] & _CONTENT:     # an article's own heading
             own &= ~_HEADER
         above[i] = above[up] | own
+        named[i] = i if own & _BOILER else named[up]
     for _, node, text in page.pieces:
         size = len(text.strip())
         if size:
             chars[node] += size
             words[node] += text.count(" ") + 1
-            marks[node] += len(_SENTENCE.findall(text))
+            found = len(_SENTENCE.findall(text))
+            marks[node] += found
+            if found and size > 40 and not in_link[node]:
+                prose[node] += size
             if in_link[node]:
                 linked[node] += size
     below = [1] * n
@@ -204,6 +227,7 @@ def features(page: Page) -> np.ndarray:
         linked[up] += linked[i]
         marks[up] += marks[i]
         words[up] += words[i]
+        prose[up] += prose[i]
         below[up] += below[i]
         children[up].append(i)
     out = np.zeros((n, _FEATURES), np.float32)
@@ -225,13 +249,28 @@ def features(page: Page) -> np.ndarray:
     rest = [np.log1p(c), np.log1p(w), l / np.maximum(1, c), c / b, np.array(marks) / np.maximum(1, w), np.log1p(b),
             np.array(depth), brothers, place, same, share, [t == "p" for t in tags],
             [t in ("li", "td", "dd") for t in tags], [len(t) == 2 and t[0] == "h" and t[1].isdigit() for t in tags]]
+    density = l / np.maximum(1, c)
+    up, near = np.maximum(np.array(parents), 0), np.array(named)
+    has, near = near >= 0, np.maximum(near, 0)
+    p = np.array(prose, float)
+    around = density.copy()                            # most linked of the node and what holds it, the page aside
+    whole = p / np.maximum(1, c)
+    for i in range(1, n):
+        if parents[i] > 0:
+            around[i] = max(around[i], around[parents[i]])
+    levels = np.array(depth)
+    rest += [c / max(1, chars[0]), density[up], whole, whole[up], np.where(has, c[near] / max(1, chars[0]), -1),
+             np.where(has, density[near], -1), np.where(has, p[near] / max(1, prose[0]), -1),
+             np.where(has, levels - levels[near], -1), np.arange(n) / n, around]
     for k, column in enumerate(rest):
         out[:, 2 * len(_FAMILY) + k] = column
+    out[:, -_HASHED:] = (np.array(page.hashed, np.int64)[:, None] >> np.arange(_HASHED)) & 1
     return out
 
 
 def weak_labels(page: Page) -> np.ndarray:
-    """1 where no named landmark around a node says that it is not the article."""
+    """1 where no named landmark around a node says that it is not the article; what is planted
+    has its own label, which holds below it until something else is named or planted there."""
     n = len(page.tags)
     label, above = np.ones(n, np.int8), [0] * n
     for i in range(1, n):
@@ -239,13 +278,16 @@ def weak_labels(page: Page) -> np.ndarray:
         if own & _HEADER and above[up] & _CONTENT:
             own &= ~_HEADER
         above[i] = above[up] | own
+        if i in page.truth:
+            above[i] = above[up] & _CONTENT if page.truth[i] else above[i] | _BOILER
         label[i] = not above[i] & _BOILER
     return label
 
 
 def planted(text: str, dice: random.Random) -> str:
-    """The page with blocks planted around and in its article that name their purpose in the
-    ways pages do, and with links and lists in the article that belong to it."""
+    """The page with blocks planted around and in its article, some that name their purpose in
+    the ways pages do and some that do not, with links, lists and misleading names in the
+    article that belong to it, and with elements around it whose name misleads."""
     words = re.findall(r"\w{2,}", re.sub(r"<[^>]*>", " ", text))[:400] or ["word"]
 
     def prose(n: int) -> str:
@@ -265,21 +307,68 @@ def planted(text: str, dice: random.Random) -> str:
             return f"<{plain[family]}>{body}</{plain[family]}>"
         return f'<{(e := dice.choice(["div", "section"]))} {dice.choice(["class", "id"])}="{name}">{body}</{e}>'
 
+    def links() -> str:
+        n = dice.randint(3, 8)
+        return dice.choice([
+            "<ul>" + "".join(f"<li>{link(dice.randint(1, 3))}</li>" for _ in range(n)) + "</ul>",
+            " | ".join(link(1) for _ in range(n)), "".join(f"<div>{link(2)}</div>" for _ in range(n)),
+            "".join(f"<p>{link(dice.randint(2, 6))}</p>" for _ in range(n)),
+            "<table>" + "".join(f"<tr><td>{link(2)}</td></tr>" for _ in range(n)) + "</table>"])
+
+    def unnamed() -> str:
+        """A menu, teasers or a note that nothing names."""
+        holder = dice.choice(["div", "div", "ul", "p", "section", "table"])
+        name = dice.choice(["", "", f' class="{dice.choice(words)}"', f' class="c{dice.randint(1, 99)}"', ' class="row"', ' class="inner wrap"'])
+        if holder == "ul":
+            body = "".join(f"<li>{link(dice.randint(1, 4))}</li>" for _ in range(dice.randint(3, 8)))
+        elif holder == "table":
+            body = "".join(f"<tr><td>{link(2)}</td></tr>" for _ in range(dice.randint(3, 6)))
+        elif holder == "p":
+            body = dice.choice([" ".join(link(1) for _ in range(4)), f"{prose(3)} {link(1)} {link(1)}"])
+        else:
+            body = dice.choice([links(), links(), f"<h3>{link(3)}</h3>{links()}", f"<span>{prose(4)} {dice.randint(1990, 2030)}</span> {link(1)} {link(1)}"])
+        return f'<{holder}{name} data-truth="0">{body}</{holder}>'
+
+    def misnamed() -> str:
+        """Part of the article whose name says something else."""
+        token = dice.choice([t for f in ("side", "notice", "form", "header", "menu", "share") for t in FAMILIES[f].split()])
+        name = dice.choice([f"{token}-{dice.choice(words)}", f"{dice.choice(words)}-{token}", token])
+        named = f'{dice.choice(["id", "class"])}="{name}" data-truth="1"'
+        return dice.choice([f"<h2 {named}>{prose(4)}</h2><p>{prose(30)}</p>", f"<p {named}>{prose(dice.randint(20, 60))}</p>",
+                            f"<section {named}><h2>{prose(2)}</h2><p>{prose(40)}</p><p>{prose(25)} {link(2)}</p></section>",
+                            f"<div {named}><p>{prose(50)}</p><p>{prose(30)}</p></div>"])
+
     boiler = [f for f in _FAMILY if f != "content"]
     inside = dice.choice([f"<p>{link()}</p>", "<ul>" + "".join(f"<li>{prose(5)} {link()}</li>" for _ in range(3)) + "</ul>",
                           f"<h2>{prose(3)}</h2><p>{prose(2)}</p>", f"<blockquote>{prose(12)}</blockquote>",
                           f"<div><p>{prose(30)}</p><p>{link()}</p></div>", f"<p>{link()} {link()}</p>"])
     out = text
     if "</article>" in out:
-        late = block(dice.choice(["comment", "share", "advert", "side", "notice"])) if dice.random() < 0.5 else ""
-        out = out.replace("</article>", inside + late + "</article>", 1)
+        late = block(dice.choice(["comment", "share", "advert", "notice"])) if dice.random() < 0.5 else ""
+        odd = misnamed() if dice.random() < 0.5 else ""
+        out = out.replace("</article>", inside + odd + late + "</article>", 1)
+        if dice.random() < 0.4:                       # an element around the article with a misleading name
+            token = dice.choice([t for f in boiler for t in FAMILIES[f].split()])
+            name = dice.choice([f"has-{token}", f"no-{token}", f"with-{token}", f"{token}-page", token])
+            holder = dice.choice(["div", "div", "section", "form", "main"])
+            out = out.replace("<article>", f'<{holder} class="{name}" data-truth="1"><article>', 1).replace("</article>", f"</article></{holder}>", 1)
         if dice.random() < 0.4:                       # pages without the landmark
             holder = dice.choice(["div", 'div class="content"', "main", "section", 'div id="post"'])
             out = out.replace("<article>", f"<{holder}>", 1).replace("</article>", f"</{holder.split()[0]}>", 1)
-    around = "".join(block(f) for f in dice.sample(boiler, 4))
+
+    def some() -> str:
+        found = [block(f) for f in dice.sample(boiler, dice.randint(0, 4))] + [unnamed() for _ in range(dice.randint(0, 3))]
+        dice.shuffle(found)
+        return "".join(found)
+
     if "<body>" in out:
-        out = out.replace("<body>", "<body>" + around, 1)
-    return out.replace("</body>", "".join(block(f) for f in dice.sample(boiler, 4)) + "</body>", 1)
+        whole = dice.choice(["", "", "form", "div"])      # an element around all of the page
+        token = dice.choice([t for f in boiler for t in FAMILIES[f].split()])
+        body = dice.choice(["<body>", f'<body class="no-{token}" data-truth="1">', f'<body class="{token}-left" data-truth="1">'])
+        opened = f'<{whole} class="has-{token}" data-truth="1">' if whole else ""
+        out = out.replace("<body>", body + opened + some(), 1)
+        return out.replace("</body>", some() + (f"</{whole}>" if whole else "") + "</body>", 1)
+    return out.replace("</body>", some() + "</body>", 1)
 
 
 @dataclass
@@ -303,7 +392,7 @@ class Trees:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.3, bins: int = 32) -> Trees:
+def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 4, rate: float = 0.3, bins: int = 32) -> Trees:
     """Logistic gradient boosting with second-order leaves over quantile bins."""
     y = y.astype(np.float64)
     if not len(y) or y.min() == y.max():
@@ -314,26 +403,50 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate:
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     binned = np.stack([np.searchsorted(e, x[:, f], "left") for f, e in enumerate(edges)], axis=1)
     odds, trees = np.full(len(y), base), []
+    # yes-no features of all nodes of a level are one product, the others one count each
+    yes_no = [f for f, e in enumerate(edges) if len(e) == 1]
+    graded = [f for f, e in enumerate(edges) if len(e) > 1]
+    is_yes = binned[:, yes_no].T.astype(np.float64)
+    rows = np.arange(len(y))
+
+    def gain(g: np.ndarray, w: np.ndarray, g_all: np.ndarray, w_all: np.ndarray) -> np.ndarray:
+        return g**2 / (w + 1) + (g_all - g)**2 / (w_all - w + 1) - g_all**2 / (w_all + 1)
+
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-odds))
         gradient, weight = y - p, np.maximum(p * (1 - p), 1e-6)
         feature, threshold = np.zeros(2**depth - 1, np.int64), np.full(2**depth - 1, np.inf)
         at = np.zeros(len(y), np.int64)
-        for node in range(2**depth - 1):
-            here = np.flatnonzero(at == node)
-            best = 1e-6
-            if len(here) >= 2:
-                g_all, w_all = gradient[here].sum(), weight[here].sum()
-                for f, e in enumerate(edges):
-                    if not len(e):
-                        continue
-                    g = np.cumsum(np.bincount(binned[here, f], gradient[here], len(e) + 1))[:-1]
-                    w = np.cumsum(np.bincount(binned[here, f], weight[here], len(e) + 1))[:-1]
-                    gain = g**2 / (w + 1) + (g_all - g)**2 / (w_all - w + 1) - g_all**2 / (w_all + 1)
-                    k = int(np.argmax(gain))
-                    if gain[k] > best + 1e-9:
-                        best, feature[node], threshold[node] = gain[k], f, e[k]
-            at[here] = 2 * node + 1 + (x[here, feature[node]] > threshold[node])
+        for level in range(depth):
+            nodes, first = 2**level, 2**level - 1
+            place = at - first
+            sums = np.stack([np.bincount(place, v, nodes) for v in (gradient, weight)])
+            best = np.full(nodes, 1e-6)
+
+            def take(f: int, found: np.ndarray, bounds: np.ndarray) -> None:
+                better = found > best + 1e-9
+                best[better], feature[first:first + nodes][better] = found[better], f
+                threshold[first:first + nodes][better] = bounds[better]
+
+            spread = np.zeros((2, len(y), nodes))
+            spread[0, rows, place], spread[1, rows, place] = gradient, weight
+            right = is_yes @ spread                                       # (gradient or weight, feature, node)
+            gains = gain(sums[0] - right[0], sums[1] - right[1], sums[0], sums[1])
+            by_feature = dict(zip(yes_no, gains))
+            for f in graded:
+                n = len(edges[f]) + 1
+                cell = place * n + binned[:, f]
+                left = [np.cumsum(np.bincount(cell, v, nodes * n).reshape(nodes, n), axis=1)[:, :-1] for v in (gradient, weight)]
+                by_feature[f] = gain(left[0], left[1], sums[0][:, None], sums[1][:, None])
+            for f in sorted(by_feature):
+                found = by_feature[f]
+                if found.ndim == 1:
+                    take(f, found, np.full(nodes, edges[f][0]))
+                else:
+                    k = found.argmax(axis=1)
+                    take(f, found[np.arange(nodes), k], edges[f][k])
+            chosen = feature[at]
+            at = 2 * at + 1 + (x[rows, chosen] > threshold[at])
         leaves = at - (2**depth - 1)
         g, w = (np.bincount(leaves, v, 2**depth) for v in (gradient, weight))
         leaf = rate * g / (w + 1)
@@ -371,10 +484,10 @@ def block_text(page: Page, stay: list[bool]) -> str:
     return "\n".join(line for line in lines if line)
 
 
-def fit(pages: DataFrame, id: str = "page_id", html: str = "html", sample_pages: int = 200,
-        nodes_per_page: int = 400) -> Trees:
+def fit(pages: DataFrame, id: str = "page_id", html: str = "html", sample_pages: int = 120,
+        nodes_per_page: int = 400, versions: int = 4) -> Trees:
     """Trees from at most `sample_pages` pages (those with the lowest hash of id and text),
-    each as it is and with planted blocks, and at most `nodes_per_page` nodes of each."""
+    each as it is and in `versions` with planted blocks, and at most `nodes_per_page` nodes of each."""
     key = F.xxhash64(id, html)
     some = pages.where(F.length(html) > 0)
     chosen = [r[0] for r in some.select(key.alias("k")).distinct().orderBy("k").limit(sample_pages).collect()]
@@ -382,8 +495,8 @@ def fit(pages: DataFrame, id: str = "page_id", html: str = "html", sample_pages:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for version in (text, planted(text, random.Random(k)), planted(text, random.Random(k + 1))):
-                    page = parse(version)
+                for version in (text, *(planted(text, random.Random(k + i)) for i in range(versions))):
+                    page = parse(version, planted=True)
                     x, y = features(page)[1:nodes_per_page], weak_labels(page)[1:nodes_per_page]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([k]), pa.array([x.astype("<f4").tobytes()], pa.binary()),

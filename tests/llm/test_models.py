@@ -117,6 +117,47 @@ def test_parser(text, blocks):
     assert html_extract.block_text(page, [True] * len(page.tags)) == blocks
 
 
+ARTICLE = ("<article><h1>The history of stone bridges in the valley</h1><p>" + "Bridges were built of stone, and many stand today. " * 6
+           + "</p><h2 id='contact-tracing'>Contact tracing of the masons</h2><p>" + "The masons kept long records, which we can read. " * 5
+           + "</p><section class='related-work'><h2>Related work</h2><p>" + "Other valleys had bridges of wood, as records show. " * 5 + "</p></section></article>")
+MENU = "<ul>" + "".join(f"<li><a href='/{i}'>{name}</a></li>" for i, name in enumerate(["Home", "News", "Sport", "Shop"])) + "</ul>"
+
+
+@pytest.mark.parametrize("page", [
+    "<html><body class='no-sidebar'><nav>MENU</nav>ARTICLE</body></html>", "<html><body><div class='has-banner'><nav>MENU</nav>ARTICLE</div></body></html>",
+    "<html><body><form action='/x'><nav>MENU</nav>ARTICLE<footer>c 2020</footer></form></body></html>",
+    "<html><body>MENUARTICLE</body></html>", "<html><body><div>MENU</div>ARTICLE<div>MENU</div></body></html>"])
+def test_structure_overrules_names(page, trees):
+    parsed = html_extract.parse(page.replace("MENU", MENU).replace("ARTICLE", ARTICLE))
+    got = html_extract.block_text(parsed, html_extract.decode(parsed.parents, trees.log_odds(html_extract.features(parsed))))
+    whole = html_extract.parse(ARTICLE)
+    assert got == html_extract.block_text(whole, [True] * len(whole.tags))
+
+
+@pytest.fixture(scope="module")
+def trees(spark, site):
+    return html_extract.fit(site)
+
+
+def test_planted_pages_that_were_not_learned(site, trees):
+    """At least 97 % of the characters kept are of the article, and 97 % of those are kept."""
+    from collections import Counter
+    right = extra = missed = 0
+    for r in site.collect():
+        for i in range(3):
+            page = html_extract.parse(html_extract.planted(r.html, random.Random(10_000 + 10 * r.page_id + i)), planted=True)
+            label = html_extract.weak_labels(page)
+            stay = [True] * len(page.tags)
+            for n in range(1, len(stay)):
+                stay[n] = stay[page.parents[n]] and bool(label[n])
+            want = Counter(html_extract.block_text(page, stay).split("\n"))
+            got = Counter(html_extract.block_text(page, html_extract.decode(page.parents, trees.log_odds(html_extract.features(page)))).split("\n"))
+            right += sum(len(s) * n for s, n in (got & want).items())
+            extra += sum(len(s) * n for s, n in (got - want).items())
+            missed += sum(len(s) * n for s, n in (want - got).items())
+    assert right >= 0.97 * (right + extra) and right >= 0.97 * (right + missed)
+
+
 def test_formulas_and_objects_keep_their_text():
     page = html_extract.parse("<p>Let <math><mi>x</mi></math> be <object>a drawing</object>.</p><script>no</script>")
     assert html_extract.block_text(page, [True] * len(page.tags)) == "Let x be a drawing."
