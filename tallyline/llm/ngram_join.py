@@ -46,7 +46,7 @@ _MASK = np.uint64(0xFFFFFFFFFFFF)             # signatures are 48 bits
 _ENTRIES_PER_CHUNK = 2_000_000
 _ENTRIES_PER_BUCKET = 2_000_000
 _CLASS_BYTES = 12
-_MAX_BROADCAST = 200_000
+_MAX_BROADCAST = 300_000
 _MAX_SKETCH_BYTES = 16_000_000
 
 
@@ -273,39 +273,50 @@ def _shared(table: pa.Table) -> pa.Table:
                      "center": named.take(pa.array(np.repeat(center, sizes))), "class": named.take(pa.array(listed))})
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """`class` and `elements` (the whole set) of one document of each wanted class.
+def _compact(elements: np.ndarray) -> bytes:
+    """A set for comparing: the upper 48 bits of its hashes. Two of its shingles, or of another
+    set's, share these bits with a chance of one in 10**14 a pair."""
+    return squeeze_sorted(elements >> U(16))
+
+
+def _sets(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text: str, words: int) -> DataFrame:
+    """`edges` (`class` and other columns) with `elements`, the whole set of the class, made
+    from the text of one row that has it, where that text is read.
 
     A class that only rows without an id have is found by hashing those rows again."""
-    chosen = wanted.groupBy("class").agg(F.min(id).alias(id))
+    others = [c for c in edges.columns if c != "class"]
+    kinds = ", ".join(f"`{c}` binary" for c in others)
+    wanted = _small(edges.join(classes.select("class", id), "class"))
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in batch.column(0):
-                if len(elements := shingles(t.as_py(), words)):
-                    yield pa.RecordBatch.from_arrays([pa.array([_class(elements)], pa.binary()),
-                                                      pa.array([squeeze_sorted(elements)], pa.binary())], ["class", "elements"])
+            kept, sets, known, last = [], [], None, None
+            for i, (name, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+                if t.as_py() != last or known is None:
+                    last = t.as_py()
+                    elements = shingles(last, words)
+                    known = _class(elements), _compact(elements)
+                if known[0] == name:                   # not another text that shares the id
+                    kept.append(i)
+                    sets.append(known[1])
+            picked = batch.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([picked.column(0), *picked.columns[2:], pa.array(sets, pa.binary())],
+                                             ["class", *others, "elements"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for name, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                elements = shingles(t.as_py(), words)
-                if _class(elements) == name:           # not another text that shares the id
-                    rows.append((name, squeeze_sorted(elements)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())],
-                ["class", "elements"])
+            found = {_class(e): _compact(e) for t in batch.column(0) if len(e := shingles(t.as_py(), words))}
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())],
+                                             ["class", "elements"])
 
-    chosen = cut_lineage(chosen)
-    if chosen.count() <= _MAX_BROADCAST:       # some tens of bytes a row; beyond that by a shuffle
-        chosen = F.broadcast(chosen)
-    texts = docs.select(id, text).join(chosen, id).select("class", text)
-    found = texts.mapInArrow(run, "class binary, elements binary")
-    nameless = chosen.where(F.col(id).isNull()).select("class")
-    again = docs.where(F.col(id).isNull()).select(text).mapInArrow(named, "class binary, elements binary")
-    return found.unionByName(again.join(nameless, "class", "left_semi").groupBy("class").agg(
-        F.first("elements").alias("elements")))
+    texts = docs.select(id, F.col(text).alias("_text")).join(wanted, id).select("class", "_text", *others)
+    found = texts.mapInArrow(run, ", ".join(x for x in ("class binary", kinds, "elements binary") if x))
+    # rows that repeat an id and a text give a set more than once
+    found = found.dropDuplicates(["class", *others]) if not others else found
+    nameless = wanted.where(F.col(id).isNull()).select("class", *others)
+    again = (docs.where(F.col(id).isNull()).select(text).mapInArrow(named, "class binary, elements binary")
+             .join(nameless.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.first("elements").alias("elements")))
+    return found.unionByName(nameless.join(again, "class").select(found.columns))
 
 
 def _near_enough(edges: DataFrame, classes: DataFrame, similarity: Fraction) -> DataFrame:
@@ -331,8 +342,11 @@ def _near_enough(edges: DataFrame, classes: DataFrame, similarity: Fraction) ->
             .mapInArrow(run, "a binary, b binary"))
 
 
-def _links(edges: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
-    """The edges (`a`, `b`) whose sets are similar."""
+def _links(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text: str, words: int,
+           similarity: Fraction) -> DataFrame:
+    """The edges (`a`, `b`) whose sets are similar.
+
+    There are few distinct `a`. The set of each `b` goes from its text straight to those."""
     num, den = similarity.numerator, similarity.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,10 +362,11 @@ def _links(edges: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame
                 kept.append(den * both >= num * (len(known[1]) + len(other) - both))
             yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b"])
 
-    joined = (edges.join(sets.select(F.col("class").alias("b"), F.col("elements").alias("right")), "b")
-              .join(sets.select(F.col("class").alias("a"), F.col("elements").alias("left")), "a")
-              .select("a", "b", "left", "right"))
-    return joined.mapInArrow(run, "a binary, b binary")
+    centers = _sets(docs, edges.select(F.col("a").alias("class")).distinct(), classes, id, text, words)
+    right = _sets(docs, edges.select(F.col("b").alias("class"), "a"), classes, id, text, words)
+    joined = right.select("a", F.col("class").alias("b"), F.col("elements").alias("right")).join(
+        centers.select(F.col("class").alias("a"), F.col("elements").alias("left")), "a")
+    return joined.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -378,9 +393,7 @@ def _verified(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, te
               similarity: Fraction) -> DataFrame:
     """Those of the distinct edges (`a`, `b`) that are links."""
     edges = cut_lineage(_near_enough(edges, classes, similarity))
-    wanted = edges.select(F.col("a").alias("class")).union(edges.select("b")).distinct()
-    sets = cut_lineage(_sets(docs, classes.join(wanted, "class", "left_semi"), id, text, words))
-    return cut_lineage(_links(edges, sets, similarity))
+    return cut_lineage(_links(docs, edges, classes, id, text, words, similarity))
 
 
 def _labelled(df: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
@@ -422,6 +435,8 @@ def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, wo
         if again:
             # what was compared and is still apart is no link; comparing it once more does no harm
             found = verified(apart.join(main.select("a", "b"), ["a", "b"], "left_anti"))
+            if found.isEmpty():
+                break
             links = cut_lineage(links.unionByName(found))
             labels = components(links)
     open_groups = groups.join(_small(apart.select(F.col("a").alias("center"), F.col("b").alias("class"))), ["center", "class"],
