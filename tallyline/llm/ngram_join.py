@@ -286,7 +286,7 @@ def _sets(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text:
     A class that only rows without an id have is found by hashing those rows again."""
     others = [c for c in edges.columns if c != "class"]
     kinds = ", ".join(f"`{c}` binary" for c in others)
-    wanted = _small(edges.join(classes.select("class", id), "class"))
+    wanted = _small(edges.join(classes.select("class", id).hint("merge"), "class"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -338,7 +338,7 @@ def _near_enough(edges: DataFrame, classes: DataFrame, similarity: Fraction) ->
     centers = cut_lineage(side("a", "m", "x").join(edges.select("a").distinct(), "a", "left_semi"))
     held = centers.agg(F.coalesce(F.sum(F.length("x") + 40), F.lit(0))).first()[0]
     centers = F.broadcast(centers) if held <= _MAX_SKETCH_BYTES else centers
-    return (edges.join(side("b", "n", "y"), "b").join(centers, "a").select("a", "b", "m", "n", "x", "y")
+    return (edges.join(side("b", "n", "y").hint("merge"), "b").join(centers, "a").select("a", "b", "m", "n", "x", "y")
             .mapInArrow(run, "a binary, b binary"))
 
 
@@ -365,7 +365,7 @@ def _links(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text:
     centers = _sets(docs, edges.select(F.col("a").alias("class")).distinct(), classes, id, text, words)
     right = _sets(docs, edges.select(F.col("b").alias("class"), "a"), classes, id, text, words)
     joined = right.select("a", F.col("class").alias("b"), F.col("elements").alias("right")).join(
-        centers.select(F.col("class").alias("a"), F.col("elements").alias("left")), "a")
+        centers.select(F.col("class").alias("a"), F.col("elements").alias("left")).hint("merge"), "a")
     return joined.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary").distinct()
 
 
@@ -378,11 +378,12 @@ def components(links: DataFrame) -> DataFrame:
     both = cut_lineage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")))
     while True:
-        seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(
+        # merge joins: a broadcast in every round would pass through the driver
+        seen = both.join(labels.withColumnRenamed("node", "b").hint("merge"), "b").groupBy(F.col("a").alias("node")).agg(
             F.min("label").alias("near"))
-        nearer = labels.join(seen, "node").select(
+        nearer = labels.join(seen.hint("merge"), "node").select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jumped = nearer.join(labels.select(F.col("node").alias("label"), F.col("label").alias("far")), "label", "left")
+        jumped = nearer.join(labels.select(F.col("node").alias("label"), F.col("label").alias("far")).hint("merge"), "label", "left")
         fresh = cut_lineage(jumped.select("node", "old", F.least("label", F.coalesce("far", "label")).alias("label")))
         labels = fresh.select("node", "label")
         if fresh.where(F.col("old") != F.col("label")).isEmpty():
@@ -399,7 +400,7 @@ def _verified(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, te
 def _labelled(df: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
     """`df` with the label of the class in `column`, the class itself if it has none."""
     known = labels.select(F.col("node").alias(column), F.col("label").alias(name))
-    return df.join(known, column, "left").withColumn(name, F.coalesce(name, column))
+    return df.join(known.hint("merge"), column, "left").withColumn(name, F.coalesce(name, column))
 
 
 def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, words: int,
