@@ -48,6 +48,7 @@ _ENTRIES_PER_BUCKET = 2_000_000
 _CLASS_BYTES = 12
 _MAX_BROADCAST = 300_000
 _MAX_SKETCH_BYTES = 16_000_000
+_EDGES_PER_SALT = 10_000
 
 
 
@@ -280,28 +281,29 @@ def _compact(elements: np.ndarray) -> bytes:
 
 
 def _sets(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """`edges` (`class` and other columns) with `elements`, the whole set of the class, made
-    from the text of one row that has it, where that text is read.
-
-    A class that only rows without an id have is found by hashing those rows again."""
-    others = [c for c in edges.columns if c != "class"]
-    kinds = ", ".join(f"`{c}` binary" for c in others)
-    wanted = _small(edges.join(classes.select("class", id).hint("merge"), "class"))
+    """`a`, `salt`, `b`, `elements`: of each edge (`a`, `b`) the whole set of `b`, and of each
+    `a`, in rows without `b`, its own set, once per salt.
+
+    The edges of an `a` are dealt over salts by their number, so one that a third of all
+    classes meet does not end in one task. A set is made from the text of one row that has the
+    class, where that text is read; a class that only rows without an id have is found by
+    hashing those rows again."""
+    salts = edges.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / _EDGES_PER_SALT).cast("int").alias("salts"))
+    ends = edges.join(salts.hint("merge"), "a").select(
+        F.col("b").alias("class"), F.col("a").alias("other"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
+    own = salts.select(F.col("a").alias("class"), F.lit(None).cast("binary").alias("other"),
+                       F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    uses = ends.unionByName(own).groupBy("class").agg(F.collect_list(F.struct("other", "salt")).alias("uses"))
+    wanted = _small(uses.join(classes.select("class", id).hint("merge"), "class"))
+    schema = pa.schema([("a", pa.binary()), ("salt", pa.int32()), ("b", pa.binary()), ("elements", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, sets, known, last = [], [], None, None
-            for i, (name, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
-                if t.as_py() != last or known is None:
-                    last = t.as_py()
-                    elements = shingles(last, words)
-                    known = _class(elements), _compact(elements)
-                if known[0] == name:                   # not another text that shares the id
-                    kept.append(i)
-                    sets.append(known[1])
-            picked = batch.take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays([picked.column(0), *picked.columns[2:], pa.array(sets, pa.binary())],
-                                             ["class", *others, "elements"])
+            for name, t, uses in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                elements = shingles(t.as_py(), words)
+                if _class(elements) == name:           # not another text that shares the id
+                    held = _compact(elements)
+                    yield from in_batches([(u["other"] or name, u["salt"], u["other"] and name, held) for u in uses.as_py()], schema)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,14 +311,13 @@ def _sets(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text:
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())],
                                              ["class", "elements"])
 
-    texts = docs.select(id, F.col(text).alias("_text")).join(wanted, id).select("class", "_text", *others)
-    found = texts.mapInArrow(run, ", ".join(x for x in ("class binary", kinds, "elements binary") if x))
-    # rows that repeat an id and a text give a set more than once
-    found = found.dropDuplicates(["class", *others]) if not others else found
-    nameless = wanted.where(F.col(id).isNull()).select("class", *others)
-    again = (docs.where(F.col(id).isNull()).select(text).mapInArrow(named, "class binary, elements binary")
-             .join(nameless.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.first("elements").alias("elements")))
-    return found.unionByName(nameless.join(again, "class").select(found.columns))
+    kinds = "a binary, salt int, b binary, elements binary"
+    texts = docs.select(id, F.col(text).alias("_text")).join(wanted, id).select("class", "_text", "uses")
+    found = texts.mapInArrow(run, kinds)
+    nameless = wanted.where(F.col(id).isNull()).select("class", F.explode("uses").alias("u"))
+    again = docs.where(F.col(id).isNull()).select(text).mapInArrow(named, "class binary, elements binary")
+    return found.unionByName(again.join(nameless, "class").select(
+        F.coalesce("u.other", "class").alias("a"), "u.salt", F.when(F.col("u.other").isNotNull(), F.col("class")).alias("b"), "elements"))
 
 
 def _near_enough(edges: DataFrame, classes: DataFrame, similarity: Fraction) -> DataFrame:
@@ -344,29 +345,27 @@ def _near_enough(edges: DataFrame, classes: DataFrame, similarity: Fraction) ->
 
 def _links(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text: str, words: int,
            similarity: Fraction) -> DataFrame:
-    """The edges (`a`, `b`) whose sets are similar.
-
-    There are few distinct `a`. The set of each `b` goes from its text straight to those."""
+    """The edges (`a`, `b`) whose sets are similar. Sets travel once, to the edge's `a`."""
     num, den = similarity.numerator, similarity.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: tuple[bytes, np.ndarray] = (b"", np.zeros(0, np.uint64))
+        name, known = None, np.zeros(0, np.uint64)
         for batch in batches:
             kept = []
-            for left, right in zip(batch.column(2), batch.column(3)):
-                left = left.as_py()
-                if left != known[0]:
-                    known = left, expand_sorted(left, np.uint64)
-                other = expand_sorted(right.as_py(), np.uint64)
-                both = len(np.intersect1d(known[1], other, assume_unique=True))
-                kept.append(den * both >= num * (len(known[1]) + len(other) - both))
+            for a, b, elements in zip(batch.column(0), batch.column(1), batch.column(2)):
+                other = expand_sorted(elements.as_py(), np.uint64)
+                if not b.is_valid:
+                    name, known = a.as_py(), other     # the set of `a` comes before those of its edges
+                    kept.append(False)
+                else:
+                    assert a.as_py() == name
+                    both = len(np.intersect1d(known, other, assume_unique=True))
+                    kept.append(den * both >= num * (len(known) + len(other) - both))
             yield batch.filter(pa.array(kept, pa.bool_())).select(["a", "b"])
 
-    centers = _sets(docs, edges.select(F.col("a").alias("class")).distinct(), classes, id, text, words)
-    right = _sets(docs, edges.select(F.col("b").alias("class"), "a"), classes, id, text, words)
-    joined = right.select("a", F.col("class").alias("b"), F.col("elements").alias("right")).join(
-        centers.select(F.col("class").alias("a"), F.col("elements").alias("left")).hint("merge"), "a")
-    return joined.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary").distinct()
+    sets = _sets(docs, edges, classes, id, text, words)
+    return (sets.repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
+            .select("a", "b", "elements").mapInArrow(run, "a binary, b binary").distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -407,9 +406,9 @@ def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, wo
                    similarity: Fraction) -> DataFrame:
     """`node`, `label`: the classes that are linked with another, and their component.
 
-    First every class is compared with the center that it shares most groups with, then with
-    its other centers where the components still differ. A group whose members are all in the
-    component of its center is done. In the rest, members of different components are compared.
+    First every class is compared with the centers of its groups. A group whose members are all
+    in the component of its center is done. In the rest, members of different components are
+    compared.
     """
     spark = docs.sparkSession
     bands = Bands(similarity)
@@ -421,25 +420,15 @@ def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, wo
         _shared, "group bigint, center binary, class binary"))
     classes = cut_lineage(described.groupBy("class").agg(F.min(id).alias(id), F.first("n_shingles").alias("n_shingles"),
                                                          F.first("sketch").alias("sketch")))
-    star = cut_lineage(groups.where(F.col("class") != F.col("center")).groupBy(F.col("center").alias("a"), F.col("class").alias("b"))
-                       .agg(F.count(F.lit(1)).alias("n")))
+    star = cut_lineage(groups.where(F.col("class") != F.col("center")).select(F.col("center").alias("a"), F.col("class").alias("b")).distinct())
 
     def verified(edges: DataFrame) -> DataFrame:
         return _verified(docs, edges.select("a", "b"), classes, id, text, words, similarity)
 
-    main = star.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
-    links = verified(main)
+    links = verified(star)
     labels = components(links)
-    for again in (True, False):
-        apart = cut_lineage(_labelled(_labelled(star.select("a", "b"), labels, "a", "a_label"), labels, "b", "b_label")
-                            .where(F.col("a_label") != F.col("b_label")).select("a", "b"))
-        if again:
-            # what was compared and is still apart is no link; comparing it once more does no harm
-            found = verified(apart.join(main.select("a", "b"), ["a", "b"], "left_anti"))
-            if found.isEmpty():
-                break
-            links = cut_lineage(links.unionByName(found))
-            labels = components(links)
+    apart = cut_lineage(_labelled(_labelled(star, labels, "a", "a_label"), labels, "b", "b_label")
+                        .where(F.col("a_label") != F.col("b_label")).select("a", "b"))
     open_groups = groups.join(_small(apart.select(F.col("a").alias("center"), F.col("b").alias("class"))), ["center", "class"],
                               "left_semi").select("group").distinct()
     groups = cut_lineage(groups.join(_small(open_groups), "group", "left_semi").select("group", "class").distinct())
