@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
 from tallyline.llm.packed import (
-    U, WORDS, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted)
+    U, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted, word_hashes)
 from tallyline.operators.ordering import prefix_scan
 from tallyline.session import cut_lineage
 
@@ -200,7 +200,7 @@ def repeated_lines(df: DataFrame, min_words: int = 8, id: str = "doc_id", text:
                     continue
                 lines = [line.split() for line in t.encode("utf-8", "surrogatepass").lower().split(b"\n")]
                 counts = np.fromiter(map(len, lines), np.int64, len(lines))
-                hashes = np.fromiter((WORDS[w] for line in lines for w in line), np.uint64, int(counts.sum()))
+                hashes = word_hashes((w for line in lines for w in line), int(counts.sum()))
                 place = doc.as_py()
                 chunk.append((hashes, counts, np.full(len(lines), _NULL_ID if place is None else place, np.int64),
                               np.arange(len(lines))))

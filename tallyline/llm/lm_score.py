@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyline.llm.packed import U, WORDS, by_bucket, expand, expand_sorted, mix, squeeze, squeeze_sorted
+from tallyline.llm.packed import U, by_bucket, expand, expand_sorted, mix, squeeze, squeeze_sorted, word_hashes
 
 _TOKENS = U(1)                                    # stands for the number of tokens
 _CHARS_PER_CHUNK = 7_000_000
@@ -30,7 +30,7 @@ def ngrams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.nda
     text begins later). Words end at ASCII white space; ASCII case does not count."""
     split = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
     counts = np.fromiter(map(len, split), np.int64, len(split))
-    words = np.fromiter((WORDS[w] for one in split for w in one), np.uint64, int(counts.sum()))
+    words = word_hashes((w for one in split for w in one), int(counts.sum()))
     at = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
     keys = []
     for n in range(1, order + 1):

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyline.llm.packed import (
-    U, WORDS, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted)
+    U, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted, word_hashes)
 from tallyline.session import cut_lineage
 
 _MASK = np.uint64(0xFFFFFFFFFFFF)             # signatures are 48 bits
@@ -61,7 +61,7 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not found:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(WORDS.__getitem__, found), np.uint64, len(found))
+    hashes = word_hashes(found, len(found))
     width = min(words, len(found))
     n = len(hashes) - width + 1
     out = np.zeros(n, np.uint64)

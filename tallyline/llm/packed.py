@@ -8,7 +8,7 @@ for each to fit a task many times over.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +32,27 @@ class WordHashes(dict):
         return value
 
 
-# One table per Python worker, for all operators: workers outlive their stage.
+# One table per Python worker, for all operators.
 WORDS = WordHashes()
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def claim(name: str, forget: Callable[[], None]) -> None:
+    """An operator is about to use its memo: memos of other operators are emptied.
+
+    Workers outlive their stage, so what one operator remembered would stay in memory while
+    the next one works."""
+    for other in [n for n in _HELD if n != name]:
+        _HELD.pop(other)()
+    _HELD[name] = forget
+
+
+def word_hashes(words: Iterable[bytes], n: int) -> np.ndarray:
+    """The 64-bit hashes of `n` words."""
+    claim("words", WORDS.clear)
+    return np.fromiter(map(WORDS.__getitem__, words), np.uint64, n)
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective mixing of unsigned 64-bit integers (splitmix64 finaliser)."""

@@ -18,6 +18,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tallyline.llm.packed import claim
+
 _MEMO_CHARS = 64
 _AFTER_LATIN = "\u0250"     # letters before it are composed, and lower-cased one by one
 
@@ -55,6 +57,11 @@ class WordIds:
             ids = [new[w] if known is None else known for w, known in zip(words, ids)]
         return b"".join(ids)
 
+    def forget(self) -> None:
+        self._words.clear()
+        self._words[""] = b""
+        self._parts.clear()
+
     def _learn(self, new: dict[str, bytes | None]) -> None:
         known, other, letters, cuts = self._parts, {}, {}, []
         for word in new:
@@ -139,6 +146,7 @@ def pieces(df: DataFrame, path: str, end_id: int | None = 1, max_length: int = 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _shared(path)
+        claim("ids", coder.forget)
         for batch in batches:
             rows, starts, lengths, cut, totals = [], [], [], [], []
             for row, t in enumerate(batch.column(1)):
