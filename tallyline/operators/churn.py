@@ -143,9 +143,9 @@ def boosting(rounds: int = 300, seed: int = 42, early_stop: bool = False) -> GBT
     With `early_stop`, rows marked `_watch` are not trained on, and training ends before
     `rounds` at the first round that does not lower their error.
     """
-    trees = GBTClassifier(labelCol=LABEL, featuresCol="features", maxIter=rounds, stepSize=0.08, maxDepth=5,
-                          minInstancesPerNode=20, seed=seed, checkpointInterval=10)
-    return trees.setValidationIndicatorCol("_watch").setValidationTol(1e-7) if early_stop else trees
+    watch = {"validationIndicatorCol": "_watch", "validationTol": 1e-7} if early_stop else {}
+    return GBTClassifier(labelCol=LABEL, featuresCol="features", maxIter=rounds, stepSize=0.08, maxDepth=5,
+                         minInstancesPerNode=20, seed=seed, checkpointInterval=10, **watch)
 
 
 def default_candidates(n_rows: int, rounds: int = 300) -> dict:
@@ -195,8 +195,9 @@ def train_select(train: DataFrame, candidates: dict | None = None, folds: int =
         name, fold = task
         inside = rows.where(F.col("fold") != fold)
         model = Pipeline(stages=[*preprocessing(inside), candidates[name]]).fit(inside)
+        # a column of its own per fold: frames of one origin do not union while they share it
         scored = with_probability(model, rows.where(F.col("fold") == fold)).select(
-            F.lit(name).alias("model"), F.lit(fold).alias("fold"), LABEL, "p")
+            F.lit(name).alias("model"), F.lit(fold).alias("fold"), F.col(LABEL).cast("bigint").alias(LABEL), "p")
         return cut_lineage(scored)
 
     # the dear candidate first, so that no long fit starts last
