@@ -43,7 +43,7 @@ from tallyline.llm.packed import (
 from tallyline.session import cut_lineage
 
 _MASK = np.uint64(0xFFFFFFFFFFFF)             # signatures are 48 bits
-_ENTRIES_PER_CHUNK = 2_000_000
+_ENTRIES_PER_CHUNK = 1_000_000
 _ENTRIES_PER_BUCKET = 2_000_000
 _CLASS_BYTES = 12
 _MAX_BROADCAST = 300_000
