@@ -14,6 +14,7 @@ from tallyline.functions.columns import ratio
 from tallyline.session import cut_lineage
 
 MAX_ITEMS = 1_000
+PAIRS_PER_TASK = 1_000_000
 
 
 def basket_lines(lines: DataFrame, order: str = "order_id", product: str = "product_id",
@@ -39,12 +40,15 @@ def frequent_pairs(lines: DataFrame, order: str = "order_id", product: str = "pr
     Baskets of up to `max_items` products become pairs row by row, inside one order's array.
     Larger ones are not gathered: their lines are dealt by product into blocks of bounded
     size, and blocks of one order meet pair by pair, so no task holds a whole basket. Both
-    ways are exact, and their counts are added before the threshold is applied.
+    ways are exact, and their counts are added before the threshold is applied. Most pairs
+    are rare, so a task that combines its pairs holds nearly all: the pairs to come are
+    counted first, and tasks are as many as keep each to about `PAIRS_PER_TASK`.
     """
     held = cut_lineage(basket_lines(lines, order, product, min_orders))
-    sizes = held.groupBy("order").agg(F.count(F.lit(1)).alias("size"))
+    sizes = cut_lineage(held.groupBy("order").agg(F.count(F.lit(1)).alias("size")))
     large = sizes.where(F.col("size") > max_items)
-    small = held.join(large, "order", "left_anti")
+    n_inside, n_far = _tasks(sizes, max_items)
+    small = held.repartition(n_inside, "order").join(large, "order", "left_anti")
     baskets = small.groupBy("order").agg(F.sort_array(F.collect_list("product")).alias("items"))
     inside = F.flatten(F.transform("items", lambda a, i: F.transform(
         F.slice("items", i + 2, F.size("items")), lambda b: F.struct(a.alias("first"), b.alias("second")))))
@@ -57,7 +61,8 @@ def frequent_pairs(lines: DataFrame, order: str = "order_id", product: str = "pr
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     left = dealt.select("order", "block", F.explode(every).alias("other"), F.col("product").alias("first"))
     right = dealt.select("order", F.explode(every).alias("block"), F.col("block").alias("other"), F.col("product").alias("second"))
-    far = left.join(right, ["order", "block", "other"]).where(F.col("first") < F.col("second")).select("first", "second")
+    meet = ["order", "block", "other"]
+    far = left.repartition(n_far, *meet).join(right.repartition(n_far, *meet).hint("merge"), meet).where(F.col("first") < F.col("second")).select("first", "second")
     counted = (pairs.unionByName(far).groupBy("first", "second").agg(F.count(F.lit(1)).alias("n_orders"))
                .where(F.col("n_orders") >= min_orders))
     alone = held.groupBy("product").agg(F.count(F.lit(1)).alias("n"))
@@ -69,6 +74,15 @@ def frequent_pairs(lines: DataFrame, order: str = "order_id", product: str = "pr
                     ratio(F.col("n_orders") * F.col("_all"), F.col("_a") * F.col("_b")).alias("lift")))
 
 
+def _tasks(sizes: DataFrame, max_items: int) -> tuple[int, int]:
+    """How many tasks form pairs inside small baskets, and between the blocks of large ones."""
+    size = F.col("size").cast("double")
+    inside, far = sizes.agg(
+        F.coalesce(F.sum(F.when(F.col("size") <= max_items, size * (size - 1) / 2)), F.lit(0.0)),
+        F.coalesce(F.sum(F.when(F.col("size") > max_items, size * (size - 1) / 2)), F.lit(0.0))).first()
+    return tuple(1 + int(n // PAIRS_PER_TASK) for n in (inside, far))
+
+
 def frequent_sets(lines: DataFrame, order: str = "order_id", product: str = "product_id", min_orders: int = 2,
                   max_items: int = MAX_ITEMS) -> DataFrame:
     """`items` (sorted), `n_orders` of every product set in at least `min_orders` orders.

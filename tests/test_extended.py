@@ -45,6 +45,17 @@ def test_pairs_equal_brute_force_for_small_and_large_baskets(bought, max_items):
     assert r.confidence == r.n_orders / want[(a,)] and r.lift == pytest.approx(r.n_orders * n / (want[(a,)] * want[(b,)]))
 
 
+def test_tasks_that_form_pairs_follow_the_pairs(bought, monkeypatch):
+    data, df = bought
+    monkeypatch.setattr(baskets, "PAIRS_PER_TASK", 40, raising=False)
+    pairs = baskets.frequent_pairs(df, max_items=3)
+    lines = pairs._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    dealt = [int(line.split("],")[-1].split(",")[0].strip(" )")) for line in lines if "RepartitionByExpression" in line]
+    assert len(dealt) == 3 and min(dealt) > 1
+    want, _ = brute_sets(data, 2, 2)
+    assert {(r.first, r.second): r.n_orders for r in pairs.collect()} == {s: c for s, c in want.items() if len(s) == 2}
+
+
 def test_sets_and_rules_equal_brute_force(bought):
     data, df = bought
     small = [(o, p) for o, p in data if o is None or o < 100]
