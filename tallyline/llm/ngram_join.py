@@ -15,13 +15,18 @@ depends on it.
 
 A part without elements has no signature either. There are more parts than needed, and two
 sets miss each other only if both have too many empty parts; such sets are signed again with
-all their shingles dealt out, and if that is still too little, by each single shingle.
+all their shingles dealt out, and if that is still too little, by each single shingle. Where
+fewer parts are empty than may be, similar sets share as many signatures more as parts are
+left over, so each set leaves that many of its last parts unsigned.
+
+One scan makes both the description and the signatures of a text.
 
 Signatures travel packed by hash bucket, sorted and compressed, because most occur once.
 Sets that share one are candidates. Equal sets are one class throughout, and candidate
 groups are not expanded into all pairs: the members of a group are compared with its center,
 the one that shares most signatures, linked ones are merged, and a group that is one component
-is done. In the rest, each round compares members with the first ones of other components;
+is done. In the rest, small groups are compared pair by pair, each pair once; in large ones, each
+round compares members with the first ones of other components;
 those that were compared with the whole group leave it. It ends when no group has two
 components left, so no link is lost. Before two sets are compared in full, counts of their shingles in a few
 hash cells bound their difference from below, which settles nearly all unlike pairs.
@@ -35,6 +40,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -49,7 +55,9 @@ _CLASS_BYTES = 12
 _MAX_BROADCAST = 300_000
 _MAX_SKETCH_BYTES = 16_000_000
 _EDGES_PER_SALT = 10_000
-
+_SMALL_GROUP = 256
+_MEMBERS_PER_BUCKET = 250_000
+_PAIRS_AT_ONCE = 1_000_000
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -89,7 +97,7 @@ class Bands:
     def parts(self, instance: int) -> tuple[int, int]:
         """(number of parts, how many of them a set may have empty)."""
         least = self.difference(instance) + 1
-        spare = -(-3 * least // 4) + 1
+        spare = -(-least // 2) + 1
         return least + spare, spare
 
 
@@ -123,8 +131,9 @@ def signatures(elements: np.ndarray, bands: Bands, frequent: np.ndarray) -> np.n
                 out.append(mix(mix(elements + seed) ^ seed))
                 break
             signed = _part_hashes(dealt, parts, seed)
-            out.append(signed)
-            if parts - len(signed) <= spare:
+            left = spare - (parts - len(signed))   # so many parts less still share one
+            out.append(signed[:len(signed) - max(left, 0)])
+            if left >= 0:
                 break
     return np.unique(np.concatenate(out) & _MASK) if out else np.zeros(0, np.uint64)
 
@@ -151,21 +160,6 @@ def _least_difference(a: bytes, b: bytes) -> int:
     return int(np.abs(x - y).sum())
 
 
-def describe(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """`id`, `n_shingles`, `class` (96-bit hash of the set), `sketch` per row."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = (shingles(t.as_py(), words) for t in batch.column(1))
-            found = [(len(s), _class(s), sketch(s)) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([n for n, _, _ in found], pa.int64()),
-                 pa.array([c for _, c, _ in found], pa.binary()), pa.array([k for _, _, k in found], pa.binary())],
-                [id, "n_shingles", "class", "sketch"])
-
-    return df.select(id, text).mapInArrow(
-        run, f"`{id}` {df.schema[id].dataType.simpleString()}, n_shingles bigint, class binary, sketch binary")
-
-
 def frequent_shingles(df: DataFrame, text: str, words: int, every: int = 16, least: int = 3,
                       most: int = 1_000_000) -> np.ndarray:
     """Sorted hashes of the shingles that `least` or more of a sample of the distinct texts
@@ -192,40 +186,78 @@ def frequent_shingles(df: DataFrame, text: str, words: int, every: int = 16, lea
     return np.sort(np.frombuffer(b"".join(row["h"] for row in packed), np.uint64))
 
 
-def packed_signatures(df: DataFrame, text: str, words: int, bands: Bands, buckets: int,
-                      frequent: np.ndarray) -> DataFrame:
-    """`bucket`, and the signatures of a chunk of texts that fall into it, with their classes."""
-    schema = pa.schema([("bucket", pa.int32()), ("signatures", pa.binary()), ("owners", pa.binary()),
-                        ("classes", pa.binary())])
+def _scan(df: DataFrame, id: str, text: str, words: int, bands: Bands, buckets: int, frequent: np.ndarray) -> DataFrame:
+    """Rows of two kinds, dealt over `bucket`: `_id`, `n_shingles`, `class` (96-bit hash of the
+    set), `sketch` of each row; and the signatures of a chunk of texts that fall into the
+    bucket, with their classes."""
+    fields = [("bucket", pa.int32()), ("n_shingles", pa.int64()), ("class", pa.binary()), ("sketch", pa.binary()),
+              ("signatures", pa.binary()), ("owners", pa.binary()), ("classes", pa.binary())]
+
+    def rows(kind: pa.DataType, n: int, **columns: pa.Array) -> pa.RecordBatch:
+        schema = pa.schema([("_id", kind), *fields])
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
 
-    def pack(sets: dict[bytes, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def pack(kind: pa.DataType, sets: dict[bytes, np.ndarray]) -> Iterator[pa.RecordBatch]:
         names = list(sets)
         owner = np.repeat(np.arange(len(names), dtype=np.uint32), [len(s) for s in sets.values()])
-        rows = []
         for bucket, at, signed in by_bucket(np.concatenate(list(sets.values())), buckets):
             used, local = np.unique(owner[at], return_inverse=True)
-            rows.append((bucket, squeeze_sorted(signed), squeeze(local.astype(np.uint32)),
-                         b"".join(names[i] for i in used)))
-        yield from in_batches(rows, schema)
+            yield rows(kind, 1, bucket=pa.array([bucket], pa.int32()), signatures=pa.array([squeeze_sorted(signed)], pa.binary()),
+                       owners=pa.array([squeeze(local.astype(np.uint32))], pa.binary()),
+                       classes=pa.array([b"".join(names[i] for i in used)], pa.binary()))
 
     known = df.sparkSession.sparkContext.broadcast(frequent)      # bounded, see frequent_shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, held = {}, 0
+        sets, held, done, kind = {}, 0, 0, pa.null()
         for batch in batches:
-            for t in batch.column(0):
+            kind, found = batch.column(0).type, []
+            for t in batch.column(1):
                 elements = shingles(t.as_py(), words)
                 name = _class(elements)
+                found.append((len(elements), name, sketch(elements)))
                 if name not in sets and len(signed := signatures(elements, bands, known.value)):
                     sets[name] = signed
                     held += len(signed)
                 if held >= _ENTRIES_PER_CHUNK:
-                    yield from pack(sets)
+                    yield from pack(kind, sets)
                     sets, held = {}, 0
+            yield rows(kind, len(found), _id=batch.column(0), bucket=pa.array(np.arange(done, done + len(found)) % buckets, pa.int32()),
+                       n_shingles=pa.array([n for n, _, _ in found], pa.int64()),
+                       **{"class": pa.array([c for _, c, _ in found], pa.binary()), "sketch": pa.array([k for _, _, k in found], pa.binary())})
+            done += len(found)
         if sets:
-            yield from pack(sets)
+            yield from pack(kind, sets)
+
+    kind = df.schema[id].dataType.simpleString()
+    return df.select(id, text).mapInArrow(
+        run, f"_id {kind}, bucket int, n_shingles bigint, class binary, sketch binary, signatures binary, owners binary, classes binary")
+
+
+def scan(docs: DataFrame, id: str, text: str, words: int, bands: Bands) -> tuple[DataFrame, DataFrame]:
+    """`id`, `n_shingles`, `class`, `sketch` per row; and the `group`s of classes that share a
+    signature, see `_shared`."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    # a word and the space behind it are rarely less than four bytes
+    buckets = max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-size // (4 * _ENTRIES_PER_BUCKET)))
+    found = _scan(docs, id, text, words, bands, buckets, frequent_shingles(docs, text, words))
+
+    def join(table: pa.Table) -> pa.Table:
+        signed = table.filter(pc.is_valid(table["signatures"]))
+        rows = table.filter(pc.is_null(table["signatures"])).select(["_id", "n_shingles", "class", "sketch"])
+        rows = rows.append_column("group", pa.nulls(len(rows), pa.int64())).append_column("center", pa.nulls(len(rows), pa.binary()))
+        if not len(signed):
+            return rows
+        groups = _shared(signed)
+        for name in ("_id", "n_shingles", "sketch"):
+            groups = groups.append_column(name, pa.nulls(len(groups), rows.schema.field(name).type))
+        return pa.concat_tables([rows, groups.select(rows.column_names)])
 
-    return df.select(text).mapInArrow(run, "bucket int, signatures binary, owners binary, classes binary")
+    kind = docs.schema[id].dataType.simpleString()
+    both = cut_lineage(found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
+        join, f"_id {kind}, n_shingles bigint, class binary, sketch binary, group bigint, center binary"))
+    return (both.where(F.col("group").isNull()).select(F.col("_id").alias(id), "n_shingles", "class", "sketch"),
+            both.where(F.col("group").isNotNull()).select("group", "center", "class"))
 
 
 def _shared(table: pa.Table) -> pa.Table:
@@ -274,6 +306,46 @@ def _shared(table: pa.Table) -> pa.Table:
                      "center": named.take(pa.array(np.repeat(center, sizes))), "class": named.take(pa.array(listed))})
 
 
+def _pairs_inside(groups: DataFrame) -> DataFrame:
+    """`a` < `b`, distinct: classes of different labels that are in one group of `groups`
+    (`group`, `class`, `label`). Groups are small and dealt over buckets; a bucket gives a
+    pair once, however many of its groups hold both."""
+    buckets = max(4 * groups.sparkSession.sparkContext.defaultParallelism, -(-groups.count() // _MEMBERS_PER_BUCKET))
+
+    def pairs(table: pa.Table) -> pa.Table:
+        names = table["class"].combine_chunks().dictionary_encode()
+        listed = names.dictionary.to_pylist()
+        ranked = sorted(range(len(listed)), key=listed.__getitem__)
+        rank = np.zeros(len(listed), np.int64)
+        rank[ranked] = np.arange(len(listed))
+        member = rank[names.indices.to_numpy()]
+        label = table["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+        order = np.lexsort((member, table["group"].to_numpy()))
+        group, member, label = table["group"].to_numpy()[order], member[order], label[order]
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        sizes = np.diff(np.append(starts, len(group)))
+        found = np.zeros(0, np.int64)
+        waiting, held = [], 0
+        for size in np.unique(sizes):
+            first, second = np.triu_indices(size, 1)
+            alike = starts[sizes == size]
+            step = max(1, _PAIRS_AT_ONCE // max(len(first), 1))
+            for at in range(0, len(alike), step):
+                places = alike[at:at + step, None] + np.arange(size)
+                m, n = member[places], label[places]
+                apart = n[:, first] != n[:, second]
+                waiting.append(np.unique(m[:, first][apart] * len(listed) + m[:, second][apart]))
+                held += len(waiting[-1])
+                if held > _PAIRS_AT_ONCE:
+                    found, waiting, held = np.unique(np.concatenate([found, *waiting])), [], 0
+        found = np.unique(np.concatenate([found, *waiting]))
+        named = pa.array([listed[i] for i in ranked], pa.binary())
+        return pa.table({"a": named.take(pa.array(found // len(listed))), "b": named.take(pa.array(found % len(listed)))})
+
+    return (groups.withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
+            .groupBy("bucket").applyInArrow(pairs, "a binary, b binary").distinct())
+
+
 def _compact(elements: np.ndarray) -> bytes:
     """A set for comparing: the upper 48 bits of its hashes. Two of its shingles, or of another
     set's, share these bits with a chance of one in 10**14 a pair."""
@@ -402,7 +474,7 @@ def _labelled(df: DataFrame, labels: DataFrame, column: str, name: str) -> DataF
     return df.join(known.hint("merge"), column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, words: int,
+def linked_classes(docs: DataFrame, described: DataFrame, groups: DataFrame, id: str, text: str, words: int,
                    similarity: Fraction) -> DataFrame:
     """`node`, `label`: the classes that are linked with another, and their component.
 
@@ -410,14 +482,6 @@ def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, wo
     in the component of its center is done. In the rest, members of different components are
     compared.
     """
-    spark = docs.sparkSession
-    bands = Bands(similarity)
-    total = described.agg(F.sum("n_shingles")).first()[0] or 0
-    buckets = max(4 * spark.sparkContext.defaultParallelism, -(-total // _ENTRIES_PER_BUCKET))
-    frequent = frequent_shingles(docs, text, words)
-    packed = packed_signatures(docs, text, words, bands, buckets, frequent)
-    groups = cut_lineage(packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
-        _shared, "group bigint, center binary, class binary"))
     classes = cut_lineage(described.groupBy("class").agg(F.min(id).alias(id), F.first("n_shingles").alias("n_shingles"),
                                                          F.first("sketch").alias("sketch")))
     star = cut_lineage(groups.where(F.col("class") != F.col("center")).select(F.col("center").alias("a"), F.col("class").alias("b")).distinct())
@@ -432,6 +496,15 @@ def linked_classes(docs: DataFrame, described: DataFrame, id: str, text: str, wo
     open_groups = groups.join(_small(apart.select(F.col("a").alias("center"), F.col("b").alias("class"))), ["center", "class"],
                               "left_semi").select("group").distinct()
     groups = cut_lineage(groups.join(_small(open_groups), "group", "left_semi").select("group", "class").distinct())
+    labelled = _labelled(groups, labels, "class", "label")
+    facts = labelled.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    facts = cut_lineage(facts.where(F.col("low") != F.col("high")).select("group", "n"))
+    small = cut_lineage(labelled.join(facts.where(F.col("n") <= _SMALL_GROUP), "group", "left_semi"))
+    found = verified(_pairs_inside(small))
+    if not found.isEmpty():
+        links = cut_lineage(links.unionByName(found))
+        labels = components(links)
+    groups = groups.join(facts.where(F.col("n") > _SMALL_GROUP), "group", "left_semi")
     pivots = 64
     while True:
         labelled = _labelled(groups, labels, "class", "label")
@@ -473,10 +546,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
 
 
 def _grouped(docs: DataFrame, id: str, text: str, words: int, similarity: Fraction) -> tuple[DataFrame, DataFrame]:
-    """`describe` of all rows, and per class `first` (its smallest id) and `label` (its component)."""
-    described = cut_lineage(describe(docs, id, text, words))
+    """What `scan` says of all rows, and per class `first` (its smallest id) and `label` (its component)."""
+    described, groups = scan(docs, id, text, words, Bands(similarity))
     some = described.where(F.col("n_shingles") > 0)
-    labels = linked_classes(docs, some, id, text, words, similarity)
+    labels = linked_classes(docs, some, groups, id, text, words, similarity)
     classes = (some.groupBy("class").agg(F.min(id).alias("first"))
                .join(labels.withColumnRenamed("node", "class"), "class", "left")
                .withColumn("label", F.coalesce("label", "class")))

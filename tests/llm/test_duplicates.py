@@ -205,3 +205,21 @@ def test_scores_equal_brute_force(spark):
         want = sum(math.log(share(tuple(w[max(0, i - 2):i]), x)) for i, x in enumerate(w))
         assert got[d].n_tokens == len(w) and got[d].log_score == pytest.approx(want, abs=1e-9)
     assert lm_score.score(df.limit(0), text="body").count() == 0
+
+
+def test_sets_sign_no_more_parts_than_they_must():
+    rng = np.random.default_rng(5)
+    bands = ngram_join.Bands(Fraction(3, 4))
+    for size in (40, 300, 2000):
+        elements = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        least = sum(bands.difference(bands.band(size) + i) + 1 for i in (0, 1))
+        assert len(ngram_join.signatures(elements, bands, elements[:0])) <= least
+
+
+@pytest.mark.parametrize("small, at_once", [(256, 50), (2, 1_000_000)])
+def test_small_and_large_groups_lose_no_link(spark, monkeypatch, small, at_once):
+    monkeypatch.setattr(ngram_join, "_SMALL_GROUP", small, raising=False)
+    monkeypatch.setattr(ngram_join, "_PAIRS_AT_ONCE", at_once, raising=False)
+    docs = near_copies(random.Random(8), 200, 60, "abcdefgh")
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df).collect()} == brute_components(docs)
