@@ -11,6 +11,7 @@ nothing is shuffled, however long a document or frequent a length is.
 
 from __future__ import annotations
 
+import string
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,14 +25,14 @@ _MEMO_CHARS = 64
 _AFTER_LATIN = "\u0250"     # letters before it are composed, and lower-cased one by one
 
 
-class WordIds:
-    """Ids of a `tokenizers` file, remembered per word.
+class WordIds(dict):
+    """Ids of a `tokenizers` file (little-endian unsigned 32-bit integers), remembered per word.
 
     The tokenizer drops white space and never looks across it, so a text is cut at spaces
-    and line ends and each distinct word is tokenized once. It also never joins full stops
-    and commas to a letter or digit before them, so those are cut off first. What is left
-    is often one run of Latin letters in either case: lower-cased, it is one unit to the
-    tokenizer, which then needs to normalise and split nothing. The memos are emptied at
+    and line ends and each distinct word is tokenized once. It also never joins punctuation
+    to a letter or digit before it, so what follows the last of them is cut off first. What is
+    left is often one run of Latin letters in either case: lower-cased, it is one unit, which
+    goes to the merges of the file as its bytes are spelled there. The memo is emptied at
     `max_memo` entries, so memory does not depend on the input.
     """
 
@@ -39,78 +40,46 @@ class WordIds:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
+        super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
-        self._units = Tokenizer.from_file(path)
-        self._units.normalizer = None
-        self._units.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self._merges = self._tokenizer.model
+        spelled = ByteLevel(add_prefix_space=False, use_regex=False)
+        self._spelled = {c: spelled.pre_tokenize_str(chr(c))[0][0] for c in range(128, ord(_AFTER_LATIN)) if chr(c).isalpha()}
+        # an apostrophe may begin a unit of its own, and an added token is one whatever it holds
+        added = "".join(t.content for t in self._tokenizer.get_added_tokens_decoder().values())
+        self._ends = "".join(c for c in string.punctuation if c not in "'" + added)
         self.max_memo = max_memo
-        self._words: dict[str, bytes] = {"": b""}
-        self._parts: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        words = text.replace("\n", " ").split(" ")
-        ids = list(map(self._words.get, words))
-        if None in ids:
-            new = dict.fromkeys(w for w, known in zip(words, ids) if known is None)
-            self._learn(new)
-            ids = [new[w] if known is None else known for w, known in zip(words, ids)]
-        return b"".join(ids)
-
-    def forget(self) -> None:
-        self._words.clear()
-        self._words[""] = b""
-        self._parts.clear()
-
-    def _learn(self, new: dict[str, bytes | None]) -> None:
-        known, other, letters, cuts = self._parts, {}, {}, []
-        for word in new:
-            tail = ""
-            if word.isalpha() and word.isascii():
-                core = word.lower()
-                unknown = letters
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def __missing__(self, word: str) -> bytes:
+        core, tail = word, ""
+        if not word.isalpha():
+            core = word.rstrip(self._ends)
+            tail = word[len(core):]
+        lower = core.lower()
+        if not lower or not lower[-1].isalnum():             # a capital dotted I ends in a mark
+            ids = self._whole(word)
+        elif lower.isalpha() and (lower.isascii() or max(lower) < _AFTER_LATIN):
+            if lower == word:
+                ids = _packed([t.id for t in self._merges.tokenize(word if word.isascii() else word.translate(self._spelled))])
             else:
-                core = word.rstrip(".,")
-                lower = core.lower()
-                if core and lower[-1].isalnum():          # a capital dotted I ends in a mark
-                    tail = word[len(core):]
-                else:
-                    core = lower = word
-                if lower.isalpha() and (lower.isascii() or max(lower) < _AFTER_LATIN):
-                    core, unknown = lower, letters
-                else:
-                    unknown = other
-                if tail and tail not in known:
-                    other[tail] = None
-            if core not in known:
-                unknown[core] = None
-            cuts.append((core, tail))
-        for tokenizer, unknown in ((self._units, letters), (self._tokenizer, other)):
-            if unknown:
-                found = tokenizer.encode_batch_fast(list(unknown), add_special_tokens=False)
-                unknown.update(zip(unknown, [struct.pack(f"<{len(e)}I", *e.ids) for e in found]))
-        found = other | letters
-        if len(known) >= self.max_memo:
-            for core, tail in cuts:                       # what this text needs stays
-                for part in (core, tail):
-                    if part in known:
-                        found[part] = known[part]
-            known.clear()
-        known.update(found)
-        new.update(zip(new, [known[core] + known[tail] if tail else known[core] for core, tail in cuts]))
-        self._forget_long(known, found)
-        if len(self._words) >= self.max_memo:
-            self._words.clear()
-            self._words[""] = b""
-        self._words.update(new)
-        self._forget_long(self._words, new)
-
-    @staticmethod
-    def _forget_long(memo: dict[str, bytes], added: dict[str, bytes]) -> None:
-        if max(map(len, added), default=0) > _MEMO_CHARS:
-            for word in added:
-                if len(word) > _MEMO_CHARS:
-                    memo.pop(word, None)
+                ids = self[lower] + self[tail] if tail else self[lower]
+        else:
+            ids = self[core] + self[tail] if tail else self._whole(word)
+        if len(word) <= _MEMO_CHARS:
+            if len(self) >= self.max_memo:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def _whole(self, word: str) -> bytes:
+        return _packed(self._tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
@@ -146,7 +115,7 @@ def pieces(df: DataFrame, path: str, end_id: int | None = 1, max_length: int = 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _shared(path)
-        claim("ids", coder.forget)
+        claim("ids", coder.clear)
         for batch in batches:
             rows, starts, lengths, cut, totals = [], [], [], [], []
             for row, t in enumerate(batch.column(1)):

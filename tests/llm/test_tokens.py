@@ -118,3 +118,18 @@ def test_pack(spark):
     assert packing.pack(df.limit(0), WORDS).count() == 0 and packing.pieces(df.where("doc_id = 2"), WORDS, None).count() == 0
     with pytest.raises(ValueError):
         packing.pieces(df, WORDS, max_length=1000)
+
+
+def test_word_ids_of_words_with_punctuation_or_a_dotted_capital():
+    """A word that is one capital dotted I lost its lower case; the others are cut at their end."""
+    reference, coder = Tokenizer.from_file(WORDS), packing.WordIds(WORDS)
+    for t in ["\u0130", "X\u0130 A\u0130.", "ab%%% ab*** ab## 12%, 3!?", "a<|endoftext|>", "<|endoftext|>!", "it's! its' 's* ab'", "\u00c9T\u00c9; \u00e9t\u00e9--",
+              "a\u0301% \u00bd$ x_ _x \u0149=", "(ab) [AB] \"ab\"", "ab\u00ad% \u01c5! \u212a? \u024f"]:
+        assert coder.encode(t) == little(reference.encode(t, add_special_tokens=False).ids), t
+
+
+def test_word_memo_is_bounded():
+    coder = packing.WordIds(WORDS, max_memo=50)
+    for i in range(400):
+        coder.encode(f"w{i} W{i}. abc{'de' * i}")
+        assert len(coder) <= 50
