@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
 from tallyline.llm.packed import (
-    U, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted, word_hashes)
+    U, by_bucket, expand, expand_sorted, in_batches, mix, releasing, releasing_groups, squeeze, squeeze_sorted, word_hashes)
 from tallyline.operators.ordering import prefix_scan
 from tallyline.session import cut_lineage
 
@@ -212,11 +212,11 @@ def repeated_lines(df: DataFrame, min_words: int = 8, id: str = "doc_id", text:
             yield from _emit(chunk, buckets, min_words)
 
     packed = df.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text")).mapInArrow(
-        run, "bucket int, keys binary, owners binary, places binary, docs binary, lines binary")
+        releasing(run), "bucket int, keys binary, owners binary, places binary, docs binary, lines binary")
     # What the chunks decided stays spread; a bucket's rows meet in one task.
     salt = F.when(F.col("bucket") == _SETTLED, F.xxhash64("docs", "lines"))
     gone = (packed.withColumn("salt", salt).groupBy("bucket", "salt")
-            .applyInArrow(_join, "doc bigint, line int"))
+            .applyInArrow(releasing_groups(_join), "doc bigint, line int"))
     return (gone.groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("repeated"))
             .select(F.when(F.col("doc") != _NULL_ID, F.col("doc")).cast(df.schema[id].dataType).alias(id), "repeated"))
 

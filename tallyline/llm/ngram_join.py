@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyline.llm.packed import (
-    U, by_bucket, expand, expand_sorted, in_batches, mix, squeeze, squeeze_sorted, word_hashes)
+    U, by_bucket, expand, expand_sorted, in_batches, mix, releasing, releasing_groups, squeeze, squeeze_sorted, word_hashes)
 from tallyline.session import cut_lineage
 
 _MASK = np.uint64(0xFFFFFFFFFFFF)             # signatures are 48 bits
@@ -174,7 +174,7 @@ def frequent_shingles(df: DataFrame, text: str, words: int, every: int = 16, lea
             yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy().tobytes()], pa.binary())], ["h"])
 
     sample = df.where(F.pmod(F.xxhash64(text), F.lit(every)) == 0).select(text).distinct()
-    counted = cut_lineage(sample.mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("n"))
+    counted = cut_lineage(sample.mapInArrow(releasing(run), "h bigint").groupBy("h").agg(F.count("*").alias("n"))
                           .where(F.col("n") >= least))
     room = most
     for n, rows in sorted(counted.groupBy("n").count().collect(), reverse=True):
@@ -231,7 +231,7 @@ def _scan(df: DataFrame, id: str, text: str, words: int, bands: Bands, buckets:
 
     kind = df.schema[id].dataType.simpleString()
     return df.select(id, text).mapInArrow(
-        run, f"_id {kind}, bucket int, n_shingles bigint, class binary, sketch binary, signatures binary, owners binary, classes binary")
+        releasing(run), f"_id {kind}, bucket int, n_shingles bigint, class binary, sketch binary, signatures binary, owners binary, classes binary")
 
 
 def scan(docs: DataFrame, id: str, text: str, words: int, bands: Bands) -> tuple[DataFrame, DataFrame]:
@@ -255,7 +255,7 @@ def scan(docs: DataFrame, id: str, text: str, words: int, bands: Bands) -> tuple
 
     kind = docs.schema[id].dataType.simpleString()
     both = cut_lineage(found.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
-        join, f"_id {kind}, n_shingles bigint, class binary, sketch binary, group bigint, center binary"))
+        releasing_groups(join), f"_id {kind}, n_shingles bigint, class binary, sketch binary, group bigint, center binary"))
     return (both.where(F.col("group").isNull()).select(F.col("_id").alias(id), "n_shingles", "class", "sketch"),
             both.where(F.col("group").isNotNull()).select("group", "center", "class"))
 
@@ -343,7 +343,7 @@ def _pairs_inside(groups: DataFrame) -> DataFrame:
         return pa.table({"a": named.take(pa.array(found // len(listed))), "b": named.take(pa.array(found % len(listed)))})
 
     return (groups.withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
-            .groupBy("bucket").applyInArrow(pairs, "a binary, b binary").distinct())
+            .groupBy("bucket").applyInArrow(releasing_groups(pairs), "a binary, b binary").distinct())
 
 
 def _compact(elements: np.ndarray) -> bytes:
@@ -385,9 +385,9 @@ def _sets(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text:
 
     kinds = "a binary, salt int, b binary, elements binary"
     texts = docs.select(id, F.col(text).alias("_text")).join(wanted, id).select("class", "_text", "uses")
-    found = texts.mapInArrow(run, kinds)
+    found = texts.mapInArrow(releasing(run), kinds)
     nameless = wanted.where(F.col(id).isNull()).select("class", F.explode("uses").alias("u"))
-    again = docs.where(F.col(id).isNull()).select(text).mapInArrow(named, "class binary, elements binary")
+    again = docs.where(F.col(id).isNull()).select(text).mapInArrow(releasing(named), "class binary, elements binary")
     return found.unionByName(again.join(nameless, "class").select(
         F.coalesce("u.other", "class").alias("a"), "u.salt", F.when(F.col("u.other").isNotNull(), F.col("class")).alias("b"), "elements"))
 
@@ -412,7 +412,7 @@ def _near_enough(edges: DataFrame, classes: DataFrame, similarity: Fraction) ->
     held = centers.agg(F.coalesce(F.sum(F.length("x") + 40), F.lit(0))).first()[0]
     centers = F.broadcast(centers) if held <= _MAX_SKETCH_BYTES else centers
     return (edges.join(side("b", "n", "y").hint("merge"), "b").join(centers, "a").select("a", "b", "m", "n", "x", "y")
-            .mapInArrow(run, "a binary, b binary"))
+            .mapInArrow(releasing(run), "a binary, b binary"))
 
 
 def _links(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text: str, words: int,
@@ -437,7 +437,7 @@ def _links(docs: DataFrame, edges: DataFrame, classes: DataFrame, id: str, text:
 
     sets = _sets(docs, edges, classes, id, text, words)
     return (sets.repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
-            .select("a", "b", "elements").mapInArrow(run, "a binary, b binary").distinct())
+            .select("a", "b", "elements").mapInArrow(releasing(run), "a binary, b binary").distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -597,7 +597,7 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
 
     packed = again.select(F.struct(*docs.columns).alias("row"), F.col(id).alias("id"), F.col(text).alias("text"))
     kind = docs.schema[id].dataType.simpleString()
-    found = packed.mapInArrow(classed, f"row {packed.schema['row'].dataType.simpleString()}, id {kind}, class binary")
+    found = packed.mapInArrow(releasing(classed), f"row {packed.schema['row'].dataType.simpleString()}, id {kind}, class binary")
     lost = (F.col("class") == F.col("_class")) & F.col("id").eqNullSafe(F.col("_gone"))
     stays = found.join(gone, lost, "left_anti")
     worded = (stays.where(F.col("class").isNotNull()).groupBy("id", "class")

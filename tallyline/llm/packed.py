@@ -8,6 +8,7 @@ for each to fit a task many times over.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -48,6 +49,38 @@ def claim(name: str, forget: Callable[[], None]) -> None:
     _HELD[name] = forget
 
 
+# Where the C library keeps freed memory for itself, it can be told to give it back.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Empties all memos and gives freed memory back, so that a worker that waits holds little."""
+    while _HELD:
+        _HELD.popitem()[1]()
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def releasing(run: Callable) -> Callable:
+    """A function over batches that ends with `release`: its worker outlives it, beside the next tasks."""
+    def released(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return released
+
+
+def releasing_groups(join: Callable) -> Callable:
+    """The same for a function of one group."""
+    def released(table):
+        out = join(table)
+        release()
+        return out
+    return released
+
+
 def word_hashes(words: Iterable[bytes], n: int) -> np.ndarray:
     """The 64-bit hashes of `n` words."""
     claim("words", WORDS.clear)

@@ -19,7 +19,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyline.llm.packed import claim
+from tallyline.llm.packed import claim, releasing
 
 _MEMO_CHARS = 64
 _AFTER_LATIN = "\u0250"     # letters before it are composed, and lower-cased one by one
@@ -36,7 +36,7 @@ class WordIds(dict):
     `max_memo` entries, so memory does not depend on the input.
     """
 
-    def __init__(self, path: str, max_memo: int = 900_000):
+    def __init__(self, path: str, max_memo: int = 300_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -133,7 +133,7 @@ def pieces(df: DataFrame, path: str, end_id: int | None = 1, max_length: int = 2
                 [id, "start", "length", "ids", "doc_tokens"])
 
     kind = df.schema[id].dataType.simpleString()
-    return df.select(id, text).mapInArrow(run, f"`{id}` {kind}, {PIECE}")
+    return df.select(id, text).mapInArrow(releasing(run), f"`{id}` {kind}, {PIECE}")
 
 
 def pack(df: DataFrame, path: str, end_id: int | None = 1, max_length: int = 2048,

@@ -8,7 +8,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
-from tallyline.llm import line_dedup, lm_score, ngram_join
+from tallyline.llm import line_dedup, lm_score, ngram_join, packed
 
 
 def near_copies(rng, n, words, vocabulary):
@@ -223,3 +223,11 @@ def test_small_and_large_groups_lose_no_link(spark, monkeypatch, small, at_once)
     docs = near_copies(random.Random(8), 200, 60, "abcdefgh")
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df).collect()} == brute_components(docs)
+
+
+def test_a_finished_task_leaves_no_memo():
+    packed.word_hashes([b"a"], 1)
+    assert packed.WORDS and list(packed.releasing(iter)([1, 2])) == [1, 2]
+    assert not packed.WORDS
+    packed.word_hashes([b"a"], 1)
+    assert packed.releasing_groups(len)([1]) == 1 and not packed.WORDS
