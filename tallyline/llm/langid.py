@@ -22,6 +22,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyline.llm.packed import release, releasing, releasing_groups
+
 _BITS = 14
 _SIZE = 1 << _BITS
 _LENGTHS = 40          # powers of two of the number of n-grams of a text
@@ -188,7 +190,7 @@ def fit(training: DataFrame, id: str = "doc_id", text: str = "text", lang: str =
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(total[at], rows), pa.int64())], ["at", "n"])
 
-    counted = (known.select("text").mapInArrow(frequencies, "at int, n bigint")
+    counted = (known.select("text").mapInArrow(releasing(frequencies), "at int, n bigint")
                .groupBy("at").agg(F.sum("n").alias("n")).toPandas())
     rows = int(counted.loc[counted["at"] == -1, "n"].sum())
     df = np.zeros(_SIZE)
@@ -221,7 +223,7 @@ def fit(training: DataFrame, id: str = "doc_id", text: str = "text", lang: str =
                              "center": [c.astype("<f4").tobytes() for c in centers],
                              "least": [least.tolist()] * len(centers)})
 
-    fitted = sample.groupBy("lang").applyInPandas(cluster, "lang string, part int, center binary, least array<double>").collect()
+    fitted = sample.groupBy("lang").applyInPandas(releasing_groups(cluster), "lang string, part int, center binary, least array<double>").collect()
     fitted = sorted(fitted, key=lambda r: (r["lang"], r["part"]))
     centers = [np.frombuffer(r["center"], "<f4") for r in fitted]
     matrix = np.stack(centers, axis=1).astype(np.float64) if centers else np.zeros((_SIZE, 0))
@@ -243,6 +245,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", min_score: float =
     @F.pandas_udf("lang_pred string, score double, far boolean")
     def nearest(texts: pd.Series) -> pd.DataFrame:
         found = [shared.value.nearest(t) for t in texts]
+        release()
         return pd.DataFrame({"lang_pred": [lang if lang is not None else "und" for lang, _, _ in found],
                              "score": [score for _, score, _ in found],
                              "far": [score < max(floor, min_score) for _, score, floor in found]})
