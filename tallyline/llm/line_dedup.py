@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
 from tallyline.llm.packed import (
-    U, by_bucket, expand, expand_sorted, in_batches, mix, releasing, releasing_groups, squeeze, squeeze_sorted, word_hashes)
+    U, by_bucket, expand, expand_sorted, in_batches, in_parts, mix, releasing, releasing_groups, squeeze, squeeze_sorted, words)
 from tallyline.operators.ordering import prefix_scan
 from tallyline.session import cut_lineage
 
@@ -77,6 +77,24 @@ def neighbourhood(words: np.ndarray, words_per_line: np.ndarray, min_words: int
             np.concatenate([np.zeros(some.sum(), np.int64), place + 1]))
 
 
+def _repeated(keys: np.ndarray) -> np.ndarray:
+    """Which of the sorted keys occur more than once."""
+    same = keys[1:] == keys[:-1]
+    out = np.zeros(len(keys), bool)
+    out[1:] = same
+    out[:-1] |= same
+    return out
+
+
+def _lines(places: list[int], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts the hashes of their words, and per line the number of words, its text's place and its number."""
+    joined = b"\n".join(texts)
+    hashes, starts = words(joined)
+    ends = np.append(np.flatnonzero(np.frombuffer(joined, np.uint8) == ord("\n")), len(joined))
+    text, numbers = _positions(np.array([t.count(b"\n") + 1 for t in texts]))
+    return hashes, np.diff(np.searchsorted(starts, ends), prepend=0), np.array(places, np.int64)[text], numbers
+
+
 def _emit(chunk: list, buckets: int, min_words: int) -> Iterator[pa.RecordBatch]:
     """The rows of one chunk: what others must know, and the lines that go already."""
     words = np.concatenate([c[0] for c in chunk])
@@ -106,14 +124,17 @@ def _emit(chunk: list, buckets: int, min_words: int) -> Iterator[pa.RecordBatch]
     lines = np.flatnonzero(chosen)
     keys, owner, place = neighbourhood(words[chosen[line]], counts[lines], min_words)
     owner = lines[owner]
-    by_key = np.lexsort((rank[owner], place, keys))
+    by_key = np.argsort(keys)
     keys, owner, place = keys[by_key], owner[by_key], place[by_key]
+    shared = np.flatnonzero(_repeated(keys))          # most keys are alone
+    by_key = shared[np.lexsort((rank[owner[shared]], place[shared], keys[shared]))]
+    owner[shared], place[shared] = owner[by_key], place[by_key]
     first = np.ones(len(keys), bool)
     first[1:] = (keys[1:] != keys[:-1]) | (place[1:] != place[:-1])
     ahead = owner[np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))]
     gone[owner[(docs[owner] != docs[ahead]) | (numbers[owner] != numbers[ahead])]] = True
     keys, owner, place = keys[first], owner[first], place[first]
-    del by_key, first, ahead, line, at, prints
+    del by_key, shared, first, ahead, line, at, prints
 
     rows = []
     if gone.any():
@@ -145,10 +166,8 @@ def _join(table: pa.Table) -> pa.Table:
     keys, places, docs, numbers = map(np.concatenate, (keys, places, docs, numbers))
 
     # Only hashes with two entries or more can join.
-    order = np.argsort(keys, kind="stable")
-    same = keys[order][1:] == keys[order][:-1]
-    shared = np.zeros(len(keys), bool)
-    shared[order[1:][same]] = shared[order[:-1][same]] = True
+    order = np.argsort(keys)
+    shared = order[_repeated(keys[order])]
     keys, places, docs, numbers = keys[shared], places[shared], docs[shared], numbers[shared]
     order = np.lexsort((numbers, docs, places, keys))
     keys, places, docs, numbers = keys[order], places[order], docs[order], numbers[order]
@@ -194,17 +213,11 @@ def repeated_lines(df: DataFrame, min_words: int = 8, id: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held = [], 0
         for batch in batches:
-            for doc, t in zip(batch.column(0), batch.column(1)):
-                t = t.as_py()
-                if not t:
-                    continue
-                lines = [line.split() for line in t.encode("utf-8", "surrogatepass").lower().split(b"\n")]
-                counts = np.fromiter(map(len, lines), np.int64, len(lines))
-                hashes = word_hashes((w for line in lines for w in line), int(counts.sum()))
-                place = doc.as_py()
-                chunk.append((hashes, counts, np.full(len(lines), _NULL_ID if place is None else place, np.int64),
-                              np.arange(len(lines))))
-                held += len(hashes) + len(lines)
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            places = iter([_NULL_ID if p is None else p for p, t in zip(batch.column(0).to_pylist(), texts) if t])
+            for part in in_parts(t for t in texts if t):
+                chunk.append(_lines([next(places) for _ in part], part))
+                held += len(chunk[-1][0]) + len(chunk[-1][1])
                 if held >= _WORDS_PER_CHUNK:
                     yield from _emit(chunk, buckets, min_words)
                     chunk, held = [], 0

@@ -87,6 +87,56 @@ def word_hashes(words: Iterable[bytes], n: int) -> np.ndarray:
     return np.fromiter(map(WORDS.__getitem__, words), np.uint64, n)
 
 
+_SPACES = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_SHORT_WORD = 32
+
+
+def words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes and first bytes of the words of a text, in its order.
+
+    Words end at ASCII white space; ASCII case does not count. Eight bytes of all words are
+    mixed in at a time; the few long words are hashed one by one.
+    """
+    size = len(text)
+    text = text.lower() + bytes(8)
+    outside = np.ones(size + 2, bool)
+    outside[1:-1] = _SPACES[np.frombuffer(text, np.uint8)[:size]]
+    edges = np.flatnonzero(outside[1:] != outside[:-1])
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(size + 1, "<u8", text, strides=(1,))        # the eight bytes from each place on
+    out = mix(mix(lengths.astype(np.uint64)) ^ (eight[starts] & _FIRST_BYTES[np.minimum(lengths, 8)]))
+    long = lengths > _SHORT_WORD
+    at = np.flatnonzero((lengths > 8) & ~long)
+    for done in range(8, _SHORT_WORD, 8):
+        left = lengths[at] - done
+        out[at] = mix(out[at] * U(0x9E3779B97F4A7C15) + (eight[starts[at] + done] & _FIRST_BYTES[np.minimum(left, 8)]))
+        at = at[left > 8]
+    if long.any():
+        out[long] = word_hashes((text[b:b + n] for b, n in zip(starts[long].tolist(), lengths[long].tolist())), int(long.sum()))
+    return out, starts
+
+
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of all texts, and the number of words of each."""
+    hashes, starts = words(b"\n".join(texts))
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return hashes, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+def in_parts(texts: Iterable[bytes], size: int = 1 << 18) -> Iterator[list[bytes]]:
+    """The texts in lists of about `size` bytes."""
+    part, held = [], 0
+    for text in texts:
+        part.append(text)
+        held += len(text) + 1
+        if held >= size:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective mixing of unsigned 64-bit integers (splitmix64 finaliser)."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -115,9 +165,10 @@ def expand_sorted(data: bytes, kind: type) -> np.ndarray:
 def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(bucket, positions of its keys in ascending order, the keys without the bucket) for
     each bucket that has any."""
-    bucket = (keys % U(buckets)).astype(np.int64)
-    order = np.lexsort((keys, bucket))
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    order = np.argsort(keys)
+    bucket = (keys[order] % U(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)   # radix sort of 16 bits
+    order = order[np.argsort(bucket, kind="stable")]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
     for b in np.flatnonzero(np.diff(ends)):
         at = order[ends[b]:ends[b + 1]]
         yield int(b), at, keys[at] // U(buckets)

@@ -231,3 +231,28 @@ def test_a_finished_task_leaves_no_memo():
     assert not packed.WORDS
     packed.word_hashes([b"a"], 1)
     assert packed.releasing_groups(len)([1]) == 1 and not packed.WORDS
+
+
+def test_words_of_a_text_are_hashed_without_a_call_a_word(monkeypatch):
+    """Short words, nearly all, are no Python objects; equal words and only they have equal hashes."""
+    rng = random.Random(5)
+    letters = [b"a", b"B", b"\xc3\xa9", b"\x00", b"z", b" ", b"\n", b"\x0b", b"\xff"]
+    text = b"".join(rng.choice(letters) for _ in range(4000)) + b" " + b"x" * 33 + b" " + b"X" * 33 + b" y" + b"x" * 33
+    asked = []
+    known = packed.word_hashes
+    monkeypatch.setattr(packed, "word_hashes", lambda words, n: known(asked.extend(words) or asked, n))
+    hashes, starts = packed.words(text)
+    split = text.lower().split()
+    assert [text[s:s + len(w)].lower() for s, w in zip(starts.tolist(), split)] == split and len(split) == len(hashes)
+    assert len(set(hashes.tolist())) == len(set(zip(hashes.tolist(), split))) == len(set(split))
+    assert asked == [w for w in split if len(w) > 32]
+    for empty in (b"", b" \t\r\n"):
+        assert not len(packed.words(empty)[0])
+    assert [list(x) for x in packed.words_of([b"", b"a b", b" ", b"c"])[1:]] == [[0, 2, 0, 1]]
+
+
+def test_lines_of_joined_texts_keep_their_places():
+    texts = [b"a b\n\nc", b"\n", b"d"]
+    hashes, counts, places, numbers = line_dedup._lines([7, 3, 9], texts)
+    assert list(counts) == [2, 0, 1, 0, 0, 1] and list(places) == [7, 7, 7, 3, 3, 9] and list(numbers) == [0, 1, 2, 0, 1, 0]
+    assert list(hashes) == list(packed.words(b"a b c d")[0])
