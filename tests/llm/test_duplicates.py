@@ -256,3 +256,19 @@ def test_lines_of_joined_texts_keep_their_places():
     hashes, counts, places, numbers = line_dedup._lines([7, 3, 9], texts)
     assert list(counts) == [2, 0, 1, 0, 0, 1] and list(places) == [7, 7, 7, 3, 3, 9] and list(numbers) == [0, 1, 2, 0, 1, 0]
     assert list(hashes) == list(packed.words(b"a b c d")[0])
+
+
+def test_one_sort_finds_what_other_texts_hold():
+    rng = random.Random(9)
+    texts = [None, b"", b"one"] + [" ".join(rng.choices("abcd", k=rng.randrange(12))).encode() for _ in range(40)]
+    counts, keys = lm_score.ngrams(texts, 3)
+    distinct, totals = lm_score._distinct(keys)
+    split = [(t or b"").split() for t in texts]
+    held = [[collections.Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) for w in split] for n in (1, 2, 3)]
+    others = lm_score._others(counts, keys, totals.astype(np.uint64))
+    for n, (found, per_text) in enumerate(zip(others, held), 1):
+        everywhere = sum(per_text, collections.Counter())
+        expected = [everywhere[g] - own[g] if len(g := tuple(w[max(i - n + 1, 0):i + 1])) == n else 0
+                    for w, own in zip(split, per_text) for i in range(len(w))]
+        assert list(found) == expected
+    assert list(counts) == [len(w) for w in split] and len(distinct) == 1 + sum(len(sum(h, collections.Counter())) for h in held)
