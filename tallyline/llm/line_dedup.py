@@ -18,7 +18,7 @@ chunk of documents sends no more than that, and a task never holds a group of co
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
 from tallyline.llm.packed import (
-    U, by_bucket, expand, expand_sorted, in_batches, in_parts, mix, releasing, releasing_groups, squeeze, squeeze_sorted, words)
+    U, by_bucket, expand, expand_sorted, in_batches, mix, releasing, releasing_groups, squeeze, squeeze_sorted, words)
 from tallyline.operators.ordering import prefix_scan
 from tallyline.session import cut_lineage
 
@@ -36,6 +36,7 @@ _EXACT_ONLY = U(0x5851F42D4C957F2D)
 _WHOLE = 0                                          # place of a whole line; others count from 1
 _WORDS_PER_CHUNK = 900_000
 _WORDS_PER_BUCKET = 1_000_000
+_ROWS_AT_ONCE = 64
 _NULL_ID = -(1 << 63)
 _SETTLED = -1                                       # bucket of lines that a chunk itself decides
 
@@ -45,9 +46,9 @@ _SCHEMA = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("owners", p
 
 def _positions(words_per_line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each word its line and its place in it, from 0."""
-    line = np.repeat(np.arange(len(words_per_line)), words_per_line)
-    starts = np.cumsum(words_per_line) - words_per_line
-    return line, np.arange(len(line)) - starts[line]
+    line = np.repeat(np.arange(len(words_per_line), dtype=np.int32), words_per_line)
+    starts = (np.cumsum(words_per_line) - words_per_line).astype(np.int32)
+    return line, np.arange(len(line), dtype=np.int32) - starts[line]
 
 
 def neighbourhood(words: np.ndarray, words_per_line: np.ndarray, min_words: int
@@ -59,7 +60,8 @@ def neighbourhood(words: np.ndarray, words_per_line: np.ndarray, min_words: int
     """
     line, at = _positions(words_per_line)
     powers = np.cumprod(np.concatenate([[U(1)], np.full(int(words_per_line.max(initial=1)), _BASE)]), dtype=np.uint64)
-    terms = words * powers[at]
+    terms = powers[at]
+    terms *= words
     through = np.cumsum(terms, dtype=np.uint64)
     ends = np.cumsum(words_per_line)
     before_line = np.concatenate([[U(0)], through])[ends - words_per_line]
@@ -70,11 +72,16 @@ def neighbourhood(words: np.ndarray, words_per_line: np.ndarray, min_words: int
     long_enough = words_per_line[line] >= min_words
     of, place = line[long_enough], at[long_enough]
     upto = through[long_enough] - before_line[of]
-    left_out = (upto - terms[long_enough]) + (whole[of] - upto) * _INVERSE
-    variants = mix(left_out + mix(lengths[of] - U(1)))
+    del line, at, through
+    variants = (whole[of] - upto) * _INVERSE
+    upto -= terms[long_enough]
+    variants += upto
+    del upto, terms
+    variants += mix(lengths - U(1))[of]
+    variants = mix(variants)
     some = words_per_line > 0
-    return (np.concatenate([keys[some], variants]), np.concatenate([np.flatnonzero(some), of]),
-            np.concatenate([np.zeros(some.sum(), np.int64), place + 1]))
+    return (np.concatenate([keys[some], variants]), np.concatenate([np.flatnonzero(some).astype(np.int32), of]),
+            np.concatenate([np.zeros(some.sum(), np.int32), place + 1]))
 
 
 def _repeated(keys: np.ndarray) -> np.ndarray:
@@ -86,7 +93,7 @@ def _repeated(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _lines(places: list[int], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _lines(places: Sequence[int], texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of texts the hashes of their words, and per line the number of words, its text's place and its number."""
     joined = b"\n".join(texts)
     hashes, starts = words(joined)
@@ -101,6 +108,7 @@ def _emit(chunk: list, buckets: int, min_words: int) -> Iterator[pa.RecordBatch]
     counts = np.concatenate([c[1] for c in chunk])
     docs = np.concatenate([c[2] for c in chunk])
     numbers = np.concatenate([c[3] for c in chunk])
+    chunk.clear()                                    # or everything would be held twice
     order = np.lexsort((numbers, docs))              # lines by standing
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
@@ -108,7 +116,8 @@ def _emit(chunk: list, buckets: int, min_words: int) -> Iterator[pa.RecordBatch]
     # Of equal lines only the earliest has a neighbourhood.
     line, at = _positions(counts)
     starts = np.cumsum(counts) - counts
-    prints = np.add.reduceat(mix(words + mix(at.astype(np.uint64))), starts[counts > 0]) if len(words) else words
+    prints = np.add.reduceat(mix(words + mix(np.arange(counts.max(initial=1), dtype=np.uint64))[at]), starts[counts > 0]) if len(words) else words
+    del at
     filled = np.flatnonzero(counts > 0)
     by_print = np.lexsort((rank[filled], prints))
     fresh = np.ones(len(filled), bool)
@@ -122,8 +131,10 @@ def _emit(chunk: list, buckets: int, min_words: int) -> Iterator[pa.RecordBatch]
     chosen = np.zeros(len(counts), bool)
     chosen[earliest] = True
     lines = np.flatnonzero(chosen)
-    keys, owner, place = neighbourhood(words[chosen[line]], counts[lines], min_words)
-    owner = lines[owner]
+    words = words[chosen[line]]
+    del line
+    keys, owner, place = neighbourhood(words, counts[lines], min_words)
+    owner = lines.astype(np.int32)[owner]
     by_key = np.argsort(keys)
     keys, owner, place = keys[by_key], owner[by_key], place[by_key]
     shared = np.flatnonzero(_repeated(keys))          # most keys are alone
@@ -134,7 +145,7 @@ def _emit(chunk: list, buckets: int, min_words: int) -> Iterator[pa.RecordBatch]
     ahead = owner[np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))]
     gone[owner[(docs[owner] != docs[ahead]) | (numbers[owner] != numbers[ahead])]] = True
     keys, owner, place = keys[first], owner[first], place[first]
-    del by_key, shared, first, ahead, line, at, prints
+    del by_key, shared, first, ahead, prints, words
 
     rows = []
     if gone.any():
@@ -156,19 +167,21 @@ def _join(table: pa.Table) -> pa.Table:
         docs = np.concatenate([expand(r["docs"], np.int64) for r in rows])
         numbers = np.concatenate([expand(r["lines"], np.uint32) for r in rows])
         return pa.table({"doc": docs, "line": numbers.astype(np.int32)})
-    keys, places, docs, numbers = [], [], [], []
-    for r in rows:
-        owner = expand(r["owners"], np.uint32)
-        keys.append(expand_sorted(r["keys"], np.uint64))
-        places.append(expand(r["places"], np.uint32))
-        docs.append(expand_sorted(r["docs"], np.int64)[owner])
-        numbers.append(expand(r["lines"], np.uint32)[owner])
-    keys, places, docs, numbers = map(np.concatenate, (keys, places, docs, numbers))
+    keys = np.concatenate([expand_sorted(r["keys"], np.uint64) for r in rows])
+    owners = [expand(r["owners"], np.uint32) for r in rows]
+    places = np.concatenate([expand(r["places"], np.uint32) for r in rows])
+    docs = [expand_sorted(r["docs"], np.int64) for r in rows]
+    numbers = [expand(r["lines"], np.uint32) for r in rows]
 
     # Only hashes with two entries or more can join.
     order = np.argsort(keys)
     shared = order[_repeated(keys[order])]
-    keys, places, docs, numbers = keys[shared], places[shared], docs[shared], numbers[shared]
+    keys, places = keys[shared], places[shared]
+    # only their lines are looked up
+    first = np.cumsum([0] + [len(d) for d in docs[:-1]])
+    line = np.concatenate([o + np.uint32(f) for o, f in zip(owners, first)])[shared]
+    docs, numbers = np.concatenate(docs)[line], np.concatenate(numbers)[line]
+    del owners, line
     order = np.lexsort((numbers, docs, places, keys))
     keys, places, docs, numbers = keys[order], places[order], docs[order], numbers[order]
     n = len(keys)
@@ -213,10 +226,13 @@ def repeated_lines(df: DataFrame, min_words: int = 8, id: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held = [], 0
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            places = iter([_NULL_ID if p is None else p for p, t in zip(batch.column(0).to_pylist(), texts) if t])
-            for part in in_parts(t for t in texts if t):
-                chunk.append(_lines([next(places) for _ in part], part))
+            for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                piece = batch.slice(at, _ROWS_AT_ONCE)
+                listed = [(_NULL_ID if p is None else p, t) for p, t in
+                          zip(piece.column(0).to_pylist(), piece.column(1).cast(pa.binary()).to_pylist()) if t]
+                if not listed:
+                    continue
+                chunk.append(_lines(*zip(*listed)))
                 held += len(chunk[-1][0]) + len(chunk[-1][1])
                 if held >= _WORDS_PER_CHUNK:
                     yield from _emit(chunk, buckets, min_words)

@@ -272,3 +272,12 @@ def test_one_sort_finds_what_other_texts_hold():
                     for w, own in zip(split, per_text) for i in range(len(w))]
         assert list(found) == expected
     assert list(counts) == [len(w) for w in split] and len(distinct) == 1 + sum(len(sum(h, collections.Counter())) for h in held)
+
+
+def test_a_chunk_of_lines_is_not_held_twice():
+    hashes, counts = np.arange(1, 31, dtype=np.uint64), np.full(3, 10)
+    chunk = [(hashes, counts, np.zeros(3, np.int64), np.arange(3))]
+    rows = list(line_dedup._emit(chunk, 50, 8))
+    assert not chunk and sum(r.num_rows for r in rows)
+    keys, line, place = line_dedup.neighbourhood(hashes, counts, 8)
+    assert len(keys) == 33 and line.itemsize == place.itemsize == 4
