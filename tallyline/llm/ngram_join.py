@@ -45,9 +45,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyline.llm.packed import (
-    U, by_bucket, expand, expand_sorted, in_batches, mix, releasing, releasing_groups, squeeze, squeeze_sorted, word_hashes)
+    U, by_bucket, expand, expand_sorted, in_batches, mix, releasing, releasing_groups, squeeze, squeeze_sorted, words as word_hashes)
 from tallyline.session import cut_lineage
 
+_BASE = U(0x9E3779B97F4A7C15)
 _MASK = np.uint64(0xFFFFFFFFFFFF)             # signatures are 48 bits
 _ENTRIES_PER_CHUNK = 1_000_000
 _ENTRIES_PER_BUCKET = 2_000_000
@@ -66,16 +67,18 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     ASCII letters are lower-cased and words end at ASCII white space. With fewer words the
     whole sequence is the only shingle; without words there is none.
     """
-    found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not found:
+    hashes, _ = word_hashes(text.encode("utf-8", "surrogatepass") if text else b"")
+    if not len(hashes):
         return np.zeros(0, np.uint64)
-    hashes = word_hashes(found, len(found))
-    width = min(words, len(found))
+    width = min(words, len(hashes))
     n = len(hashes) - width + 1
     out = np.zeros(n, np.uint64)
     for i in range(width):
-        out = mix(out + hashes[i:i + n] + U(0x9E3779B97F4A7C15))
-    return np.unique(out)
+        out = out * _BASE + hashes[i:i + n]
+    out = np.sort(mix(out + U(width)))
+    fresh = np.ones(n, bool)
+    fresh[1:] = out[1:] != out[:-1]
+    return out[fresh]
 
 
 class Bands:
