@@ -281,3 +281,10 @@ def test_a_chunk_of_lines_is_not_held_twice():
     assert not chunk and sum(r.num_rows for r in rows)
     keys, line, place = line_dedup.neighbourhood(hashes, counts, 8)
     assert len(keys) == 33 and line.itemsize == place.itemsize == 4
+
+
+def test_shingles_need_no_memo_of_words():
+    packed.WORDS.clear()
+    a, b, c = (ngram_join.shingles(t, 5) for t in ("One two three four five six", " one\ttwo three four FIVE\nsix ", "one two three four six five"))
+    assert not packed.WORDS and len(a) == 2 and list(a) == list(b) and not set(a.tolist()) & set(c.tolist())
+    assert len(ngram_join.shingles("a " * 40, 5)) == 1 and len(ngram_join.shingles("a b", 5)) == 1 and not len(ngram_join.shingles(" \n", 5))
