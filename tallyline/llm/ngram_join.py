@@ -7,29 +7,28 @@ the difference. An instance divides the domain of shingles into more than k part
 least one part has no difference: with the hash of each of its parts (here one subset is
 enumerated per part) as signatures, similar sets share one.
 
-How the domain is divided is free. Shingles that a sample of the documents shows to be
-frequent (of passages that many documents share) make a part of their own that is not
-signed; the others are dealt at random. So a signature holds a shingle that is not frequent,
-and few sets share it by chance. The sample only decides where a shingle lies; no result
-depends on it.
-
-A part without elements has no signature either. There are more parts than needed, and two
-sets miss each other only if both have too many empty parts; such sets are signed again with
-all their shingles dealt out, and if that is still too little, by each single shingle. Where
-fewer parts are empty than may be, similar sets share as many signatures more as parts are
-left over, so each set leaves that many of its last parts unsigned.
-
-One scan makes both the description and the signatures of a text.
+How the domain is divided is free, and which parts are signed too, as long as all sets rank
+them alike. There are many more parts than the bound k, so a part holds few shingles. Two similar
+sets have different hashes in at most k parts, so of the parts of each that are not empty, ranked by
+how few sets hold their rarest shingle, the first k + 1 are enough: the first part that both
+have is among them. How many sets hold a shingle is counted over all texts, by a hash of 40 bits; where hashes
+meet, a count is too high, which costs a candidate and never a link. A shingle that one set alone holds
+differs from every other set, so a part with one is not sent, and a set with more of them than
+similar sets may differ in sends nothing: most texts of a corpus that are near to no other.
+A set with no more than k parts that are not empty is signed by each single shingle besides.
+
+Texts are dealt into chunks. A chunk asks for the counts of its shingles, which come back to it
+packed in the order in which it asked; then the texts are described and signed.
 
 Signatures travel packed by hash bucket, sorted and compressed, because most occur once.
 Sets that share one are candidates. Equal sets are one class throughout, and candidate
 groups are not expanded into all pairs: the members of a group are compared with its center,
 the one that shares most signatures, linked ones are merged, and a group that is one component
-is done. In the rest, small groups are compared pair by pair, each pair once; in large ones, each
-round compares members with the first ones of other components;
-those that were compared with the whole group leave it. It ends when no group has two
-components left, so no link is lost. Before two sets are compared in full, counts of their shingles in a few
-hash cells bound their difference from below, which settles nearly all unlike pairs.
+is done. In the rest, members of different components are compared pair by pair inside tasks: small
+groups whole, large ones, those with most members in one component together, in blocks of members. All such pairs are
+looked at, so no link is lost. A task gives only pairs that may be similar: whether the numbers of their shingles
+in a few hash cells are odd bounds the difference from below, which settles nearly all unlike pairs. These go on to be
+compared in full.
 """
 
 from __future__ import annotations
@@ -42,23 +41,28 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyline.llm.packed import (
-    U, by_bucket, expand, expand_sorted, in_batches, mix, releasing, releasing_groups, squeeze, squeeze_sorted, words as word_hashes)
+    U, by_bucket, expand, expand_sorted, in_batches, mix, release, releasing, releasing_groups, squeeze, squeeze_sorted, words as word_hashes)
 from tallyline.session import cut_lineage
 
 _BASE = U(0x9E3779B97F4A7C15)
 _MASK = np.uint64(0xFFFFFFFFFFFF)             # signatures are 48 bits
-_ENTRIES_PER_CHUNK = 1_000_000
+_BYTES_PER_CHUNK = 7_000_000
+_KEY_BITS = 40                                # of the hashes by which shingles are counted
 _ENTRIES_PER_BUCKET = 2_000_000
 _CLASS_BYTES = 12
+_PARTS = 8                                    # for each difference that similar sets may have
 _MAX_BROADCAST = 300_000
 _MAX_SKETCH_BYTES = 16_000_000
 _EDGES_PER_SALT = 10_000
+_MAX_SKETCH_BITS = 17
 _SMALL_GROUP = 256
-_MEMBERS_PER_BUCKET = 250_000
-_PAIRS_AT_ONCE = 1_000_000
+_MEMBERS_PER_BUCKET = 100_000
+_LEAST_BLOCK = 256
+_BLOCK = 4096
+_PAIRS_AT_ONCE = 500_000
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -97,48 +101,51 @@ class Bands:
         """Instance i compares sets of the bands i-1 and i."""
         return int((1 - self.similarity) / (1 + self.similarity) * 2 * (self.starts[instance + 1] - 1))
 
-    def parts(self, instance: int) -> tuple[int, int]:
-        """(number of parts, how many of them a set may have empty)."""
-        least = self.difference(instance) + 1
-        spare = -(-least // 2) + 1
-        return least + spare, spare
+    def parts(self, instance: int) -> int:
+        return _PARTS * (self.difference(instance) + 1)
 
 
-def _part_hashes(elements: np.ndarray, parts: int, seed: np.uint64) -> np.ndarray:
-    """A hash of the elements of each part that has any."""
+def _part_hashes(elements: np.ndarray, held: np.ndarray, parts: int, seed: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Of each part that has elements their hash, and the least of their counts."""
     dealt = mix(elements ^ seed)
     value = mix(dealt + seed)
     part = (dealt % U(parts)).astype(np.int64)
     low = np.bincount(part, value & U(0xFFFFFFFF), parts).astype(np.uint64)
     high = np.bincount(part, value >> U(32), parts).astype(np.uint64)
-    filled = np.flatnonzero(np.bincount(part, minlength=parts))
-    return mix(mix((low + (high << U(32)))[filled] ^ seed) + filled.astype(np.uint64))
-
-
-def signatures(elements: np.ndarray, bands: Bands, frequent: np.ndarray) -> np.ndarray:
-    """The 48-bit signatures of a set of shingle hashes; `frequent` is sorted."""
-    if not len(elements):
+    least = np.full(parts, np.iinfo(np.int64).max)
+    np.minimum.at(least, part, held)
+    filled = np.flatnonzero(least < np.iinfo(np.int64).max)
+    return mix(mix((low + (high << U(32)))[filled] ^ seed) + filled.astype(np.uint64)), least[filled]
+
+
+def signatures(elements: np.ndarray, bands: Bands, frequent: np.ndarray | None = None, held: np.ndarray | None = None) -> np.ndarray:
+    """The 48-bit signatures of a set of shingle hashes.
+
+    `held` says of each element how many sets hold it, at least, or what ranks them alike for
+    all sets; 1 is for one that no other set holds. Without it, those in the sorted array
+    `frequent` come last."""
+    size = len(elements)
+    if held is None:
+        held = np.full(size, 2)
+        if size and frequent is not None and len(frequent):
+            held += frequent[np.minimum(np.searchsorted(frequent, elements), len(frequent) - 1)] == elements
+    alone = int(np.count_nonzero(held == 1))
+    # similar sets have at least this share of either in common
+    if not size or alone > int((1 - bands.similarity) * size):
         return np.zeros(0, np.uint64)
-    out = []
-    rare = elements
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, elements), len(frequent) - 1)
-        rare = elements[frequent[at] != elements]
-    for instance in (bands.band(len(elements)), bands.band(len(elements)) + 1):
-        if bands.difference(instance) == 0:   # only equal sets are similar
+    out = [np.zeros(0, np.uint64)]
+    for instance in (bands.band(size), bands.band(size) + 1):
+        # the union with a similar set is at most size / similarity
+        most = min(bands.difference(instance), int((1 - bands.similarity) / bands.similarity * size))
+        if most == 0:                         # only equal sets are similar
             continue
-        parts, spare = bands.parts(instance)
-        for tier, dealt in enumerate((rare, elements, None)):
-            seed = mix(np.array([3 * instance + tier + 1], np.uint64))[0]
-            if dealt is None:
-                out.append(mix(mix(elements + seed) ^ seed))
-                break
-            signed = _part_hashes(dealt, parts, seed)
-            left = spare - (parts - len(signed))   # so many parts less still share one
-            out.append(signed[:len(signed) - max(left, 0)])
-            if left >= 0:
-                break
-    return np.unique(np.concatenate(out) & _MASK) if out else np.zeros(0, np.uint64)
+        seed = mix(np.array([2 * instance + 1, 2 * instance + 2], np.uint64))
+        signed, least = _part_hashes(elements, held, bands.parts(instance), seed[0])
+        first = np.lexsort((signed, least))[:most + 1]
+        out.append(signed[first[least[first] > 1]])
+        if len(signed) <= most:
+            out.append(mix(mix(elements[held > 1] + seed[1]) ^ seed[1]))
+    return np.unique(np.concatenate(out) & _MASK)
 
 
 def _class(elements: np.ndarray) -> bytes:
@@ -146,104 +153,158 @@ def _class(elements: np.ndarray) -> bytes:
 
 
 def sketch(elements: np.ndarray) -> bytes:
-    """Counts (up to 255) of the elements by their top bits, in a power of two of cells."""
-    cells = max(6, (len(elements) // 4).bit_length())
-    counts = np.bincount((elements >> U(64 - cells)).astype(np.int64), minlength=1 << cells)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    """A bit for each of a power of two of hash cells: whether the number of its elements is odd."""
+    cells = 1 << min(max(9, (4 * len(elements)).bit_length()), _MAX_SKETCH_BITS)
+    counts = np.bincount((elements & U(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(cells: np.ndarray, n: int) -> np.ndarray:
+    """Sketches, one a row, as if they had been made with `n` times 64 cells."""
+    return np.bitwise_xor.reduce(cells.reshape(len(cells), -1, n), axis=1)
 
 
 def _least_difference(a: bytes, b: bytes) -> int:
     """No more than the number of elements that only one of two sets has."""
-    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
-    if len(x) != len(y):                       # a full cell has lost its count
-        if max(x.max(), y.max()) == 255:
-            return 0
-        n = min(len(x), len(y))
-        x, y = x.reshape(n, -1).sum(axis=1), y.reshape(n, -1).sum(axis=1)
-    return int(np.abs(x - y).sum())
-
-
-def frequent_shingles(df: DataFrame, text: str, words: int, every: int = 16, least: int = 3,
-                      most: int = 1_000_000) -> np.ndarray:
-    """Sorted hashes of the shingles that `least` or more of a sample of the distinct texts
-    hold (one in `every`, by hash); where these are more than `most`, the bound is raised."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(t.as_py(), words).view(np.int64))], ["h"])
+    x, y = np.frombuffer(a, np.uint64)[None], np.frombuffer(b, np.uint64)[None]
+    n = min(x.size, y.size)
+    return int(np.bitwise_count(_folded(x, n) ^ _folded(y, n)).sum())
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy().tobytes()], pa.binary())], ["h"])
-
-    sample = df.where(F.pmod(F.xxhash64(text), F.lit(every)) == 0).select(text).distinct()
-    counted = cut_lineage(sample.mapInArrow(releasing(run), "h bigint").groupBy("h").agg(F.count("*").alias("n"))
-                          .where(F.col("n") >= least))
-    room = most
-    for n, rows in sorted(counted.groupBy("n").count().collect(), reverse=True):
-        room -= rows
-        if room < 0:
-            least = n + 1
-            break
-    packed = counted.where(F.col("n") >= least).select("h").mapInArrow(join, "h binary").collect()
-    return np.sort(np.frombuffer(b"".join(row["h"] for row in packed), np.uint64))
-
-
-def _scan(df: DataFrame, id: str, text: str, words: int, bands: Bands, buckets: int, frequent: np.ndarray) -> DataFrame:
+
+def _possible(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, sketches: list[bytes], similarity: Fraction) -> np.ndarray:
+    """Which pairs (`first`, `second`) of sets are not ruled out by their sizes and sketches."""
+    num, den = similarity.numerator, similarity.denominator
+    kept = den * np.minimum(sizes[first], sizes[second]) >= num * np.maximum(sizes[first], sizes[second])
+    lengths = np.array([len(x) // 8 for x in sketches], np.int64)
+    place, cells = np.zeros(len(sketches), np.int64), {}
+    for n in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == n)
+        place[at] = np.arange(len(at))
+        cells[n] = np.frombuffer(b"".join(sketches[i] for i in at), np.uint64).reshape(-1, n)
+    at = np.flatnonzero(kept)
+    both = np.column_stack([lengths[first[at]], lengths[second[at]]])
+    for m, n in np.unique(both, axis=0).tolist():
+        alike = at[(both == (m, n)).all(axis=1)]
+        step = max(1, 500_000 // max(m, n))
+        for i in range(0, len(alike), step):
+            part = alike[i:i + step]
+            a, b, least = first[part], second[part], min(m, n)
+            differ = np.bitwise_count(_folded(cells[m][place[a]], least) ^ _folded(cells[n][place[b]], least)).sum(axis=1, dtype=np.int64)
+            kept[part] = (den + num) * differ <= (den - num) * (sizes[a] + sizes[b])
+    return kept
+
+
+def _keys(sets: list[np.ndarray]) -> np.ndarray:
+    """The hashes by which the elements of all sets are counted."""
+    return np.concatenate([np.zeros(0, np.uint64), *sets]) >> U(64 - _KEY_BITS)
+
+
+def _classes(texts: pa.ChunkedArray, words: int) -> tuple[list[bytes], dict[bytes, np.ndarray]]:
+    """The class of each text, and the distinct sets by class."""
+    names, sets = [], {}
+    for t in texts:
+        elements = shingles(t.as_py(), words)
+        names.append(_class(elements))
+        sets.setdefault(names[-1], elements)
+    return names, sets
+
+
+def _ask(table: pa.Table, words: int, buckets: int) -> pa.Table:
+    """Per bucket the keys of a chunk, and how many of its sets hold each."""
+    distinct, counts = np.unique(_keys(list(_classes(table["text"], words)[1].values())), return_counts=True)
+    rows = [(bucket, squeeze_sorted(rest), squeeze(counts[at].astype(np.uint32))) for bucket, at, rest in by_bucket(distinct, buckets)]
+    found = list(zip(*rows)) or [(), (), ()]
+    return pa.table({"bucket": pa.array(found[0], pa.int32()), "chunk": pa.array([table["chunk"][0].as_py()] * len(rows), pa.int32()),
+                     "keys": pa.array(found[1], pa.binary()), "counts": pa.array(found[2], pa.binary())})
+
+
+def _levels(totals: np.ndarray) -> np.ndarray:
+    """A byte that grows with a count: up to 100 the count, then ten steps each time it doubles."""
+    return np.where(totals <= 100, totals, np.minimum(100 + 10 * np.log2(np.maximum(totals, 100) / 100), 255)).astype(np.uint8)
+
+
+def _count(table: pa.Table) -> pa.Table:
+    """The levels of the sums over all chunks, in the order in which each chunk asked."""
+    asked = [expand_sorted(k, np.uint64) for k in table["keys"].to_pylist()]
+    counts = np.concatenate([expand(c, np.uint32) for c in table["counts"].to_pylist()])
+    keys = np.concatenate(asked)
+    order = np.argsort(keys)
+    ranked = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    levels = np.empty(len(keys), np.uint8)
+    levels[order] = np.repeat(_levels(np.add.reduceat(counts[order].astype(np.int64), starts)), np.diff(np.append(starts, len(keys))))
+    ends = np.cumsum([len(a) for a in asked])
+    return pa.table({"bucket": table["bucket"], "chunk": table["chunk"],
+                     "levels": pa.array([squeeze(x) for x in np.split(levels, ends[:-1])], pa.binary())})
+
+
+def _sign(table: pa.Table, replies: pa.Table, words: int, bands: Bands, buckets: int) -> pa.Table:
     """Rows of two kinds, dealt over `bucket`: `_id`, `n_shingles`, `class` (96-bit hash of the
     set), `sketch` of each row; and the signatures of a chunk of texts that fall into the
     bucket, with their classes."""
-    fields = [("bucket", pa.int32()), ("n_shingles", pa.int64()), ("class", pa.binary()), ("sketch", pa.binary()),
-              ("signatures", pa.binary()), ("owners", pa.binary()), ("classes", pa.binary())]
-
-    def rows(kind: pa.DataType, n: int, **columns: pa.Array) -> pa.RecordBatch:
-        schema = pa.schema([("_id", kind), *fields])
-        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
-
-    def pack(kind: pa.DataType, sets: dict[bytes, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        names = list(sets)
-        owner = np.repeat(np.arange(len(names), dtype=np.uint32), [len(s) for s in sets.values()])
-        for bucket, at, signed in by_bucket(np.concatenate(list(sets.values())), buckets):
-            used, local = np.unique(owner[at], return_inverse=True)
-            yield rows(kind, 1, bucket=pa.array([bucket], pa.int32()), signatures=pa.array([squeeze_sorted(signed)], pa.binary()),
-                       owners=pa.array([squeeze(local.astype(np.uint32))], pa.binary()),
-                       classes=pa.array([b"".join(names[i] for i in used)], pa.binary()))
+    names, sets = _classes(table["text"], words)
+    keys = _keys(list(sets.values()))
+    order = np.argsort(keys)
+    ranked = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    levels = np.zeros(len(starts), np.uint8)
+    by = dict(zip(replies["bucket"].to_pylist(), replies["levels"].to_pylist()))
+    for bucket, at, _ in by_bucket(ranked[starts], buckets):
+        levels[at] = expand(by[bucket], np.uint8)
+    held = np.empty(len(keys), np.int64)
+    held[order] = np.repeat(levels, np.diff(np.append(starts, len(keys))))
+    ends = np.cumsum([len(s) for s in sets.values()])
+    signed = {name: signatures(s, bands, held=held[end - len(s):end]) for (name, s), end in zip(sets.items(), ends.tolist())}
+    sketches = {name: sketch(s) for name, s in sets.items()}
+    listed = [name for name, s in signed.items() if len(s)]
+    owner = np.repeat(np.arange(len(listed), dtype=np.uint32), [len(signed[name]) for name in listed])
+    packed = []
+    for bucket, at, rest in by_bucket(np.concatenate([np.zeros(0, np.uint64), *(signed[name] for name in listed)]), buckets):
+        used, local = np.unique(owner[at], return_inverse=True)
+        packed.append((bucket, squeeze_sorted(rest), squeeze(local.astype(np.uint32)), b"".join(listed[i] for i in used)))
+    n, more = len(names), len(packed)
+    bucket, marks, owners, members = list(zip(*packed)) or [(), (), (), ()]
+
+    def column(own: list, others: list, kind: pa.DataType) -> pa.Array:
+        return pa.array([*own, *others], kind)
+
+    none, blank = [None] * n, [None] * more
+    ids = table["id"].combine_chunks()
+    return pa.table({
+        "_id": pa.concat_arrays([ids, pa.nulls(more, ids.type)]),
+        "bucket": column((np.arange(n) % buckets).tolist(), bucket, pa.int32()),
+        "n_shingles": column([len(sets[name]) for name in names], blank, pa.int64()),
+        "class": column(names, blank, pa.binary()), "sketch": column([sketches[name] for name in names], blank, pa.binary()),
+        "signatures": column(none, marks, pa.binary()), "owners": column(none, owners, pa.binary()), "classes": column(none, members, pa.binary())})
+
+
+def _scan(df: DataFrame, id: str, text: str, words: int, bands: Bands, chunks: int, buckets: int) -> DataFrame:
+    """The rows of `_sign` of all chunks."""
+    placed = df.select(F.col(id).alias("id"), F.col(text).alias("text"), F.pmod(F.xxhash64(id, text), F.lit(chunks)).cast("int").alias("chunk"))
+    kind = df.schema[id].dataType.simpleString()
 
-    known = df.sparkSession.sparkContext.broadcast(frequent)      # bounded, see frequent_shingles
+    def ask(table: pa.Table) -> pa.Table:
+        return _ask(table, words, buckets)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, held, done, kind = {}, 0, 0, pa.null()
-        for batch in batches:
-            kind, found = batch.column(0).type, []
-            for t in batch.column(1):
-                elements = shingles(t.as_py(), words)
-                name = _class(elements)
-                found.append((len(elements), name, sketch(elements)))
-                if name not in sets and len(signed := signatures(elements, bands, known.value)):
-                    sets[name] = signed
-                    held += len(signed)
-                if held >= _ENTRIES_PER_CHUNK:
-                    yield from pack(kind, sets)
-                    sets, held = {}, 0
-            yield rows(kind, len(found), _id=batch.column(0), bucket=pa.array(np.arange(done, done + len(found)) % buckets, pa.int32()),
-                       n_shingles=pa.array([n for n, _, _ in found], pa.int64()),
-                       **{"class": pa.array([c for _, c, _ in found], pa.binary()), "sketch": pa.array([k for _, _, k in found], pa.binary())})
-            done += len(found)
-        if sets:
-            yield from pack(kind, sets)
+    def sign(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
+        out = _sign(table, replies, words, bands, buckets)
+        release()
+        return out
 
-    kind = df.schema[id].dataType.simpleString()
-    return df.select(id, text).mapInArrow(
-        releasing(run), f"_id {kind}, bucket int, n_shingles bigint, class binary, sketch binary, signatures binary, owners binary, classes binary")
+    asked = placed.groupBy("chunk").applyInArrow(releasing_groups(ask), "bucket int, chunk int, keys binary, counts binary")
+    counted = asked.groupBy("bucket").applyInArrow(releasing_groups(_count), "bucket int, chunk int, levels binary")
+    return placed.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(
+        sign, f"_id {kind}, bucket int, n_shingles bigint, class binary, sketch binary, signatures binary, owners binary, classes binary")
 
 
 def scan(docs: DataFrame, id: str, text: str, words: int, bands: Bands) -> tuple[DataFrame, DataFrame]:
     """`id`, `n_shingles`, `class`, `sketch` per row; and the `group`s of classes that share a
     signature, see `_shared`."""
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    spread = 4 * docs.sparkSession.sparkContext.defaultParallelism
     # a word and the space behind it are rarely less than four bytes
-    buckets = max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-size // (4 * _ENTRIES_PER_BUCKET)))
-    found = _scan(docs, id, text, words, bands, buckets, frequent_shingles(docs, text, words))
+    buckets = max(spread, -(-size // (4 * _ENTRIES_PER_BUCKET)))
+    found = _scan(docs, id, text, words, bands, max(spread, -(-size // _BYTES_PER_CHUNK)), buckets)
 
     def join(table: pa.Table) -> pa.Table:
         signed = table.filter(pc.is_valid(table["signatures"]))
@@ -309,29 +370,25 @@ def _shared(table: pa.Table) -> pa.Table:
                      "center": named.take(pa.array(np.repeat(center, sizes))), "class": named.take(pa.array(listed))})
 
 
-def _pairs_inside(groups: DataFrame) -> DataFrame:
+def _pairs_inside(groups: DataFrame, similarity: Fraction) -> DataFrame:
     """`a` < `b`, distinct: classes of different labels that are in one group of `groups`
-    (`group`, `class`, `label`). Groups are small and dealt over buckets; a bucket gives a
+    (`group`, `class`, `label`, `n_shingles`, `sketch`), where sizes and sketches do not rule out
+    that they are similar. Groups are small and dealt over buckets; a bucket looks at a
     pair once, however many of its groups hold both."""
     buckets = max(4 * groups.sparkSession.sparkContext.defaultParallelism, -(-groups.count() // _MEMBERS_PER_BUCKET))
 
     def pairs(table: pa.Table) -> pa.Table:
-        names = table["class"].combine_chunks().dictionary_encode()
-        listed = names.dictionary.to_pylist()
-        ranked = sorted(range(len(listed)), key=listed.__getitem__)
-        rank = np.zeros(len(listed), np.int64)
-        rank[ranked] = np.arange(len(listed))
-        member = rank[names.indices.to_numpy()]
+        listed, member, sizes, sketches = _members(table)
         label = table["label"].combine_chunks().dictionary_encode().indices.to_numpy()
         order = np.lexsort((member, table["group"].to_numpy()))
         group, member, label = table["group"].to_numpy()[order], member[order], label[order]
         starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        sizes = np.diff(np.append(starts, len(group)))
+        lengths = np.diff(np.append(starts, len(group)))
         found = np.zeros(0, np.int64)
         waiting, held = [], 0
-        for size in np.unique(sizes):
+        for size in np.unique(lengths):
             first, second = np.triu_indices(size, 1)
-            alike = starts[sizes == size]
+            alike = starts[lengths == size]
             step = max(1, _PAIRS_AT_ONCE // max(len(first), 1))
             for at in range(0, len(alike), step):
                 places = alike[at:at + step, None] + np.arange(size)
@@ -342,13 +399,68 @@ def _pairs_inside(groups: DataFrame) -> DataFrame:
                 if held > _PAIRS_AT_ONCE:
                     found, waiting, held = np.unique(np.concatenate([found, *waiting])), [], 0
         found = np.unique(np.concatenate([found, *waiting]))
-        named = pa.array([listed[i] for i in ranked], pa.binary())
-        return pa.table({"a": named.take(pa.array(found // len(listed))), "b": named.take(pa.array(found % len(listed)))})
+        a, b = found // len(listed), found % len(listed)
+        return _named(listed, a, b, _possible(a, b, sizes, sketches, similarity))
 
     return (groups.withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
             .groupBy("bucket").applyInArrow(releasing_groups(pairs), "a binary, b binary").distinct())
 
 
+def _members(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray, list[bytes]]:
+    """The distinct classes of a table in order; the number of each row's class among them; sizes
+    and sketches of the classes."""
+    names = table["class"].combine_chunks().dictionary_encode()
+    listed, codes = names.dictionary.to_pylist(), names.indices.to_numpy()
+    ranked = np.array(sorted(range(len(listed)), key=listed.__getitem__), np.int64)
+    rank = np.empty(len(listed), np.int64)
+    rank[ranked] = np.arange(len(listed))
+    row = np.empty(len(listed), np.int64)
+    row[rank[codes]] = np.arange(len(codes))
+    return ([listed[i] for i in ranked], rank[codes], table["n_shingles"].to_numpy()[row],
+            table["sketch"].combine_chunks().take(pa.array(row)).to_pylist())
+
+
+def _named(listed: list[bytes], a: np.ndarray, b: np.ndarray, kept: np.ndarray) -> pa.Table:
+    names = pa.array(listed, pa.binary())
+    return pa.table({"a": names.take(pa.array(a[kept])), "b": names.take(pa.array(b[kept]))})
+
+
+def _pairs_across(clusters: DataFrame, similarity: Fraction) -> DataFrame:
+    """The same as `_pairs_inside` for clusters of any size (`cluster`, `class`, `label`, `n_shingles`,
+    `sketch`; a class once a cluster). Members are dealt over blocks, and each pair of blocks is a task
+    of its own, so no task holds a whole cluster; what travels is a member once per block."""
+    counted = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).select("cluster", F.greatest(
+        F.ceil(F.col("n") / _BLOCK), F.least(F.lit(16), F.ceil(F.col("n") / _LEAST_BLOCK))).cast("int").alias("blocks"))
+    dealt = (clusters.join(counted.hint("merge"), "cluster").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("cluster", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own",
+                     "class", "label", "n_shingles", "sketch"))
+
+    def pairs(table: pa.Table) -> pa.Table:
+        listed, member, sizes, sketches = _members(table)
+        label = np.empty(len(listed), np.int64)
+        label[member] = table["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+        upper = np.empty(len(listed), bool)
+        upper[member] = table["own"].to_numpy() == table["high"].to_numpy()
+        inside = table["low"][0] == table["high"][0]
+        right = np.flatnonzero(upper)
+        left = right if inside else np.flatnonzero(~upper)
+        out, step = [np.zeros((0, 2), np.int64)], max(1, _PAIRS_AT_ONCE // max(len(right), 1))
+        for at in range(0, len(left), step):
+            first, second = (x.ravel() for x in np.meshgrid(left[at:at + step], right, indexing="ij"))
+            first, second = np.minimum(first, second), np.maximum(first, second)
+            apart = label[first] != label[second]
+            if inside:
+                apart &= np.repeat(left[at:at + step], len(right)) == first      # each pair once
+            first, second = first[apart], second[apart]
+            kept = _possible(first, second, sizes, sketches, similarity)
+            out.append(np.column_stack([first[kept], second[kept]]))
+        found = np.concatenate(out)
+        return _named(listed, found[:, 0], found[:, 1], np.ones(len(found), bool))
+
+    return dealt.groupBy("cluster", "low", "high").applyInArrow(releasing_groups(pairs), "a binary, b binary").distinct()
+
+
 def _compact(elements: np.ndarray) -> bytes:
     """A set for comparing: the upper 48 bits of its hashes. Two of its shingles, or of another
     set's, share these bits with a chance of one in 10**14 a pair."""
@@ -502,32 +614,15 @@ def linked_classes(docs: DataFrame, described: DataFrame, groups: DataFrame, id:
     labelled = _labelled(groups, labels, "class", "label")
     facts = labelled.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
     facts = cut_lineage(facts.where(F.col("low") != F.col("high")).select("group", "n"))
-    small = cut_lineage(labelled.join(facts.where(F.col("n") <= _SMALL_GROUP), "group", "left_semi"))
-    found = verified(_pairs_inside(small))
-    if not found.isEmpty():
-        links = cut_lineage(links.unionByName(found))
-        labels = components(links)
-    groups = groups.join(facts.where(F.col("n") > _SMALL_GROUP), "group", "left_semi")
-    pivots = 64
-    while True:
-        labelled = _labelled(groups, labels, "class", "label")
-        mixed = labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        still = mixed.where(F.col("low") != F.col("high")).select("group")
-        labelled = cut_lineage(labelled.join(still, "group", "left_semi"))
-        if labelled.isEmpty():
-            return labels
-        order = Window.partitionBy("group").orderBy("class")
-        first = (labelled.withColumn("at", F.row_number().over(order)).where(F.col("at") <= pivots)
-                 .select("group", F.col("class").alias("a"), F.col("label").alias("a_label")))
-        edges = (labelled.join(first, "group").where((F.col("a") < F.col("class")) & (F.col("a_label") != F.col("label")))
-                 .select("a", F.col("class").alias("b")).distinct())
-        found = verified(edges)
-        if not found.isEmpty():
-            links = cut_lineage(links.unionByName(found))
-            labels = components(links)
-        groups = (labelled.join(first.select("group", F.col("a").alias("class")), ["group", "class"], "left_anti")
-                  .select("group", "class"))
-        pivots *= 64
+    kinds = classes.select("class", "n_shingles", "sketch").hint("merge")
+    small = cut_lineage(labelled.join(facts.where(F.col("n") <= _SMALL_GROUP), "group", "left_semi").join(kinds, "class"))
+    # large groups of one text are many, with nearly the same members, most of them linked
+    large = cut_lineage(labelled.join(facts.where(F.col("n") > _SMALL_GROUP), "group", "left_semi"))
+    most = large.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
+    whole = most.groupBy("group").agg(F.max(F.struct("n", "label")).alias("m")).select("group", F.col("m.label").alias("cluster"))
+    clusters = cut_lineage(large.join(whole, "group").select("cluster", "class", "label").distinct().join(kinds, "class"))
+    found = verified(_pairs_inside(small, similarity).unionByName(_pairs_across(clusters, similarity)).distinct())
+    return labels if found.isEmpty() else components(cut_lineage(links.unionByName(found)))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5,

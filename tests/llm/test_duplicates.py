@@ -288,3 +288,27 @@ def test_shingles_need_no_memo_of_words():
     a, b, c = (ngram_join.shingles(t, 5) for t in ("One two three four five six", " one\ttwo three four FIVE\nsix ", "one two three four six five"))
     assert not packed.WORDS and len(a) == 2 and list(a) == list(b) and not set(a.tolist()) & set(c.tolist())
     assert len(ngram_join.shingles("a " * 40, 5)) == 1 and len(ngram_join.shingles("a b", 5)) == 1 and not len(ngram_join.shingles(" \n", 5))
+
+
+def test_texts_that_share_a_passage_are_no_candidates(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = [(d, passage + " " + " ".join(f"w{d}-{i}" for i in range(60))) for d in range(30)]
+    docs += [(100, docs[0][1] + " end"), (101, "other words that no text has")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    described, groups = ngram_join.scan(df, "doc_id", "text", 5, ngram_join.Bands(Fraction(3, 4)))
+    pair = {bytes(r["class"]) for r in described.where("doc_id in (0, 100)").collect()}
+    assert described.count() == 32 and {bytes(r["class"]) for r in groups.collect()} == pair
+
+
+def test_blocks_of_a_large_group_give_only_pairs_that_may_be_similar(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_LEAST_BLOCK", 4)
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 120, dtype=np.uint64)
+    sets = [np.sort(np.concatenate([base[:120 - n], rng.integers(0, 2**63, n, dtype=np.uint64)])) for n in rng.integers(2, 60, 30)]
+    rows = [(0, bytes([i]), bytes([i % 7]), len(s), ngram_join.sketch(s)) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "cluster int, class binary, label binary, n_shingles long, sketch binary")
+    got = [(bytes(r.a)[0], bytes(r.b)[0]) for r in ngram_join._pairs_across(df, Fraction(3, 4)).collect()]
+    apart = [(i, j) for j in range(30) for i in range(j) if i % 7 != j % 7]
+    similar = {(i, j) for i, j in apart if 7 * len(np.setxor1d(sets[i], sets[j])) <= len(sets[i]) + len(sets[j])}
+    possible = {(i, j) for i, j in apart if 7 * ngram_join._least_difference(rows[i][4], rows[j][4]) <= len(sets[i]) + len(sets[j])}
+    assert sorted(got) == sorted(possible) and similar <= possible and len(possible) < len(apart) / 2
