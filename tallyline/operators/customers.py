@@ -10,6 +10,7 @@ from tallyline.functions.columns import mean, month_index, month_of, ratio
 from tallyline.functions.derive import REVENUE_STATUSES
 from tallyline.operators.filters import revenue_orders
 from tallyline.operators.ordering import ROWS_PER_BUCKET, quantile_score, share_of_total
+from tallyline.session import never_broadcast
 
 
 def rfm_segment(r: str = "R", f: str = "F", m: str = "M", buyer: str = "is_buyer") -> Column:
@@ -49,7 +50,7 @@ def customer_features(customers: DataFrame, orders: DataFrame, snapshot: str | N
     rev = revenue_orders(orders, status_in)
     day = (F.to_date(F.lit(snapshot)) if snapshot else
            rev.agg(F.date_add(F.max("order_date"), 1)).scalar())
-    base = (customers.join(purchase_summary(rev), "customer_id", "left")
+    base = (customers.join(never_broadcast(purchase_summary(rev)), "customer_id", "left")
             .withColumn("_day", day)
             .withColumns({
                 "frequency": F.coalesce("frequency", F.lit(0)),
@@ -91,7 +92,7 @@ def cohort_retention(customers: DataFrame, orders: DataFrame, max_periods: int =
     # distinct order months per customer first: the join sees at most one row per month
     months = (revenue_orders(orders, status_in)
               .select("customer_id", month_of("order_date").alias("order_month")).distinct())
-    active = (months.join(signed, "customer_id")
+    active = (months.join(never_broadcast(signed), "customer_id")
               .withColumn("period", month_index("order_month") - month_index("cohort"))
               .where(F.col("period").between(0, max_periods - 1))
               .groupBy("cohort", "period").agg(F.count_distinct("customer_id").alias("active")))

@@ -14,7 +14,7 @@ from tallyline.operators.forecast import driver_correlations, monthly_driver, re
 from tallyline.operators.ordering import ROWS_PER_BUCKET, cumulative_share, share_of_total, top_k
 from tallyline.operators.quality import quality_report, quality_score
 from tallyline.operators.windows import pct_change
-from tallyline.session import cut_lineage
+from tallyline.session import cut_lineage, never_broadcast
 from tallyline.sources.readers import run_meta
 
 
@@ -43,8 +43,8 @@ def items_enriched(items: DataFrame, orders: DataFrame, products: DataFrame,
             if c in orders.columns]
     kept = revenue_orders(orders, status_in).select(*keep)
     lines = items.drop(*[c for c in keep if c != "order_id"])
-    return (lines.join(kept, "order_id")
-            .join(products.select("product_id", "category", "brand"), "product_id", "left"))
+    return (lines.join(never_broadcast(kept), "order_id")
+            .join(never_broadcast(products.select("product_id", "category", "brand")), "product_id", "left"))
 
 
 def combined_per_product(enriched: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def geographic_performance(orders: DataFrame, customers: DataFrame,
                            status_in: Sequence[str] = REVENUE_STATUSES) -> DataFrame:
     per_customer = revenue_orders(orders, status_in).groupBy("customer_id").agg(
         F.sum("total_amount").alias("revenue"), F.count_distinct("order_id").alias("orders"))
-    geo = (per_customer.join(customers.select("customer_id", "country"), "customer_id")
+    geo = (per_customer.join(never_broadcast(customers.select("customer_id", "country")), "customer_id")
            .where(F.col("country").isNotNull()).groupBy("country")
            .agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"),
                 F.count("customer_id").alias("customers"))
@@ -119,7 +119,7 @@ def product_abc(enriched: DataFrame, products: DataFrame, a: float = 80, b: floa
     class, the `top` sellers, and the `sold` count."""
     totals = enriched.groupBy("product_id").agg(F.sum("line_revenue").alias("revenue"),
                                                 F.sum("line_profit").alias("profit"))
-    named = totals.join(products.select("product_id", "product_name", "category"), "product_id", "left")
+    named = totals.join(never_broadcast(products.select("product_id", "product_name", "category")), "product_id", "left")
     ranked = cumulative_share(named, "revenue", "product_id", rows_per_bucket=rows_per_bucket)
     reached = ratio("running_revenue", "grand_total", scale=100)
     classified = (ranked.withColumn("cum_revenue_pct", reached)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyline.functions.columns import ratio
 from tallyline.operators.filters import NA_SENTINELS, populated
 from tallyline.operators.ordering import with_totals
+from tallyline.session import never_broadcast
 from tallyline.sources.schemas import CRITICAL_COLUMNS, FOREIGN_KEYS, PRIMARY_KEYS
 
 
@@ -70,7 +71,7 @@ def referential_integrity(child: DataFrame, fk: str, parent: DataFrame, pk: str,
     parent_key = F.col(pk) if same else F.col(pk).cast("string")
     per_key = populated(child, fk, sentinels).groupBy(child_key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
     known = parent.select(parent_key.alias("k")).distinct().withColumn("found", F.lit(True))
-    return per_key.join(known, "k", "left").agg(
+    return per_key.join(never_broadcast(known), "k", "left").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("scanned"),
         F.coalesce(F.sum(F.when(F.col("found").isNull(), F.col("n"))), F.lit(0)).alias("failed"))
 
@@ -79,7 +80,7 @@ def orders_without_items_count(orders: DataFrame, items: DataFrame) -> DataFrame
     """Distinct order ids, and those that no line refers to."""
     ids = orders.select("order_id").distinct()
     used = items.select("order_id").distinct().withColumn("found", F.lit(True))
-    return ids.join(used, "order_id", "left").agg(
+    return ids.join(never_broadcast(used), "order_id", "left").agg(
         F.count(F.lit(1)).alias("scanned"), F.count_if(F.col("found").isNull()).alias("failed"))
 
 

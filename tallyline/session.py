@@ -1,4 +1,4 @@
-"""Session settings and the one place where lineage is cut."""
+"""Session settings, the one place where lineage is cut, and join sides that grow."""
 
 from __future__ import annotations
 
@@ -51,3 +51,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` reliably so that several passes over it cost one computation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def never_broadcast(df: DataFrame) -> DataFrame:
+    """`df` as a side of an equi-join that is sorted in tasks, whatever the size of its files.
+
+    The optimizer compares a share of the compressed bytes of the files with its limit. Millions of
+    rows of a few narrow columns pass it, and the driver builds a hash table of them for every
+    join. For tables that grow with the data; small ones cost one more exchange.
+    """
+    return df.hint("merge")

@@ -1,7 +1,7 @@
 """The order-management test tables seen as canonical retail tables.
 
 Columns without a counterpart are proxies derived from the given data; each is listed in
-the README. Which side of a join is broadcast is left to the optimizer's size check.
+the README. Nations and regions may be broadcast, tables that grow are not.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.functions.columns import cents, from_cents
+from tallyline.session import never_broadcast
 from tallyline.sources.readers import Tables
 
 # Layouts of the given tables.
@@ -77,7 +78,7 @@ class Binding:
         """Customers with `signup_date`: the date of their first order of any status."""
         first = (self.raw("orders").groupBy(F.col("o_custkey").alias("customer_id"))
                  .agg(F.expr("CAST(MIN(o_orderdate) AS DATE) AS signup_date")))
-        return self.customers.join(first, "customer_id", "left")
+        return self.customers.join(never_broadcast(first), "customer_id", "left")
 
     @cached_property
     def products(self) -> DataFrame:
@@ -108,7 +109,7 @@ class Binding:
         """Orders with `store_id`: the lowest supplier of the lines, "ONLINE" if no line."""
         store = (self.raw("lineitem").groupBy(F.col("l_orderkey").alias("order_id"))
                  .agg(F.expr("CAST(MIN(l_suppkey) AS STRING) AS store_id")))
-        return (self.orders.join(store, "order_id", "left")
+        return (self.orders.join(never_broadcast(store), "order_id", "left")
                 .withColumn("store_id", F.expr("COALESCE(store_id, 'ONLINE')")))
 
     @cached_property
@@ -126,7 +127,7 @@ class Binding:
         """Lines with cost and profit; the unit cost is the part's retail price."""
         cost = f"({cents('p_retailprice')} * CAST(l_quantity AS BIGINT))"
         return (self.raw("lineitem")
-                .join(self.raw("part"), F.expr("l_partkey = p_partkey"), "left")
+                .join(never_broadcast(self.raw("part")), F.expr("l_partkey = p_partkey"), "left")
                 .selectExpr(f"{_LINE_ID} AS order_item_id", "l_orderkey AS order_id",
                             "l_partkey AS product_id", "l_suppkey AS store_id",
                             "CAST(l_quantity AS INT) AS quantity", f"{from_cents(_REVENUE)} AS line_revenue",
@@ -149,7 +150,7 @@ class Binding:
         """Lines with the date of their order. The lines are the left side, so an order
         with very many lines can be split between tasks."""
         dates = self.raw("orders").selectExpr("o_orderkey AS order_id", "CAST(o_orderdate AS DATE) AS order_date")
-        return items.join(dates, "order_id")
+        return items.join(never_broadcast(dates), "order_id")
 
     def dated_totals(self, items: DataFrame, *measures: str, by: tuple[str, ...] = ()) -> DataFrame:
         """Lines summed per order (and `by`) before they meet the order dates.
@@ -163,7 +164,7 @@ class Binding:
     @cached_property
     def returns(self) -> DataFrame:
         return (self.raw("lineitem").where("l_returnflag = 'R'")
-                .join(self.raw("part"), F.expr("l_partkey = p_partkey"), "left")
+                .join(never_broadcast(self.raw("part")), F.expr("l_partkey = p_partkey"), "left")
                 .selectExpr(f"{_LINE_ID} AS return_id", "l_orderkey AS order_id",
                             f"{_LINE_ID} AS order_item_id", "CAST(l_shipdate AS DATE) AS return_date",
                             "p_type AS return_reason", f"{from_cents(_REVENUE)} AS refund_amount",
